@@ -9,14 +9,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as TY
 
-from tidemark.operators.dedup import latest_per_key
+from tidemark.functions import columns as C
+from tidemark.operators import dedup as D
+from tidemark.operators import expectations as X
+from tidemark.operators import faults as G
+from tidemark.operators import history as H
+from tidemark.operators import model_tests as T
+from tidemark.operators import ops as O
+from tidemark.operators import suite as Q
 from tidemark.plans import models as M
 from tidemark.plans import standins as S
+from tidemark.sources.json_rescue import rescue_parse
 from tidemark.sources.tables import read_table
 
 QUERIES = {}
 
+SEED = 42
+MERGE_CUT = "1998-01-01 00:00:00"
+AS_OF_INSTANT = "1998-06-30 00:00:00"
+
 
 def fixed6(c: str) -> F.Column:
     """Average rounded to 6 decimals the same way in every engine (round the scaled double)."""
@@ -33,16 +46,83 @@ def _models(spark: SparkSession, sf_dir: str):
     return bronze, M.dim_customer(bronze), M.dim_date(bronze), M.fact_customer_activity(bronze)
 
 
+# ------------------------------------------------------------------ reference rule sets
+
+# Row expectations of the clean table (fail / drop / warn).
+CLEAN_RULES = [
+    X.expect_or_fail("valid_customer_id", "customer_id IS NOT NULL"),
+    X.expect_or_drop("valid_customer_name", "customer_name IS NOT NULL"),
+    X.expect_or_drop("valid_email", "email IS NOT NULL"),
+    X.expect("valid_age", "age BETWEEN 18 AND 100"),
+    X.expect("valid_risk_score", "risk_score BETWEEN 0 AND 100"),
+]
+
+# The 18 columns the validation suite expects, the value sets and the e-mail pattern.
+SUITE_COLUMNS = ["customer_id", "customer_name", "age", "country", "email", "registration_date",
+                 "account_type", "account_balance", "kyc_status", "device", "language_preference",
+                 "notifications_enabled", "last_login_ip", "risk_score", "had_schema_drift",
+                 "is_valid_age", "is_valid_risk_score", "exported_at_utc_minus_5"]
+EMAIL_REGEX = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
+
+SUITE_TABLE_RULES = [
+    Q.columns_match_set(SUITE_COLUMNS, exact_match=False),
+    Q.row_count_between(1, 100000),
+    Q.of_type("customer_id", "LongType"),
+    Q.of_type("account_balance", "DoubleType"),
+]
+SUITE_ROW_RULES = [
+    Q.not_null("customer_id"),
+    Q.not_null("email"),
+    Q.between("age", 18, 100),
+    Q.between("risk_score", 0, 100),
+    Q.between("account_balance", 0, None),
+    Q.in_set("account_type", ["checking", "savings", "credit"]),
+    Q.in_set("kyc_status", ["pending", "verified", "rejected"]),
+    Q.match_regex("email", EMAIL_REGEX),
+]
+SUITE_STAT_RULES = [
+    Q.mean_between("age", 18, 80),
+    Q.stdev_between("account_balance", 1, None),
+]
+SUITE_ALL = (SUITE_TABLE_RULES[:1] + SUITE_TABLE_RULES[1:2] + SUITE_ROW_RULES[:2] + [Q.unique("customer_id")]
+             + SUITE_ROW_RULES[2:] + SUITE_STAT_RULES + SUITE_TABLE_RULES[2:])
+
+
+def faulted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fault-injected customer records: one clean record per customer key, then G1-G8."""
+    keys = read_table(spark, sf_dir, "customer").select("c_custkey")
+    return G.inject_faults(G.clean_records(keys, "c_custkey", SEED), SEED)
+
+
+def clean_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean table: faulted records deduplicated per customer (first copy wins), drop rules applied."""
+    dedup = D.first_per_key(faulted_records(spark, sf_dir), "customer_id", "copy_id")
+    return X.passing(dedup, CLEAN_RULES)
+
+
+def limits_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Country limits for the stand-in countries, derived from the nation table."""
+    n = read_table(spark, sf_dir, "nation")
+    return n.select(F.col("n_name").alias("country"),
+                    (F.col("n_nationkey").cast("bigint") * 250 + 5000).alias("max_balance_limit"),
+                    F.concat(F.lit("REG_"), F.col("n_regionkey").cast("string")).alias("regulatory_body"))
+
+
+# ------------------------------------------------------------------ W1 / A5
+
 @query
 def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest order per customer (ties on the stamp broken by the highest order key)."""
-    o = read_table(spark, sf_dir, "orders")
-    return latest_per_key_op(o)
+    return D.latest_per_key(read_table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", tiebreak="o_orderkey")
 
 
-def latest_per_key_op(o: DataFrame) -> DataFrame:
-    return latest_per_key(o, "o_custkey", "o_orderdate", tiebreak="o_orderkey")
+@query
+def dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: first event per user (earliest stamp, lowest event id on ties)."""
+    return D.first_per_key(read_table(spark, sf_dir, "events"), "user_id", "ts", tiebreak="event_id")
+
 
+# ------------------------------------------------------------------ models and marts
 
 @query
 def mart_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,3 +133,304 @@ def mart_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
                     fixed6("avg_balance").alias("avg_balance"), "total_balance",
                     fixed6("avg_risk_score").alias("avg_risk_score"),
                     "pending_kyc_count", "rejected_kyc_count")
+
+
+@query
+def mart_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month-truncated mart per country."""
+    _, dc, _, fact = _models(spark, sf_dir)
+    m = M.mart_monthly(fact, dc)
+    return m.select("country", "month", "total_customers", fixed6("avg_balance").alias("avg_balance"),
+                    "total_balance")
+
+
+@query
+def dim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: customer dimension (row-level DISTINCT)."""
+    return _models(spark, sf_dir)[1]
+
+
+@query
+def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date dimension from the registration dates."""
+    return _models(spark, sf_dir)[2]
+
+
+@query
+def dim_service(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4/F8: device x language dimension with md5 surrogate key."""
+    return M.dim_service(S.service_records(spark, sf_dir))
+
+
+@query
+def fact_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P10: fact table projection of the bronze view."""
+    return _models(spark, sf_dir)[3]
+
+
+@query
+def risk_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Risk procedure over the fact table."""
+    return M.customers_risk_categorized(_models(spark, sf_dir)[3])
+
+
+@query
+def validity_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validity flags of the bronze records."""
+    b = _models(spark, sf_dir)[0]
+    return b.select("customer_id", "age", "risk_score", "is_valid_age", "is_valid_risk_score")
+
+
+@query
+def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed value from a JSON payload path."""
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", "user_id", C.extract_path(ev, "props", "k", "double").alias("risk_score"))
+
+
+@query
+def mask_email(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-mail as an analyst sees it, and as an engineer sees it."""
+    dc = _models(spark, sf_dir)[1]
+    return dc.select("customer_id", C.mask_email("email", role="ANALYST_ROLE").alias("email_analyst"),
+                     C.mask_email("email", role="ENGINEER_ROLE").alias("email_engineer"))
+
+
+@query
+def limit_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances above their country's limit."""
+    _, dc, _, fact = _models(spark, sf_dir)
+    return T.limit_breaches(fact, dc, limits_standin(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ model tests
+
+@query
+def test_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated (order, line number) pairs."""
+    return T.unique_violations(read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query
+def test_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q15/Q16: records without an e-mail (before the drop rule)."""
+    return T.not_null_violations(faulted_records(spark, sf_dir), "email").select("customer_id", "copy_id", "email")
+
+
+@query
+def test_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q17: customer ages outside 0..120 (NULL passes)."""
+    dc = _models(spark, sf_dir)[1]
+    return T.between_violations(dc, "age", 0, 120).select("customer_id", "age")
+
+
+@query
+def test_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without a label row."""
+    return T.relationship_orphans(read_table(spark, sf_dir, "documents"), "doc_id",
+                                  read_table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query
+def test_row_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct landing customers vs fact rows (failed when below 90 %)."""
+    landing = S.customer_exports(spark, sf_dir)
+    fact = _models(spark, sf_dir)[3]
+    return T.row_loss_check(landing, fact)
+
+
+def model_tests(spark: SparkSession, sf_dir: str) -> list[T.DataTest]:
+    bronze, dc, _, fact = _models(spark, sf_dir)
+    ds = M.dim_service(S.service_records(spark, sf_dir))
+    landing = S.customer_exports(spark, sf_dir)
+    return [
+        T.DataTest("unique_dim_customer_customer_id", "error", lambda: T.unique_violations(dc, "customer_id")),
+        T.DataTest("not_null_dim_customer_customer_id", "error", lambda: T.not_null_violations(dc, "customer_id")),
+        T.DataTest("between_dim_customer_age", "warn", lambda: T.between_violations(dc, "age", 0, 120)),
+        T.DataTest("not_null_fact_customer_id", "error", lambda: T.not_null_violations(fact, "customer_id")),
+        T.DataTest("relationships_fact_dim_customer", "error",
+                   lambda: T.relationship_orphans(fact, "customer_id", dc, "customer_id")),
+        T.DataTest("not_null_fact_account_balance", "error", lambda: T.not_null_violations(fact, "account_balance")),
+        T.DataTest("between_fact_risk_score", "warn", lambda: T.between_violations(fact, "risk_score", -50, 200)),
+        T.DataTest("unique_dim_service_device_id", "error", lambda: T.unique_violations(ds, "device_id")),
+        T.DataTest("not_null_dim_service_device_id", "error", lambda: T.not_null_violations(ds, "device_id")),
+        T.DataTest("assert_balance_within_country_limit", "warn",
+                   lambda: T.limit_breaches(fact, dc, limits_standin(spark, sf_dir))),
+        T.DataTest("assert_fact_not_empty_after_join", "error", lambda: T.row_loss_violations(landing, fact)),
+    ]
+
+
+@query
+def test_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q21: all model tests with severity and status (the build gate reads it)."""
+    return T.run_tests(model_tests(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ expectations
+
+@query
+def inject_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeded faults over every customer key."""
+    return faulted_records(spark, sf_dir)
+
+
+@query
+def expect_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2: the clean table after dedup and the drop rules."""
+    return clean_records(spark, sf_dir).select("customer_id", "customer_name", "email", "age", "risk_score")
+
+
+@query
+def expect_warn_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3: passed / failed / unknown counts of every rule, one pass."""
+    dedup = D.first_per_key(faulted_records(spark, sf_dir), "customer_id", "copy_id")
+    return X.expectation_metrics(dedup, CLEAN_RULES)
+
+
+@query
+def expect_fail_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1: outcome of the fail rule on the deduplicated records (reported, not raised)."""
+    dedup = D.first_per_key(faulted_records(spark, sf_dir), "customer_id", "copy_id")
+    return X.fail_report(dedup, CLEAN_RULES)
+
+
+# ------------------------------------------------------------------ suite
+
+@query
+def suite_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema and volume rules."""
+    return Q.validate(clean_records(spark, sf_dir), SUITE_TABLE_RULES)
+
+
+@query
+def suite_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q6/Q8/Q9/Q10: row rules on the clean table."""
+    return Q.validate(clean_records(spark, sf_dir), SUITE_ROW_RULES)
+
+
+@query
+def suite_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7: uniqueness before dedup (finds the injected copies)."""
+    return Q.validate(faulted_records(spark, sf_dir), [Q.unique("customer_id")])
+
+
+@query
+def suite_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and sample standard deviation rules."""
+    r = Q.validate(clean_records(spark, sf_dir), SUITE_STAT_RULES)
+    return r.withColumn("observed_value", fixed6("observed_value"))
+
+
+@query
+def suite_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q14: the full 15-rule suite in one aggregate pass plus one group-by."""
+    r = Q.validate(clean_records(spark, sf_dir), SUITE_ALL)
+    return r.withColumn("observed_value", fixed6("observed_value"))
+
+
+# ------------------------------------------------------------------ drift repair on rendered JSON
+
+def parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faulted records rendered as JSON lines (S14) and parsed back in rescue mode (S3)."""
+    lines = G.to_json_lines(faulted_records(spark, sf_dir))
+    return rescue_parse(lines, RAW_SCHEMA)
+
+
+RAW_SCHEMA = TY.StructType([
+    TY.StructField("customer_id", TY.LongType()), TY.StructField("customer_name", TY.StringType()),
+    TY.StructField("age", TY.LongType()), TY.StructField("country", TY.StringType()),
+    TY.StructField("email", TY.StringType()), TY.StructField("registration_date", TY.StringType()),
+    TY.StructField("account_type", TY.StringType()), TY.StructField("account_balance", TY.DoubleType()),
+    TY.StructField("kyc_status", TY.StringType()),
+    TY.StructField("metadata", TY.StructType([
+        TY.StructField("device", TY.StringType()),
+        TY.StructField("preferences", TY.StructType([TY.StructField("notifications", TY.BooleanType()),
+                                                     TY.StructField("language", TY.StringType())])),
+        TY.StructField("last_login_ip", TY.StringType()), TY.StructField("risk_score", TY.DoubleType())])),
+])
+
+
+def unify(df: DataFrame) -> DataFrame:
+    """Silver-unified step: fold renamed names back, flag drift, drop noise, repair types."""
+    df = C.coalesce_renamed(df, "customer_name", "customerName")
+    df = C.drift_flag(df, ["customerName", "experimental_flag", "_rescued_data"])
+    df = C.drop_present(df, "customerName", "experimental_flag")
+    return df.withColumn("account_balance", C.to_double("account_balance"))
+
+
+@query
+def rescue_unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: keys outside the schema and type-drifted values kept in ``_rescued_data``."""
+    return parsed_lines(spark, sf_dir).select("customer_id", "_rescued_data")
+
+
+@query
+def resolve_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Renamed field folded back, balance cast repaired."""
+    return unify(parsed_lines(spark, sf_dir)).select("customer_id", "customer_name", "account_balance")
+
+
+@query
+def drift_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift evidence flag per record."""
+    return unify(parsed_lines(spark, sf_dir)).select("customer_id", "had_schema_drift")
+
+
+# ------------------------------------------------------------------ history
+
+def _landing(spark, sf_dir):
+    return S.customer_exports(spark, sf_dir)
+
+
+@query
+def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact built up to a cut date, then merged with everything newer than its high-water mark."""
+    landing = _landing(spark, sf_dir)
+    before = landing.where(F.col(M.STAMP) <= F.lit(MERGE_CUT).cast("timestamp_ntz"))
+    target = M.fact_customer_activity(H.incremental_merge(None, before, "customer_id", M.STAMP, "export_id"))
+    source = landing.select(*M.FACT_COLUMNS, "export_id")
+    return H.incremental_merge(target, source, "customer_id", M.STAMP, "export_id")
+
+
+def _history(spark, sf_dir):
+    return H.scd2_from_log(_landing(spark, sf_dir), "customer_id", M.STAMP,
+                           ["kyc_status", "account_balance"], tiebreak="export_id")
+
+
+@query
+def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2/M4: KYC history, one version per distinct export stamp."""
+    return _history(spark, sf_dir)
+
+
+@query
+def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: the KYC state of every customer at a fixed instant."""
+    return H.as_of(_history(spark, sf_dir), AS_OF_INSTANT)
+
+
+# ------------------------------------------------------------------ ops
+
+@query
+def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row and column counts of every driver table."""
+    return O.table_profile({t: read_table(spark, sf_dir, t) for t in O.DRIVER_TABLES})
+
+
+@query
+def expired_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: version log (events as commits per table) with the 168-hour retention verdict."""
+    ev = read_table(spark, sf_dir, "events")
+    log = ev.select(F.col("event_type").alias("table_name"), F.col("event_id").alias("version"),
+                    F.col("ts").alias("committed_at"))
+    return O.expired_versions(log, retention_hours=168)
+
+
+@query
+def load_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: failed loads per file in 15-minute alert windows (load history from events)."""
+    ev = read_table(spark, sf_dir, "events")
+    hist = ev.select(F.concat(F.lit("file_"), F.col("user_id").cast("string")).alias("file_name"),
+                     F.when(F.col("event_type") == "error", F.lit("LOAD_FAILED")).otherwise(F.lit("LOADED"))
+                     .alias("status"), F.col("ts").alias("last_load_time"))
+    return O.load_failures(hist, minutes=15)
