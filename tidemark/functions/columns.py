@@ -25,17 +25,22 @@ PRIVILEGED_ROLES = ("ACCOUNTADMIN", "ENGINEER_ROLE")
 
 # ---------------------------------------------------------------- drift
 
-def coalesce_renamed(df: DataFrame, target: str, *old_names: str) -> DataFrame:
+def coalesce_renamed(df: DataFrame, target: str, *old_names: str, rescued: str = "_rescued_data") -> DataFrame:
     """Fold renamed copies of a column back into ``target`` (first non-null wins).
 
-    Adaptive: names absent from the frame are skipped, and ``target`` is created
-    when only a renamed copy exists.
+    Adaptive: a renamed name is read from its own column when the frame has one,
+    else from the rescued-data JSON when present (a fixed schema rescues unknown
+    keys), else skipped. ``target`` is created when only a renamed copy exists.
     """
-    present = [n for n in old_names if n in df.columns]
-    if not present:
+    parts = [F.col(target)] if target in df.columns else []
+    for n in old_names:
+        if n in df.columns:
+            parts.append(F.col(n))
+        elif rescued in df.columns:
+            parts.append(F.get_json_object(F.col(rescued), "$." + n))
+    if not parts:
         return df
-    parts = ([F.col(target)] if target in df.columns else []) + [F.col(n) for n in present]
-    return df.withColumn(target, F.coalesce(*parts))
+    return df.withColumn(target, F.coalesce(*parts) if len(parts) > 1 else parts[0])
 
 
 def drift_flag(df: DataFrame, markers: list[str], name: str = "had_schema_drift") -> DataFrame:

@@ -89,3 +89,391 @@ JOIN dim_customer d ON f.customer_id = d.customer_id
 JOIN dim_date dt ON try_cast(f.registration_date AS DATE) = dt.date_id
 GROUP BY d.country, dt.year, dt.month
 """)
+
+# ---------------------------------------------------------------- fault-injected records
+
+SEED = 42
+
+
+def _u(salt: str, key: str = "k") -> str:
+    return f"(('0x' || substr(md5('{SEED}|{salt}|' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT / 4294967296.0)"
+
+
+def _lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v + "'"
+    if isinstance(v, float):
+        return f"CAST({v!r} AS DOUBLE)"
+    return str(v)
+
+
+def _ch(salt: str, values: list, key: str = "k") -> str:
+    lst = "[" + ", ".join(_lit(v) for v in values) + "]"
+    return f"{lst}[CAST(floor({_u(salt, key)} * {len(values)}) AS INTEGER) + 1]"
+
+
+def _letters(salt: str, key: str = "k") -> str:
+    return (f"translate(substr(md5('{SEED}|{salt}|' || CAST({key} AS VARCHAR)), 1, 8), "
+            f"'0123456789abcdef', 'abcdefghijklmnop')")
+
+
+COUNTRIES = ["Peru", "Chile", "Colombia", "Mexico", "Argentina", "Brazil", "Spain"]
+DOMAINS = ["gmail.com", "hotmail.com", "yahoo.com"]
+
+FAULTS = f"""
+g0 AS (
+  SELECT c_custkey AS k, c_custkey AS customer_id,
+         'Customer_' || CAST(c_custkey AS VARCHAR) AS customer_name,
+         CAST(floor({_u('age')} * 58) + 18 AS BIGINT) AS age,
+         {_ch('country', COUNTRIES)} AS country,
+         {_letters('email')} || '@' || {_ch('domain', DOMAINS)} AS email,
+         strftime(DATE '2022-01-01' + CAST(floor({_u('reg')} * 1201) AS INTEGER), '%Y-%m-%dT00:00:00') AS registration_date,
+         {_ch('acct', ['checking', 'savings', 'credit'])} AS account_type,
+         floor({_u('bal')} * 5000001) / 100.0 AS account_balance,
+         CASE WHEN {_u('kyc')} < 0.1 THEN 'pending' WHEN {_u('kyc')} < 0.95 THEN 'verified' ELSE 'rejected' END AS kyc_status,
+         {_ch('device', ['android', 'ios', 'web', 'unknown'])} AS device,
+         {_u('notif')} < 0.5 AS notifications,
+         {_ch('lang', ['es', 'en', 'pt'])} AS language,
+         CAST(CAST(floor({_u('ip1')} * 255) + 1 AS BIGINT) AS VARCHAR) || '.' ||
+         CAST(CAST(floor({_u('ip2')} * 256) AS BIGINT) AS VARCHAR) || '.' ||
+         CAST(CAST(floor({_u('ip3')} * 256) AS BIGINT) AS VARCHAR) || '.' ||
+         CAST(CAST(floor({_u('ip4')} * 256) AS BIGINT) AS VARCHAR) AS last_login_ip,
+         floor({_u('risk')} * 10001) / 100.0 AS risk_score
+  FROM customer),
+gf AS (
+  SELECT g0.*,
+         {_u('null')} < 0.05 AS hit_null,
+         {_ch('null_field', ['customer_name', 'age', 'country', 'email'])} AS null_field,
+         {_u('bad_age')} < 0.03 AS g2,
+         CAST({_ch('bad_age_pick', [-5, 0, 150, 999, 15])} AS BIGINT) AS bad_age,
+         {_u('bad_email')} < 0.03 AS g3,
+         {_ch('bad_email_pick', ['no_at', 'no_domain', 'spaces', 'double_at'])} AS email_kind,
+         {_letters('bad_email_local')} AS bl,
+         {_ch('bad_email_domain', DOMAINS)} AS bd,
+         CASE WHEN {_u('drift')} < 0.02 THEN {_ch('drift_pick', ['rename_field', 'extra_field', 'type_change'])} END AS drift_kind,
+         {_u('bad_bal')} < 0.03 AS g5,
+         {_ch('bad_bal_pick', [-500.0, -99999.99, 999999999.99])} AS bad_bal,
+         {_u('kyc_viol')} < 0.04 AS g6,
+         {_ch('kyc_pick', ['pending', 'rejected'])} AS kyc_v,
+         floor({_u('kyc_bal')} * 1990001) / 100.0 + 100 AS kyc_bal,
+         {_u('bad_risk')} < 0.03 AS g7,
+         {_ch('bad_risk_pick', [-10.0, 150.0, 999.0])} AS bad_risk,
+         {_u('dup')} < 0.03 AS g8
+  FROM g0),
+faulted0 AS (
+  SELECT customer_id,
+         CASE WHEN hit_null AND null_field = 'customer_name' THEN NULL ELSE customer_name END AS customer_name,
+         CASE WHEN g2 THEN bad_age WHEN hit_null AND null_field = 'age' THEN NULL ELSE age END AS age,
+         CASE WHEN hit_null AND null_field = 'country' THEN NULL ELSE country END AS country,
+         CASE WHEN g3 THEN (CASE email_kind WHEN 'no_at' THEN bl || bd WHEN 'no_domain' THEN bl || '@'
+                                            WHEN 'spaces' THEN ' ' || bl || '@' || bd || ' '
+                                            ELSE bl || '@@' || bd END)
+              WHEN hit_null AND null_field = 'email' THEN NULL ELSE email END AS email,
+         registration_date, account_type,
+         CASE WHEN g6 THEN kyc_bal WHEN g5 THEN bad_bal ELSE account_balance END AS account_balance,
+         coalesce(drift_kind = 'type_change', false) AND NOT g5 AND NOT g6 AS balance_is_text,
+         CASE WHEN g6 THEN kyc_v ELSE kyc_status END AS kyc_status,
+         device, notifications, language, last_login_ip,
+         CASE WHEN g7 THEN bad_risk ELSE risk_score END AS risk_score,
+         drift_kind, g8
+  FROM gf),
+faulted AS (
+  SELECT * EXCLUDE (g8), 0 AS copy_id FROM faulted0
+  UNION ALL
+  SELECT * EXCLUDE (g8), 1 AS copy_id FROM faulted0 WHERE g8),
+dedup AS (
+  SELECT * FROM faulted QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY copy_id) = 1),
+clean AS (
+  SELECT * FROM dedup WHERE customer_name IS NOT NULL AND email IS NOT NULL)"""
+
+SQL["dedup_by_key"] = """
+SELECT * FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts ASC NULLS LAST, event_id ASC) = 1
+"""
+
+SQL["mart_monthly"] = w(MODELS, """
+SELECT d.country, CAST(date_trunc('month', try_cast(f.registration_date AS DATE)) AS DATE) AS month,
+       count(DISTINCT f.customer_id) AS total_customers,
+       round(avg(f.account_balance) * 1e6) / 1e6 AS avg_balance,
+       CAST(sum(CAST(f.account_balance AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_balance
+FROM fact f JOIN dim_customer d ON f.customer_id = d.customer_id
+GROUP BY 1, 2
+""")
+
+SQL["dim_customer"] = w(MODELS, "SELECT * FROM dim_customer")
+SQL["dim_date"] = w(MODELS, "SELECT * FROM dim_date")
+SQL["fact_activity"] = w(MODELS, "SELECT * FROM fact")
+
+SQL["dim_service"] = """
+SELECT DISTINCT
+       md5(coalesce(CAST(source AS VARCHAR), '_dbt_utils_surrogate_key_null_') || '-' ||
+           coalesce(CAST(lang AS VARCHAR), '_dbt_utils_surrogate_key_null_')) AS device_id,
+       source AS device_type, lang AS language_preference
+FROM documents WHERE source IS NOT NULL
+"""
+
+SQL["risk_category"] = w(MODELS, """
+SELECT customer_id, account_balance, risk_score,
+       CASE WHEN risk_score >= 70 THEN 'high_risk' WHEN risk_score >= 40 THEN 'medium_risk' ELSE 'low_risk' END
+         AS risk_category
+FROM fact
+""")
+
+SQL["validity_flags"] = w(BRONZE, """
+SELECT customer_id, age, risk_score, is_valid_age, is_valid_risk_score FROM bronze
+""")
+
+SQL["json_extract"] = """
+SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS risk_score FROM events
+"""
+
+SQL["mask_email"] = w(MODELS, """
+SELECT customer_id, regexp_replace(email, '^.*@', '***@') AS email_analyst, email AS email_engineer
+FROM dim_customer
+""")
+
+LIMITS = """
+lim AS (SELECT n_name AS country, CAST(n_nationkey AS BIGINT) * 250 + 5000 AS max_balance_limit FROM nation)"""
+
+SQL["limit_breaches"] = w(MODELS + "," + LIMITS, """
+SELECT f.customer_id, f.account_balance, d.country, l.max_balance_limit
+FROM fact f JOIN dim_customer d ON f.customer_id = d.customer_id JOIN lim l ON d.country = l.country
+WHERE f.account_balance > l.max_balance_limit
+""")
+
+SQL["test_unique"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n_records FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+"""
+
+SQL["test_not_null"] = w(FAULTS, "SELECT customer_id, copy_id, email FROM faulted WHERE email IS NULL")
+
+SQL["test_between"] = w(MODELS, """
+SELECT customer_id, age FROM dim_customer WHERE NOT (age >= 0 AND age <= 120)
+""")
+
+SQL["test_relationships"] = """
+SELECT c.from_field, c.n_records
+FROM (SELECT doc_id AS from_field, count(*) AS n_records FROM documents WHERE doc_id IS NOT NULL GROUP BY doc_id) c
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = c.from_field)
+"""
+
+SQL["test_row_loss"] = w(MODELS, """
+SELECT b.bronze_distinct_customers, f.fact_rows, f.fact_rows < b.bronze_distinct_customers * 0.9 AS failed
+FROM (SELECT count(DISTINCT customer_id) AS bronze_distinct_customers FROM landing) b
+CROSS JOIN (SELECT count(*) AS fact_rows FROM fact) f
+""")
+
+SQL["test_report"] = w(MODELS + "," + LIMITS + """,
+ds AS (
+  SELECT DISTINCT md5(coalesce(source, '_dbt_utils_surrogate_key_null_') || '-' ||
+                      coalesce(lang, '_dbt_utils_surrogate_key_null_')) AS device_id
+  FROM documents WHERE source IS NOT NULL),
+t AS (
+  SELECT 'unique_dim_customer_customer_id' AS test_name, 'error' AS severity,
+         (SELECT count(*) FROM (SELECT customer_id FROM dim_customer WHERE customer_id IS NOT NULL
+                                GROUP BY 1 HAVING count(*) > 1)) AS failures
+  UNION ALL SELECT 'not_null_dim_customer_customer_id', 'error',
+         (SELECT count(*) FROM dim_customer WHERE customer_id IS NULL)
+  UNION ALL SELECT 'between_dim_customer_age', 'warn',
+         (SELECT count(*) FROM dim_customer WHERE NOT (age >= 0 AND age <= 120))
+  UNION ALL SELECT 'not_null_fact_customer_id', 'error', (SELECT count(*) FROM fact WHERE customer_id IS NULL)
+  UNION ALL SELECT 'relationships_fact_dim_customer', 'error',
+         (SELECT count(DISTINCT customer_id) FROM fact f WHERE customer_id IS NOT NULL
+            AND NOT EXISTS (SELECT 1 FROM dim_customer d WHERE d.customer_id = f.customer_id))
+  UNION ALL SELECT 'not_null_fact_account_balance', 'error', (SELECT count(*) FROM fact WHERE account_balance IS NULL)
+  UNION ALL SELECT 'between_fact_risk_score', 'warn',
+         (SELECT count(*) FROM fact WHERE NOT (risk_score >= -50 AND risk_score <= 200))
+  UNION ALL SELECT 'unique_dim_service_device_id', 'error',
+         (SELECT count(*) FROM (SELECT device_id FROM ds WHERE device_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1))
+  UNION ALL SELECT 'not_null_dim_service_device_id', 'error', (SELECT count(*) FROM ds WHERE device_id IS NULL)
+  UNION ALL SELECT 'assert_balance_within_country_limit', 'warn',
+         (SELECT count(*) FROM fact f JOIN dim_customer d ON f.customer_id = d.customer_id
+            JOIN lim l ON d.country = l.country WHERE f.account_balance > l.max_balance_limit)
+  UNION ALL SELECT 'assert_fact_not_empty_after_join', 'error',
+         (SELECT count(*) FROM (SELECT count(DISTINCT customer_id) AS b FROM landing) x
+            CROSS JOIN (SELECT count(*) AS f FROM fact) y WHERE y.f < x.b * 0.9))""", """
+SELECT test_name, severity, failures,
+       CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'error' THEN 'fail' ELSE 'warn' END AS status
+FROM t
+""")
+
+SQL["inject_faults"] = w(FAULTS, """
+SELECT customer_id, customer_name, age, country, email, registration_date, account_type, account_balance,
+       balance_is_text, kyc_status, device, notifications, language, last_login_ip, risk_score, drift_kind, copy_id
+FROM faulted
+""")
+
+SQL["expect_drop"] = w(FAULTS, "SELECT customer_id, customer_name, email, age, risk_score FROM clean")
+
+_RULES = [("valid_customer_id", "fail", "customer_id IS NOT NULL"),
+          ("valid_customer_name", "drop", "customer_name IS NOT NULL"),
+          ("valid_email", "drop", "email IS NOT NULL"),
+          ("valid_age", "warn", "age BETWEEN 18 AND 100"),
+          ("valid_risk_score", "warn", "risk_score BETWEEN 0 AND 100")]
+
+
+def _metric(name, action, pred):
+    p, f, u = (f"count(*) FILTER (WHERE ({pred}))", f"count(*) FILTER (WHERE NOT ({pred}))",
+               f"count(*) FILTER (WHERE ({pred}) IS NULL)")
+    viol = f"{f} + {u}" if action in ("drop", "fail") else f
+    return (f"SELECT '{name}' AS rule_name, '{action}' AS action, {p} AS passed_records, {f} AS failed_records, "
+            f"{u} AS unknown_records, CAST({viol} AS BIGINT) AS violations FROM dedup")
+
+
+SQL["expect_warn_metrics"] = w(FAULTS, "\nUNION ALL\n".join(_metric(*r) for r in _RULES))
+
+SQL["expect_fail_report"] = w(FAULTS, """
+SELECT 'valid_customer_id' AS rule_name, count(*) FILTER (WHERE NOT coalesce(customer_id IS NOT NULL, false)) AS violations,
+       CASE WHEN count(*) FILTER (WHERE NOT coalesce(customer_id IS NOT NULL, false)) > 0 THEN 'fail' ELSE 'pass' END
+         AS outcome
+FROM dedup
+""")
+
+# suite rows: (rule_id, expectation, column, success, element_count, unexpected_count, observed_value)
+_EXP = {
+    "cols": "expect_table_columns_to_match_set", "rows": "expect_table_row_count_to_be_between",
+    "nn": "expect_column_values_to_not_be_null", "uniq": "expect_column_values_to_be_unique",
+    "btw": "expect_column_values_to_be_between", "set": "expect_column_values_to_be_in_set",
+    "re": "expect_column_values_to_match_regex", "mean": "expect_column_mean_to_be_between",
+    "std": "expect_column_stdev_to_be_between", "type": "expect_column_values_to_be_of_type",
+}
+EMAIL_RE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
+
+
+def _rule_sql(rid: int, kind: str, col: str | None, src: str, arg=None) -> str:
+    c = "CAST(NULL AS VARCHAR)" if col is None else f"'{col}'"
+    head = f"SELECT CAST({rid} AS INTEGER) AS rule_id, '{_EXP[kind]}' AS expectation, {c} AS column_name, "
+    n = "count(*)"
+    if kind == "cols":
+        # the clean records lack 6 of the 18 expected columns (fixed by their construction)
+        return head + f"false AS success, {n} AS element_count, CAST(6 AS BIGINT) AS unexpected_count, 6.0::DOUBLE AS observed_value FROM {src}"
+    if kind == "type":
+        duck = {"LongType": "BIGINT", "DoubleType": "DOUBLE"}[arg]
+        ok = f"coalesce(any_value(typeof({col})) = '{duck}', true)"
+        return head + (f"{ok} AS success, {n} AS element_count, CAST(CASE WHEN {ok} THEN 0 ELSE 1 END AS BIGINT) "
+                       f"AS unexpected_count, CASE WHEN {ok} THEN 1.0 ELSE 0.0 END::DOUBLE AS observed_value FROM {src}")
+    if kind == "rows":
+        lo, hi = arg
+        return head + (f"{n} BETWEEN {lo} AND {hi} AS success, {n} AS element_count, CAST(0 AS BIGINT) AS unexpected_count, "
+                       f"CAST({n} AS DOUBLE) AS observed_value FROM {src}")
+    if kind in ("mean", "std"):
+        fn = "avg" if kind == "mean" else "stddev_samp"
+        lo, hi = arg
+        s = f"{fn}(CAST({col} AS DOUBLE))"
+        cond = " AND ".join(x for x in ([f"{s} >= {lo}"] if lo is not None else []) + ([f"{s} <= {hi}"] if hi is not None else []))
+        return head + (f"coalesce({cond}, false) AS success, {n} AS element_count, CAST(0 AS BIGINT) AS unexpected_count, "
+                       f"round({s} * 1e6) / 1e6 AS observed_value FROM {src}")
+    if kind == "uniq":
+        v = (f"(SELECT coalesce(sum(cnt), 0) FROM (SELECT count(*) AS cnt FROM {src} WHERE {col} IS NOT NULL "
+             f"GROUP BY {col} HAVING count(*) > 1))")
+        return head + (f"{v} = 0 AS success, {n} AS element_count, CAST({v} AS BIGINT) AS unexpected_count, "
+                       f"CAST({v} AS DOUBLE) AS observed_value FROM {src}")
+    if kind == "nn":
+        bad = f"{col} IS NULL"
+    elif kind == "btw":
+        lo, hi = arg
+        rng = " AND ".join(x for x in ([f"{col} >= {lo}"] if lo is not None else []) + ([f"{col} <= {hi}"] if hi is not None else []))
+        bad = f"{col} IS NOT NULL AND (NOT ({rng}) OR isnan(CAST({col} AS DOUBLE)))"
+    elif kind == "set":
+        bad = f"{col} IS NOT NULL AND {col} NOT IN ({', '.join(_lit(v) for v in arg)})"
+    else:
+        bad = f"{col} IS NOT NULL AND NOT regexp_matches({col}, '{arg}')"
+    v = f"count(*) FILTER (WHERE {bad})"
+    return head + (f"{v} = 0 AS success, {n} AS element_count, {v} AS unexpected_count, "
+                   f"CAST({v} AS DOUBLE) AS observed_value FROM {src}")
+
+
+_TABLE = [("cols", None, None), ("rows", None, (1, 100000)), ("type", "customer_id", "LongType"),
+          ("type", "account_balance", "DoubleType")]
+_ROWS = [("nn", "customer_id", None), ("nn", "email", None), ("btw", "age", (18, 100)),
+         ("btw", "risk_score", (0, 100)), ("btw", "account_balance", (0, None)),
+         ("set", "account_type", ["checking", "savings", "credit"]),
+         ("set", "kyc_status", ["pending", "verified", "rejected"]), ("re", "email", EMAIL_RE)]
+_STATS = [("mean", "age", (18, 80)), ("std", "account_balance", (1, None))]
+_ALL = _TABLE[:2] + _ROWS[:2] + [("uniq", "customer_id", None)] + _ROWS[2:] + _STATS + _TABLE[2:]
+
+
+def _suite(rules, src):
+    return "\nUNION ALL\n".join(_rule_sql(i, k, c, src, a) for i, (k, c, a) in enumerate(rules, start=1))
+
+
+SQL["suite_table"] = w(FAULTS, _suite(_TABLE, "clean"))
+SQL["suite_rows"] = w(FAULTS, _suite(_ROWS, "clean"))
+SQL["suite_unique"] = w(FAULTS, _suite([("uniq", "customer_id", None)], "faulted"))
+SQL["suite_stats"] = w(FAULTS, _suite(_STATS, "clean"))
+SQL["suite_report"] = w(FAULTS, "SELECT rule_id, expectation, column_name, success, element_count, unexpected_count, "
+                                "round(observed_value * 1e6) / 1e6 AS observed_value FROM (" + _suite(_ALL, "clean") + ")")
+
+SQL["rescue_unknown_fields"] = w(FAULTS, """
+SELECT customer_id,
+       CASE WHEN drift_kind = 'rename_field' AND customer_name IS NOT NULL
+              THEN '{"customerName":"' || customer_name || '"}'
+            WHEN drift_kind = 'extra_field' THEN '{"experimental_flag":true}'
+            WHEN balance_is_text THEN '{"account_balance":"' || CAST(account_balance AS VARCHAR) || '"}'
+       END AS _rescued_data
+FROM faulted
+""")
+
+SQL["resolve_rename"] = w(FAULTS, "SELECT customer_id, customer_name, account_balance FROM faulted")
+
+SQL["drift_flag"] = w(FAULTS, """
+SELECT customer_id,
+       coalesce(drift_kind = 'rename_field' AND customer_name IS NOT NULL, false)
+       OR coalesce(drift_kind = 'extra_field', false) OR balance_is_text AS had_schema_drift
+FROM faulted
+""")
+
+_LATEST = "QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY exported_at_utc_minus_5 DESC NULLS LAST, export_id DESC) = 1"
+_FACT_COLS = "customer_id, account_balance, risk_score, is_valid_risk_score, registration_date, exported_at_utc_minus_5"
+
+SQL["incremental_merge"] = w(LANDING + f""",
+target AS (SELECT {_FACT_COLS} FROM landing WHERE exported_at_utc_minus_5 <= TIMESTAMP '1998-01-01 00:00:00' {_LATEST}),
+new AS (SELECT {_FACT_COLS} FROM landing
+        WHERE exported_at_utc_minus_5 > (SELECT max(exported_at_utc_minus_5) FROM target) {_LATEST})""", """
+SELECT * FROM target WHERE customer_id NOT IN (SELECT customer_id FROM new)
+UNION ALL SELECT * FROM new
+""")
+
+HISTORY = LANDING + """,
+versions AS (
+  SELECT * FROM landing
+  QUALIFY row_number() OVER (PARTITION BY customer_id, exported_at_utc_minus_5 ORDER BY export_id DESC) = 1),
+history AS (
+  SELECT customer_id, kyc_status, account_balance, exported_at_utc_minus_5,
+         md5(CAST(customer_id AS VARCHAR) || '|' || CAST(exported_at_utc_minus_5 AS VARCHAR)) AS dbt_scd_id,
+         exported_at_utc_minus_5 AS dbt_updated_at, exported_at_utc_minus_5 AS dbt_valid_from,
+         lead(exported_at_utc_minus_5) OVER (PARTITION BY customer_id ORDER BY exported_at_utc_minus_5) AS dbt_valid_to
+  FROM versions WHERE exported_at_utc_minus_5 IS NOT NULL)"""
+
+SQL["scd2_history"] = w(HISTORY, "SELECT * FROM history")
+SQL["scd2_as_of"] = w(HISTORY, """
+SELECT * FROM history
+WHERE dbt_valid_from <= TIMESTAMP '1998-06-30 00:00:00'
+  AND (dbt_valid_to IS NULL OR TIMESTAMP '1998-06-30 00:00:00' < dbt_valid_to)
+""")
+
+_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+SQL["table_profile"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, "
+    f"(SELECT count(*) FROM information_schema.columns WHERE table_name = '{t}') AS column_count FROM {t}"
+    for t in _TABLES)
+
+SQL["expired_versions"] = """
+WITH log AS (SELECT event_type AS table_name, event_id AS version, ts AS committed_at FROM events),
+newest AS (SELECT table_name, arg_max(version, committed_at) AS newest FROM log GROUP BY table_name)
+SELECT l.table_name, l.version, l.committed_at,
+       (epoch_us((SELECT max(committed_at) FROM log)) - epoch_us(l.committed_at)) / 3.6e9 > 168
+         AND l.version != n.newest AS expired
+FROM log l LEFT JOIN newest n ON l.table_name = n.table_name
+"""
+
+SQL["load_failures"] = """
+SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS window_start,
+       time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS window_end,
+       'file_' || CAST(user_id AS VARCHAR) AS file_name, count(*) AS failures
+FROM events WHERE event_type = 'error'
+GROUP BY ALL
+"""
