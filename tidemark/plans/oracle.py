@@ -477,3 +477,49 @@ SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS window_start,
 FROM events WHERE event_type = 'error'
 GROUP BY ALL
 """
+
+_CLEAN_COLS = ("customer_id, customer_name, age, country, email, registration_date, account_type, account_balance, "
+               "balance_is_text, kyc_status, device, notifications, language, last_login_ip, risk_score, "
+               "drift_kind, copy_id")
+
+SQL["ingest_incremental"] = w(FAULTS, """
+SELECT customer_id, CASE WHEN drift_kind = 'rename_field' THEN NULL ELSE customer_name END AS customer_name,
+       age, country, email, account_balance,
+       CASE WHEN drift_kind = 'rename_field' AND customer_name IS NOT NULL
+              THEN '{"customerName":"' || customer_name || '"}'
+            WHEN drift_kind = 'extra_field' THEN '{"experimental_flag":true}'
+            WHEN balance_is_text THEN '{"account_balance":"' || CAST(account_balance AS VARCHAR) || '"}'
+       END AS _rescued_data
+FROM faulted
+""")
+
+SQL["medallion_clean"] = w(FAULTS, """
+SELECT customer_id, customer_name, email, age, account_balance,
+       coalesce(drift_kind = 'rename_field' AND customer_name IS NOT NULL, false)
+       OR coalesce(drift_kind = 'extra_field', false) OR balance_is_text AS had_schema_drift
+FROM clean
+""")
+
+SQL["stream_dedup"] = SQL["dedup_by_key"]
+
+SQL["stream_expectations"] = """
+SELECT * FROM events WHERE coalesce(event_type IN ('click', 'view', 'purchase', 'signup'), false)
+"""
+
+_EV_RULES = [("has_user", "fail", "user_id IS NOT NULL"),
+             ("known_type", "drop", "event_type IN ('click', 'view', 'purchase', 'signup')"),
+             ("positive_value", "warn", "value > 0")]
+SQL["stream_expectation_metrics"] = "\nUNION ALL\n".join(
+    _metric(*r).replace("FROM dedup", "FROM events") for r in _EV_RULES)
+
+SQL["load_by_name"] = w(FAULTS, f"""
+SELECT {_CLEAN_COLS} FROM clean
+UNION ALL
+SELECT {_CLEAN_COLS.replace('last_login_ip', 'CAST(NULL AS VARCHAR) AS last_login_ip')} FROM clean
+""")
+
+SQL["export_snapshot"] = w(FAULTS, f"""
+SELECT {_CLEAN_COLS}, TIMESTAMP '2024-01-01 00:00:00' AS exported_at_utc_minus_5 FROM clean
+""")
+
+SQL["clustered_rewrite"] = w(FAULTS, f"SELECT {_CLEAN_COLS} FROM clean")

@@ -434,3 +434,123 @@ def load_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.when(F.col("event_type") == "error", F.lit("LOAD_FAILED")).otherwise(F.lit("LOADED"))
                      .alias("status"), F.col("ts").alias("last_load_time"))
     return O.load_failures(hist, minutes=15)
+
+
+# ------------------------------------------------------------------ streaming and sinks
+# These run real jobs into fresh folders below the session's checkpoint dir
+# (spark.checkpoint.dir) and return a batch read of what they produced.
+
+import datetime as _dt  # noqa: E402
+
+from tidemark.session import work_path  # noqa: E402
+from tidemark.sources import landing as L  # noqa: E402
+from tidemark.sources import writers as W  # noqa: E402
+from tidemark.streaming import pipeline as P  # noqa: E402
+
+# Row rules of the streaming clean table: risk score still nested in metadata.
+STREAM_RULES = CLEAN_RULES[:4] + [X.expect("valid_risk_score", "metadata.risk_score BETWEEN 0 AND 100")]
+EXPORT_INSTANT = _dt.datetime(2024, 1, 1, 5, 0, 0)       # UTC; 00:00:00 at UTC-5
+
+EVENT_RULES = [
+    X.expect_or_fail("has_user", "user_id IS NOT NULL"),
+    X.expect_or_drop("known_type", "event_type IN ('click', 'view', 'purchase', 'signup')"),
+    X.expect("positive_value", "value > 0"),
+]
+
+
+def _raw_batches(spark: SparkSession, sf_dir: str, raw_dir: str):
+    """Two landed files per run: first copies, then the injected duplicates (JSON lines, shuffled)."""
+    recs = faulted_records(spark, sf_dir)
+    for copy in (0, 1):
+        lines = G.to_json_lines(G.shuffled(recs.where(F.col("copy_id") == copy), SEED))
+        yield lambda lines=lines: lines.write.mode("append").text(raw_dir)
+
+
+@query
+def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landings, two incremental runs; each file is read once, drift rescued."""
+    base = work_path(spark, "ingest")
+    raw, bronze = f"{base}/raw", f"{base}/bronze"
+    for land in _raw_batches(spark, sf_dir, raw):
+        land()
+        P.ingest_json(spark, raw, bronze, f"{base}/_checkpoints/bronze", RAW_SCHEMA, pattern="*.txt")
+    b = spark.read.parquet(bronze)
+    return b.select("customer_id", "customer_name", "age", "country", "email", "account_balance", "_rescued_data")
+
+
+@query
+def medallion_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze -> unified -> clean after each of two landings."""
+    base = work_path(spark, "medallion")
+    paths = P.MedallionPaths(f"{base}/raw", f"{base}/bronze", f"{base}/unified", f"{base}/clean",
+                             f"{base}/metrics", f"{base}/_checkpoints")
+    cfg = P.CleanConfig(key="customer_id", rules=tuple(STREAM_RULES), cluster_by=("country", "kyc_status"))
+    for land in _raw_batches(spark, sf_dir, paths.raw):
+        land()
+        P.run_medallion(spark, paths, RAW_SCHEMA, cfg, pattern="*.txt")
+    c = P.read_sink(spark, paths.clean)
+    return c.select("customer_id", "customer_name", "email", "age", "account_balance", "had_schema_drift")
+
+
+@query
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming first-row-per-user over the events file (order: ts, event_id)."""
+    base = work_path(spark, "stream_dedup")
+    schema = read_table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    P.dedup_stream(spark, stream, f"{base}/out", f"{base}/_checkpoint", "user_id", order_by=["ts", "event_id"])
+    return P.read_sink(spark, f"{base}/out")
+
+
+def _event_expectations(spark: SparkSession, sf_dir: str) -> str:
+    base = work_path(spark, "stream_expect")
+    schema = read_table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    P.expectations_stream(stream, f"{base}/out", f"{base}/metrics", f"{base}/_checkpoint", EVENT_RULES)
+    return base
+
+
+@query
+def stream_expectations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fail/drop/warn rules on a stream of events; rows kept by the drop rule."""
+    return P.read_sink(spark, f"{_event_expectations(spark, sf_dir)}/out")
+
+
+@query
+def stream_expectation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-rule counts of the streamed events, summed over micro-batches."""
+    m = P.read_sink(spark, f"{_event_expectations(spark, sf_dir)}/metrics")
+    return m.groupBy("rule_name", "action").agg(*[F.sum(c).cast("bigint").alias(c) for c in
+                                                  ("passed_records", "failed_records", "unknown_records",
+                                                   "violations")])
+
+
+@query
+def load_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two exports (upper-case reordered columns; a missing column) plus control and
+    text files in the stage; auto-load by name into the landing table, run twice."""
+    base = work_path(spark, "load")
+    stage, landing = f"{base}/stage", f"{base}/landing"
+    clean = clean_records(spark, sf_dir)
+    cols = clean.columns
+    clean.select(*[F.col(c).alias(c.upper()) for c in reversed(cols)]) \
+        .write.parquet(f"{stage}/customers_cleaned_20240101_000000")
+    clean.drop("last_login_ip").write.parquet(f"{stage}/customers_cleaned_20240102_000000")
+    clean.select(F.to_json(F.struct("customer_id")).alias("value")).write.text(f"{stage}/notes")
+    for _ in range(2):                      # the second run finds no new file
+        L.load_new_exports(spark, stage, landing, f"{base}/_checkpoint", clean.schema)
+    return spark.read.parquet(landing)
+
+
+@query
+def export_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full snapshot export with the UTC-5 batch stamp, read back."""
+    path = W.export_snapshot(clean_records(spark, sf_dir), work_path(spark, "export"), EXPORT_INSTANT)
+    return spark.read.parquet(path)
+
+
+@query
+def clustered_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean table rewritten clustered by (country, kyc_status), read back."""
+    path = W.clustered_write(clean_records(spark, sf_dir), work_path(spark, "clustered"), ["country", "kyc_status"])
+    return spark.read.parquet(path)
