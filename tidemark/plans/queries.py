@@ -22,6 +22,7 @@ from tidemark.operators import suite as Q
 from tidemark.plans import models as M
 from tidemark.plans import standins as S
 from tidemark.sources.json_rescue import rescue_parse
+from tidemark.session import spread
 from tidemark.sources.tables import read_table
 
 QUERIES = {}
@@ -90,7 +91,7 @@ SUITE_ALL = (SUITE_TABLE_RULES[:1] + SUITE_TABLE_RULES[1:2] + SUITE_ROW_RULES[:2
 
 def faulted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fault-injected customer records: one clean record per customer key, then G1-G8."""
-    keys = read_table(spark, sf_dir, "customer").select("c_custkey")
+    keys = spread(read_table(spark, sf_dir, "customer").select("c_custkey"))
     return G.inject_faults(G.clean_records(keys, "c_custkey", SEED), SEED)
 
 

@@ -77,3 +77,12 @@ def work_path(spark: SparkSession, name: str) -> str:
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for the few places Python itself lists files (tests only)."""
     return path[len("file:"):] if path.startswith("file:") else path
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin the rows over at least ``min_partitions`` tasks (default: the cluster's cores)
+    when the input has fewer partitions -- for CPU-heavy per-row work on a narrow input such as
+    a key column. A no-op when the input is already split finer (any large table)."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
