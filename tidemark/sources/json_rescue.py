@@ -55,6 +55,8 @@ def rescue_parse(df: DataFrame, schema: T.StructType, value_col: str = "value",
     NULL) and ``_corrupt_record`` (the raw line when it is not valid JSON).
     Other input columns (e.g. file name) are carried through.
 
+    An unknown key holding JSON ``null`` carries no data and is not rescued.
+
     Cost per line: one JSON parse, one typed extraction and one type probe per
     schema field, one pass over the top-level keys. The lambda that selects
     unknown keys only tests membership in a literal array.
@@ -73,7 +75,7 @@ def rescue_parse(df: DataFrame, schema: T.StructType, value_col: str = "value",
                                                F.variant_get(vv, path, "variant").alias("value"))))
     known = F.array(*[F.lit(f.name) for f in schema.fields])
     unknown = F.map_filter(F.try_variant_get(vv, "$", "map<string,variant>"),
-                           lambda k, _: ~F.array_contains(known, k))
+                           lambda k, x: ~F.array_contains(known, k) & ~F.is_variant_null(x))
     rescued_map = F.map_concat(unknown, F.map_from_entries(F.array_compact(F.array(*mismatched))))
     rescued = F.when(F.size(rescued_map) > 0, F.to_json(rescued_map))
     return probed.select(
