@@ -86,3 +86,11 @@ def spread(df, min_partitions: int | None = None):
     sc = df.sparkSession.sparkContext
     want = min_partitions or sc.defaultParallelism
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+def materialize_checkpoint(df):
+    """Cut lineage by writing ``df`` to the shared checkpoint folder (reliable, survives a lost
+    executor; never ``localCheckpoint``). Keeps the output partitioning of the written plan, so a
+    table hash-partitioned by its key joins and groups on that key without a new exchange."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
