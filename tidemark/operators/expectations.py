@@ -77,10 +77,14 @@ def expectation_metrics(df: DataFrame, rules: list[Expectation]) -> DataFrame:
 
 
 def passing(df: DataFrame, rules: list[Expectation]) -> DataFrame:
-    """Rows kept by the drop rules (a predicate must be TRUE to keep the row)."""
-    drops = [r.column for r in rules if r.action == "drop"]
-    for p in drops:
-        df = df.where(F.coalesce(p, F.lit(False)))
+    """Rows kept by the drop rules (a predicate must be TRUE to keep the row).
+
+    A filter already discards rows whose predicate is NULL, so the predicates
+    are used as they are -- which keeps them translatable into Parquet
+    pushed filters."""
+    for r in rules:
+        if r.action == "drop":
+            df = df.where(r.column)
     return df
 
 

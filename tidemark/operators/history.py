@@ -32,7 +32,7 @@ def incremental_merge(target: DataFrame | None, source: DataFrame, key: str, ts:
     First run (no target) takes all source rows. Later runs take rows with
     ``ts > max(target.ts)`` (strict: equal or older stamps are skipped; an empty
     target, whose max is NULL, takes everything), keep the latest per key,
-    replace matching keys and insert new ones. Both sides of the anti join are
+    replace matching keys and insert new ones. Both sides of the join are
     unique per key, so no key can skew it.
     """
     if target is None:
@@ -40,8 +40,13 @@ def incremental_merge(target: DataFrame | None, source: DataFrame, key: str, ts:
     hwm = high_water_mark(target, ts)
     new = source.where(hwm.isNull() | (F.col(ts) > hwm))
     new = latest_per_key(new, key, ts, tiebreak=tiebreak).select(*target.columns)
-    kept = target.join(new.select(key), key, "left_anti")
-    return kept.unionByName(new)
+    # one full outer join on the key: each side is read and shuffled once; a key present in the
+    # new rows takes the new row, any other key keeps the target row
+    t, n = target.alias("__t"), new.alias("__n")
+    j = t.join(n, F.col(f"__t.{key}") == F.col(f"__n.{key}"), "full_outer")
+    take_new = F.col(f"__n.{key}").isNotNull()
+    return j.select(*[F.when(take_new, F.col(f"__n.{c}")).otherwise(F.col(f"__t.{c}")).alias(c)
+                      for c in target.columns])
 
 
 class VersionedTable:
