@@ -523,3 +523,13 @@ SELECT {_CLEAN_COLS}, TIMESTAMP '2024-01-01 00:00:00' AS exported_at_utc_minus_5
 """)
 
 SQL["clustered_rewrite"] = w(FAULTS, f"SELECT {_CLEAN_COLS} FROM clean")
+
+SQL["seed_limits"] = """
+SELECT n_name AS country, CAST(n_nationkey AS BIGINT) * 250 + 5000 AS max_balance_limit,
+       'REG_' || CAST(n_regionkey AS VARCHAR) AS regulatory_body
+FROM nation
+"""
+
+SQL["model_build"] = SQL["mart_balance"]
+SQL["mart_refresh"] = SQL["mart_monthly"]
+SQL["fixture_load"] = w(FAULTS, f"SELECT {_CLEAN_COLS} FROM clean")

@@ -558,3 +558,61 @@ def clustered_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean table rewritten clustered by (country, kyc_status), read back."""
     path = W.clustered_write(clean_records(spark, sf_dir), work_path(spark, "clustered"), ["country", "kyc_status"])
     return spark.read.parquet(path)
+
+
+# ------------------------------------------------------------------ seeds, runner, refresh, fixtures
+
+from tidemark.operators.history import VersionedTable  # noqa: E402
+from tidemark.plans import runner as R  # noqa: E402
+from tidemark.sources import seeds as SD  # noqa: E402
+from tidemark.sources.tables import SourceRegistry  # noqa: E402
+
+LIMITS_SCHEMA = "country string, max_balance_limit long, regulatory_body string"
+
+
+@query
+def seed_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The country-limit seed written as CSV with a header and loaded back typed."""
+    path = f"{work_path(spark, 'seed')}/country_compliance_limits"
+    limits_standin(spark, sf_dir).coalesce(1).write.option("header", True).csv(path)
+    return SD.load_seed(spark, path, LIMITS_SCHEMA)
+
+
+@query
+def model_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model graph run from a named source over the full landing table
+    (generic bronze view over every export), tables materialised, gold mart read back."""
+    reg = SourceRegistry()
+    reg.register("raw.customers_raw", lambda: S.customer_exports(spark, sf_dir))
+    frames = R.run_models(spark, reg, R.customer_models(), work_path(spark, "models"))
+    m = frames["mart_balance_by_country"]
+    return m.select("country", "year", "month", "total_customers",
+                    fixed6("avg_balance").alias("avg_balance"), "total_balance",
+                    fixed6("avg_risk_score").alias("avg_risk_score"),
+                    "pending_kyc_count", "rejected_kyc_count")
+
+
+@query
+def mart_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: freshness-driven monthly mart; the second call finds no newer data and keeps the version."""
+    table = VersionedTable(spark, work_path(spark, "mart_monthly"))
+
+    def build():
+        _, dc, _, f = _models(spark, sf_dir)
+        m = M.mart_monthly(f, dc)
+        return m.select("country", "month", "total_customers", fixed6("avg_balance").alias("avg_balance"),
+                        "total_balance")
+    src = S.order_exports(spark, sf_dir)
+    R.refresh_if_stale(table, build, src, M.STAMP)
+    R.refresh_if_stale(table, build, src, M.STAMP)
+    return table.read()
+
+
+@query
+def fixture_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean table written as a CSV fixture and loaded back by suffix with its schema."""
+    clean = clean_records(spark, sf_dir)
+    path = f"{work_path(spark, 'fixture')}/clean_customers.csv"
+    (clean.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    return SD.load_fixture(spark, path, clean.schema)

@@ -44,7 +44,7 @@ def broadcast_if_small(seed: DataFrame, max_rows: int = SEED_BROADCAST_MAX_ROWS)
     return F.broadcast(seed) if seed.limit(max_rows + 1).count() <= max_rows else seed
 
 
-def load_fixture(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def load_fixture(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """Fixture loader dispatching on suffix: ``.json``/``.jsonl`` or ``.csv``; anything else raises."""
     lower = path.lower()
     reader = spark.read
@@ -53,5 +53,7 @@ def load_fixture(spark: SparkSession, path: str, schema: str | None = None) -> D
     if lower.endswith((".json", ".jsonl", ".ndjson")):
         return reader.json(path)
     if lower.endswith(".csv"):
-        return reader.option("header", True).csv(path)
+        # values are kept verbatim: surrounding spaces are data (a malformed e-mail case)
+        return (reader.option("header", True).option("ignoreLeadingWhiteSpace", False)
+                .option("ignoreTrailingWhiteSpace", False).csv(path))
     raise ValueError(f"unsupported fixture format: {path}")
