@@ -135,9 +135,12 @@ def inject_faults(records: DataFrame, seed: int = 42, rates: FaultRates = FaultR
     return df.unionByName(dup).select(*RECORD_COLUMNS)
 
 
-def shuffled(df: DataFrame, seed: int = 42) -> DataFrame:
-    """Reproducible random order (a range shuffle on a row hash)."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *[F.col(c) for c in ("customer_id", "copy_id")]))
+def shuffled(df: DataFrame, seed: int = 42, partitions: int | None = None) -> DataFrame:
+    """Reproducible random order: rows hash-partitioned on a seeded row hash and sorted by it
+    inside each partition (no range sampling, no global sort)."""
+    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in ("customer_id", "copy_id")])
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, h).sortWithinPartitions(h)
 
 
 def to_json_lines(df: DataFrame) -> DataFrame:

@@ -16,6 +16,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot join key even when the split costs one more exchange downstream (e.g. a per-key
+    # window right after the join): one key may hold a third of the rows
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # unbounded keyed state (streaming dedup) lives in RocksDB, not on the JVM heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
