@@ -175,3 +175,17 @@ def test_date_dim_sunday_zero_and_month_name(spark):
     df = spark.createDataFrame([("2024-01-07T00:00:00",)], "d string")
     r = df.select(*C.date_dim_columns(C.iso_to_date("d"))).first()
     assert (r["day_of_week"], r["month_name"], r["year"], r["month"], r["day"]) == (0, "Jan", 2024, 1, 7)
+
+
+def test_enforce_into_is_one_pass_and_atomic(spark, tmp):
+    from tidemark.operators.history import VersionedTable
+    good = spark.createDataFrame([(1, "a", "x@y.z"), (2, None, "q@r.s")],
+                                 "customer_id long, customer_name string, email string")
+    table = VersionedTable(spark, tmp)
+    path, metrics = X.enforce_into(table, good, CLEAN_RULES[:3])
+    assert [r[0] for r in spark.read.parquet(path).collect()] == [1]
+    assert {r["rule_name"]: r["violations"] for r in metrics.collect()}["valid_customer_name"] == 1
+    bad = spark.createDataFrame([(None, "a", "x@y.z")], good.schema)
+    with pytest.raises(X.ExpectationFailed):
+        X.enforce_into(table, bad, CLEAN_RULES[:3])
+    assert table.current_path() == path          # the failed version was never published

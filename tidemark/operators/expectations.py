@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 ACTIONS = ("fail", "drop", "warn")
@@ -111,6 +111,42 @@ def apply_expectations(df: DataFrame, rules: list[Expectation], raise_on_fail: b
     return passing(df, rules), expectation_metrics(df, rules)
 
 
+def observed_write(df: DataFrame, rules: list[Expectation], write) -> DataFrame:
+    """Write the rows kept by the drop rules with ``write(kept_df)`` and return the rule metrics,
+    measured by ``observe`` in the same pass as the write (the metrics see every input row: the
+    observation sits below the drop filters)."""
+    obs = Observation("tidemark_expectations")
+    kept = passing(df.observe(obs, *_metric_columns(rules)), rules)
+    write(kept)
+    values = obs.get
+    spark = df.sparkSession
+    rows = []
+    for i, r in enumerate(rules):
+        p, f, u = values[f"p{i}"], values[f"f{i}"], values[f"u{i}"]
+        rows.append((r.name, r.action, p, f, u, f + (u if r.action in ("drop", "fail") else 0)))
+    return spark.createDataFrame(rows, METRIC_SCHEMA)
+
+
+def enforce_into(table, df: DataFrame, rules: list[Expectation]):
+    """Batch enforcement in ONE pass over the input into a ``VersionedTable``.
+
+    The kept rows are staged as the next version while the metrics are
+    observed; the version is published only when no fail rule fired, so a
+    failed run is never visible and a rerun starts clean. Returns
+    ``(path, metrics)``; raises ``ExpectationFailed`` after staging otherwise.
+    """
+    staged = {}
+
+    def write(kept):
+        staged["version"], staged["path"] = table.stage(kept)
+    metrics = observed_write(df, rules, write)
+    failures = {r["rule_name"]: r["violations"] for r in metrics.collect()
+                if r["action"] == "fail" and r["violations"]}
+    if failures:
+        raise ExpectationFailed(failures)
+    return table.publish(staged["version"], staged["path"]), metrics
+
+
 def fail_report(df: DataFrame, rules: list[Expectation]) -> DataFrame:
     """Outcome of the fail rules as a table (rule, violations, outcome) without raising."""
     fails = [r for r in rules if r.action == "fail"]

@@ -76,17 +76,24 @@ class VersionedTable:
         p = self.current_path()
         return self.spark.read.parquet(p) if p else None
 
-    def commit(self, df: DataFrame, committed_at: _dt.datetime | None = None) -> str:
+    def stage(self, df: DataFrame) -> tuple[int, str]:
+        """Write the next version's files; invisible to readers until ``publish``."""
         log = self.log()
         version = 0 if log is None else (log.agg(F.max("version")).first()[0] + 1)
         path = f"{self.base}/v={version:06d}"
-        df.write.mode("errorifexists").parquet(path)
+        df.write.mode("overwrite").parquet(path)
+        return version, path
+
+    def publish(self, version: int, path: str, committed_at: _dt.datetime | None = None) -> str:
         stamp = committed_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         self.spark.createDataFrame([(version, path, stamp)],
                                    "version long, path string, committed_at timestamp_ntz") \
             .write.mode("append").parquet(self.log_path)
         return path
 
+    def commit(self, df: DataFrame, committed_at: _dt.datetime | None = None) -> str:
+        return self.publish(*self.stage(df), committed_at=committed_at)
+
 
 def merge_into(spark: SparkSession, base: str, source: DataFrame, key: str, ts: str,
                tiebreak: str | None = None) -> str:

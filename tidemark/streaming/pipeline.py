@@ -93,23 +93,27 @@ class CleanConfig:
 
 
 def _apply_rules_batch(batch: DataFrame, batch_id: int, out_dir: str, metrics_dir: str, cfg: CleanConfig):
-    """Fail rules checked before anything is written (a failed batch is retried whole);
-    metrics observed in the same pass that writes the kept rows; writes are
-    idempotent per batch id (overwrite of ``batch_id=<n>``)."""
+    """Fail rules are checked before anything is written (a failed batch is retried whole); the
+    kept rows are written with the rule metrics observed in the same pass; writes are idempotent
+    per batch id (overwrite of ``batch_id=<n>``)."""
     rules = list(cfg.rules)
-    batch = batch.persist()
+    fails = [r for r in rules if r.action == "fail"]
+    if fails:
+        batch = batch.persist()
     try:
         failures = X.check_fail_rules(batch, rules)
         if failures:
             raise X.ExpectationFailed(failures)
-        metrics = X.expectation_metrics(batch, rules).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        kept = X.passing(batch, rules)
-        if cfg.cluster_by:
-            kept = kept.repartitionByRange(*cfg.cluster_by).sortWithinPartitions(*cfg.cluster_by)
-        kept.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+
+        def write(kept):
+            if cfg.cluster_by:
+                kept = kept.repartitionByRange(*cfg.cluster_by).sortWithinPartitions(*cfg.cluster_by)
+            kept.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        metrics = X.observed_write(batch, rules, write).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         metrics.coalesce(1).write.mode("overwrite").parquet(f"{metrics_dir}/batch_id={batch_id}")
     finally:
-        batch.unpersist()
+        if fails:
+            batch.unpersist()
 
 
 def _ordered_dedup_batch(batch: DataFrame, batch_id: int, out_dir: str, cfg: CleanConfig, spark: SparkSession):
