@@ -92,14 +92,20 @@ def validity_flags(age: str | Column = "age", risk: str | Column = "risk_score",
             F.when(r.isNotNull(), ra).alias("is_valid_risk_score")]
 
 
-def export_stamp(instant: datetime | str | None = None, zone: str = "Etc/GMT+5") -> Column:
+def export_stamp(instant: datetime | str | None = None, zone: str = "Etc/GMT+5",
+                 session_zone: str = "UTC") -> Column:
     """Batch stamp as wall-clock time in ``zone`` (``Etc/GMT+5`` is UTC-5), type timestamp_ntz.
 
-    Pass the instant explicitly to make reruns reproducible; ``None`` uses
-    ``current_timestamp()``.
+    ``instant`` is a UTC wall-clock time (string or naive datetime); pass it to
+    make reruns reproducible. ``None`` uses ``current_timestamp()``, read as
+    wall clock in ``session_zone`` (pass the session's
+    ``spark.sql.session.timeZone``). The result does not depend on the session
+    time zone.
     """
-    base = F.current_timestamp() if instant is None else F.lit(instant).cast("timestamp")
-    return F.from_utc_timestamp(base, zone).cast("timestamp_ntz")
+    if instant is None:
+        return F.convert_timezone(F.lit(session_zone), F.lit(zone), F.current_timestamp().cast("timestamp_ntz"))
+    text = instant if isinstance(instant, str) else instant.strftime("%Y-%m-%d %H:%M:%S")
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), F.lit(text).cast("timestamp_ntz"))
 
 
 def stamp_token(stamp: Column) -> Column:

@@ -38,7 +38,8 @@ def expired_versions(log: DataFrame, retention_hours: int = 168, now=None) -> Da
     latest = latest.select("table_name", F.col("__m.version").alias("__newest"))
     ref = F.lit(now).cast("timestamp_ntz") if now is not None else log.select(F.max("committed_at")).scalar()
     j = log.join(latest, "table_name", "left")
-    age = (F.unix_micros(ref.cast("timestamp")) - F.unix_micros(F.col("committed_at").cast("timestamp"))) / 3.6e9
+    # wall-clock difference of two timestamp_ntz values: no session time zone, no DST shift
+    age = F.timestamp_diff("MICROSECOND", F.col("committed_at"), ref) / 3.6e9
     return j.select("table_name", "version", "committed_at",
                     ((age > retention_hours) & (F.col("version") != F.col("__newest"))).alias("expired"))
 
