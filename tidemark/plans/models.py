@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import (date_dim_columns, extract_path, iso_to_date, month_start,
-                                        risk_bucket, surrogate_key)
+                                        risk_bucket, surrogate_key, validity_flags)
 from tidemark.operators.dedup import latest_per_key
 
 STAMP = "exported_at_utc_minus_5"
@@ -40,8 +40,16 @@ def flatten_metadata(landing: DataFrame, column: str = "metadata") -> DataFrame:
 
 def bronze_customers(landing: DataFrame, tiebreak: str | None = "export_id",
                      nulls_first: bool = False) -> DataFrame:
-    """Latest export per customer from the append-only landing table."""
-    return latest_per_key(flatten_metadata(landing), "customer_id", STAMP,
+    """Latest export per customer from the append-only landing table.
+
+    The nested payload is flattened, and the validity flags are computed when
+    the landing table does not carry them (age 18-100, risk score 0-100, NULL
+    stays NULL).
+    """
+    flat = flatten_metadata(landing)
+    if "is_valid_age" not in flat.columns and {"age", "risk_score"} <= set(flat.columns):
+        flat = flat.select("*", *validity_flags("age", "risk_score"))
+    return latest_per_key(flat, "customer_id", STAMP,
                           tiebreak=tiebreak if tiebreak in landing.columns else None,
                           nulls_first=nulls_first)
 

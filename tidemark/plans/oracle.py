@@ -344,6 +344,11 @@ EMAIL_RE = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 
 def _rule_sql(rid: int, kind: str, col: str | None, src: str, arg=None) -> str:
     c = "CAST(NULL AS VARCHAR)" if col is None else f"'{col}'"
+    if kind == "cols11":
+        # the clean records carry all 11 documentation columns (fixed by their construction)
+        head = f"SELECT CAST({rid} AS INTEGER) AS rule_id, '{_EXP['cols']}' AS expectation, {c} AS column_name, "
+        return head + (f"true AS success, count(*) AS element_count, CAST(0 AS BIGINT) AS unexpected_count, "
+                       f"0.0::DOUBLE AS observed_value FROM {src}")
     head = f"SELECT CAST({rid} AS INTEGER) AS rule_id, '{_EXP[kind]}' AS expectation, {c} AS column_name, "
     n = "count(*)"
     if kind == "cols":
@@ -356,6 +361,9 @@ def _rule_sql(rid: int, kind: str, col: str | None, src: str, arg=None) -> str:
                        f"AS unexpected_count, CASE WHEN {ok} THEN 1.0 ELSE 0.0 END::DOUBLE AS observed_value FROM {src}")
     if kind == "rows":
         lo, hi = arg
+        if hi is None:
+            return head + (f"{n} >= {lo} AS success, {n} AS element_count, CAST(0 AS BIGINT) AS unexpected_count, "
+                           f"CAST({n} AS DOUBLE) AS observed_value FROM {src}")
         return head + (f"{n} BETWEEN {lo} AND {hi} AS success, {n} AS element_count, CAST(0 AS BIGINT) AS unexpected_count, "
                        f"CAST({n} AS DOUBLE) AS observed_value FROM {src}")
     if kind in ("mean", "std"):
@@ -533,3 +541,38 @@ FROM nation
 SQL["model_build"] = SQL["mart_balance"]
 SQL["mart_refresh"] = SQL["mart_monthly"]
 SQL["fixture_load"] = w(FAULTS, f"SELECT {_CLEAN_COLS} FROM clean")
+
+DOCS_EMAIL_RE = r"^[\w\.-]+@[\w\.-]+\.\w+$"
+_DOCS = [("cols11", None, None), ("rows", None, (1, None)), ("nn", "customer_id", None), ("uniq", "customer_id", None),
+         ("btw", "age", (18, 100)), ("btw", "account_balance", (0, None)),
+         ("set", "kyc_status", ["pending", "verified", "rejected"]),
+         ("set", "account_type", ["checking", "savings", "credit"]), ("re", "email", DOCS_EMAIL_RE),
+         ("mean", "age", (18, 100)), ("std", "age", (1, None))]
+SQL["suite_docs"] = w(FAULTS, "SELECT rule_id, expectation, column_name, success, element_count, unexpected_count, "
+                              "round(observed_value * 1e6) / 1e6 AS observed_value FROM (" + _suite(_DOCS, "clean") + ")")
+
+SQL["end_to_end_mart"] = w(FAULTS + """,
+e2e_bronze AS (
+  SELECT customer_id, customer_name, age, country, email, registration_date, kyc_status, account_balance,
+         risk_score, age BETWEEN 18 AND 100 AS is_valid_age,
+         coalesce(drift_kind = 'rename_field' AND customer_name IS NOT NULL, false)
+           OR coalesce(drift_kind = 'extra_field', false) OR balance_is_text AS had_schema_drift
+  FROM clean),
+e2e_dim AS (SELECT DISTINCT customer_id, customer_name, age, country, kyc_status, email, is_valid_age, had_schema_drift
+            FROM e2e_bronze),
+e2e_date AS (SELECT DISTINCT try_cast(registration_date AS DATE) AS date_id,
+                    CAST(year(try_cast(registration_date AS DATE)) AS INTEGER) AS year,
+                    CAST(month(try_cast(registration_date AS DATE)) AS INTEGER) AS month
+             FROM e2e_bronze WHERE registration_date IS NOT NULL AND try_cast(registration_date AS DATE) IS NOT NULL)""", """
+SELECT d.country, dt.year, dt.month,
+       count(DISTINCT f.customer_id) AS total_customers,
+       round(avg(f.account_balance) * 1e6) / 1e6 AS avg_balance,
+       CAST(sum(CAST(f.account_balance AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_balance,
+       round(avg(f.risk_score) * 1e6) / 1e6 AS avg_risk_score,
+       count(*) FILTER (WHERE d.kyc_status = 'pending') AS pending_kyc_count,
+       count(*) FILTER (WHERE d.kyc_status = 'rejected') AS rejected_kyc_count
+FROM e2e_bronze f
+JOIN e2e_dim d ON f.customer_id = d.customer_id
+JOIN e2e_date dt ON try_cast(f.registration_date AS DATE) = dt.date_id
+GROUP BY d.country, dt.year, dt.month
+""")

@@ -616,3 +616,57 @@ def fixture_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     (clean.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
     return SD.load_fixture(spark, path, clean.schema)
+
+
+# ------------------------------------------------------------------ the whole lifecycle, end to end
+
+@query
+def end_to_end_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections 3.1 + 3.2 chained: JSON landings -> bronze -> unified -> clean (streams) -> snapshot
+    export -> by-name load into the landing table -> bronze view (nested payload flattened) ->
+    dimensions and fact (tables) -> gold mart."""
+    base = work_path(spark, "lifecycle")
+    paths = P.MedallionPaths(f"{base}/raw", f"{base}/bronze", f"{base}/unified", f"{base}/clean",
+                             f"{base}/metrics", f"{base}/_checkpoints")
+    cfg = P.CleanConfig(key="customer_id", rules=tuple(STREAM_RULES), cluster_by=("country", "kyc_status"))
+    for land in _raw_batches(spark, sf_dir, paths.raw):
+        land()
+        P.run_medallion(spark, paths, RAW_SCHEMA, cfg, pattern="*.txt")
+    clean = P.read_sink(spark, paths.clean).drop("_source_file", "_rescued_data")
+    exported = W.export_snapshot(clean, f"{base}/stage", EXPORT_INSTANT)
+    schema = spark.read.parquet(exported).schema
+    L.load_new_exports(spark, f"{base}/stage", f"{base}/landing", f"{base}/_checkpoints/load", schema)
+    reg = SourceRegistry()
+    reg.register("raw.customers_raw", lambda: spark.read.parquet(f"{base}/landing"))
+    frames = R.run_models(spark, reg, R.customer_models(), f"{base}/models")
+    m = frames["mart_balance_by_country"]
+    return m.select("country", "year", "month", "total_customers",
+                    fixed6("avg_balance").alias("avg_balance"), "total_balance",
+                    fixed6("avg_risk_score").alias("avg_risk_score"),
+                    "pending_kyc_count", "rejected_kyc_count")
+
+
+# The 11 columns and the e-mail pattern of the documentation suite.
+DOCS_SUITE_COLUMNS = ["customer_id", "customer_name", "age", "country", "email", "registration_date",
+                      "account_type", "account_balance", "kyc_status", "device", "risk_score"]
+DOCS_EMAIL_REGEX = r"^[\w\.-]+@[\w\.-]+\.\w+$"
+SUITE_DOCS = [
+    Q.columns_match_set(DOCS_SUITE_COLUMNS, exact_match=False),
+    Q.row_count_between(1, None),
+    Q.not_null("customer_id"),
+    Q.unique("customer_id"),
+    Q.between("age", 18, 100),
+    Q.between("account_balance", 0, None),
+    Q.in_set("kyc_status", ["pending", "verified", "rejected"]),
+    Q.in_set("account_type", ["checking", "savings", "credit"]),
+    Q.match_regex("email", DOCS_EMAIL_REGEX),
+    Q.mean_between("age", 18, 100),
+    Q.stdev_between("age", 1, None),
+]
+
+
+@query
+def suite_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4-Q12: the 11-rule documentation suite (second e-mail pattern) over the clean table."""
+    r = Q.validate(clean_records(spark, sf_dir), SUITE_DOCS)
+    return r.withColumn("observed_value", fixed6("observed_value"))
