@@ -149,3 +149,25 @@ def test_mart_partition_invariance(spark):
         res.append(_rows(QQ.QUERIES["mart_balance"](spark, SF_SMALL)))
     spark.conf.set("spark.sql.shuffle.partitions", old)
     assert res[0] == res[1] == res[2]
+
+
+def test_schema_inference_on_drifted_json(spark, tmp):
+    """One-off inference sees nested structs, renamed and extra keys, and a mixed-type balance."""
+    lines = [json.dumps({"customer_id": 1, "account_balance": 1.5,
+                         "metadata": {"device": "ios", "preferences": {"notifications": True, "language": "es"},
+                                      "risk_score": 10.0}}),
+             json.dumps({"customer_id": 2, "account_balance": "2.5", "customerName": "B"}),
+             json.dumps({"customer_id": 3, "experimental_flag": True})]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{tmp}/raw")
+    s = J.infer_schema(spark, f"{tmp}/raw")
+    names = {f.name: f.dataType.simpleString() for f in s.fields}
+    assert names["account_balance"] == "string"            # mixed number / string -> string
+    assert names["customerName"] == "string" and names["experimental_flag"] == "boolean"
+    assert names["metadata"].startswith("struct<device:string,preferences:struct<language:string")
+    stored = J.resolve_schema(spark, f"{tmp}/_schema", sample_path=f"{tmp}/raw")
+    assert stored == s and J.load_schema(spark, f"{tmp}/_schema") == s
+    # with the inferred schema the renamed field is a column, and the unify step folds it back
+    parsed = J.rescue_parse(spark.read.text(f"{tmp}/raw"), s)
+    u = {r["customer_id"]: r for r in P.unify(parsed).collect()}
+    assert u[2]["customer_name"] == "B" and u[2]["account_balance"] == 2.5 and u[2]["had_schema_drift"] is True
+    assert u[1]["had_schema_drift"] is False

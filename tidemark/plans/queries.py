@@ -7,6 +7,8 @@ comparable result: averages rounded to 6 digits, money as DECIMAL(38,2).
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as TY
@@ -19,11 +21,17 @@ from tidemark.operators import history as H
 from tidemark.operators import model_tests as T
 from tidemark.operators import ops as O
 from tidemark.operators import suite as Q
+from tidemark.operators.history import VersionedTable
 from tidemark.plans import models as M
+from tidemark.plans import runner as R
 from tidemark.plans import standins as S
+from tidemark.session import materialize_checkpoint, spread, work_path
+from tidemark.sources import landing as L
+from tidemark.sources import seeds as SD
+from tidemark.sources import writers as W
 from tidemark.sources.json_rescue import rescue_parse
-from tidemark.session import materialize_checkpoint, spread
-from tidemark.sources.tables import read_table
+from tidemark.sources.tables import SourceRegistry, read_table
+from tidemark.streaming import pipeline as P
 
 QUERIES = {}
 
@@ -353,14 +361,6 @@ RAW_SCHEMA = TY.StructType([
 ])
 
 
-def unify(df: DataFrame) -> DataFrame:
-    """Silver-unified step: fold renamed names back, flag drift, drop noise, repair types."""
-    df = C.coalesce_renamed(df, "customer_name", "customerName")
-    df = C.drift_flag(df, ["customerName", "experimental_flag", "_rescued_data"])
-    df = C.drop_present(df, "customerName", "experimental_flag")
-    return df.withColumn("account_balance", C.to_double("account_balance"))
-
-
 @query
 def rescue_unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: keys outside the schema and type-drifted values kept in ``_rescued_data``."""
@@ -370,13 +370,13 @@ def rescue_unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def resolve_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Renamed field folded back, balance cast repaired."""
-    return unify(parsed_lines(spark, sf_dir)).select("customer_id", "customer_name", "account_balance")
+    return P.unify(parsed_lines(spark, sf_dir)).select("customer_id", "customer_name", "account_balance")
 
 
 @query
 def drift_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drift evidence flag per record."""
-    return unify(parsed_lines(spark, sf_dir)).select("customer_id", "had_schema_drift")
+    return P.unify(parsed_lines(spark, sf_dir)).select("customer_id", "had_schema_drift")
 
 
 # ------------------------------------------------------------------ history
@@ -444,12 +444,7 @@ def load_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 # These run real jobs into fresh folders below the session's checkpoint dir
 # (spark.checkpoint.dir) and return a batch read of what they produced.
 
-import datetime as _dt  # noqa: E402
 
-from tidemark.session import work_path  # noqa: E402
-from tidemark.sources import landing as L  # noqa: E402
-from tidemark.sources import writers as W  # noqa: E402
-from tidemark.streaming import pipeline as P  # noqa: E402
 
 # Row rules of the streaming clean table: risk score still nested in metadata.
 STREAM_RULES = CLEAN_RULES[:4] + [X.expect("valid_risk_score", "metadata.risk_score BETWEEN 0 AND 100")]
@@ -562,10 +557,6 @@ def clustered_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ seeds, runner, refresh, fixtures
 
-from tidemark.operators.history import VersionedTable  # noqa: E402
-from tidemark.plans import runner as R  # noqa: E402
-from tidemark.sources import seeds as SD  # noqa: E402
-from tidemark.sources.tables import SourceRegistry  # noqa: E402
 
 LIMITS_SCHEMA = "country string, max_balance_limit long, regulatory_body string"
 

@@ -35,7 +35,7 @@ EMAIL_DOMAIN = "example.com"
 
 
 def _pick(key: Column, values: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (key % len(values) + 1).cast("int"))
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(key, F.lit(len(values))) + 1).cast("int"))
 
 
 def _email(custkey: Column, name: Column) -> Column:

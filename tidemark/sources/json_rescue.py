@@ -33,7 +33,10 @@ def _accepted_kinds(dt: T.DataType) -> tuple[str, ...]:
         return ("OBJECT",)
     if isinstance(dt, T.ArrayType):
         return ("ARRAY",)
-    # strings, dates and timestamps arrive as JSON strings
+    if isinstance(dt, T.StringType):
+        # any scalar reads losslessly as its text (as Spark's JSON reader does)
+        return ("STRING", "BOOLEAN") + _NUMERIC
+    # dates and timestamps arrive as JSON strings
     return ("STRING",)
 
 
