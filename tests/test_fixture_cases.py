@@ -189,3 +189,18 @@ def test_enforce_into_is_one_pass_and_atomic(spark, tmp):
     with pytest.raises(X.ExpectationFailed):
         X.enforce_into(table, bad, CLEAN_RULES[:3])
     assert table.current_path() == path          # the failed version was never published
+
+
+def test_invalid_ages_against_both_ranges(spark):
+    """Case 6: all five fail 18-100; only -5, 150, 999 fail the warn range 0-120."""
+    df = spark.createDataFrame([(a,) for a in [-5, 0, 150, 999, 15, None]], "age long")
+    assert sorted(r[0] for r in T.between_violations(df, "age", 18, 100).collect()) == [-5, 0, 15, 150, 999]
+    assert sorted(r[0] for r in T.between_violations(df, "age", 0, 120).collect()) == [-5, 150, 999]
+
+
+def test_invalid_risk_scores(spark):
+    """Case 19: all fail 0-100; only 999 fails -50-200; buckets low, high, high."""
+    df = spark.createDataFrame([(x,) for x in [-10.0, 150.0, 999.0]], "risk_score double")
+    assert T.between_violations(df, "risk_score", 0, 100).count() == 3
+    assert [r[0] for r in T.between_violations(df, "risk_score", -50, 200).collect()] == [999.0]
+    assert [r[0] for r in df.select(C.risk_bucket("risk_score")).collect()] == ["low_risk", "high_risk", "high_risk"]

@@ -91,9 +91,13 @@ def spread(df, min_partitions: int | None = None):
     """Round-robin the rows over at least ``min_partitions`` tasks (default: the cluster's cores)
     when the input has fewer partitions -- for CPU-heavy per-row work on a narrow input such as
     a key column. A no-op when the input is already split finer (any large table)."""
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        sc = df.sparkSession.sparkContext
+        want = min_partitions or sc.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave the layout to the planner
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def materialize_checkpoint(df):
