@@ -127,3 +127,15 @@ def test_history_window_is_partition_invariant(spark):
     w = Window.partitionBy("customer_id").orderBy(TS)
     simple = log.select("customer_id", TS, F.lead(TS).over(w).alias("n"))
     assert sorted((r[0], r[1], r[2]) for r in simple.collect()) == sorted((r[0], r[2], r[6]) for r in res[0])
+
+
+def test_null_stamp_order(spark):
+    df = spark.createDataFrame([(1, None, 10), (1, t(2), 11), (2, None, 12)],
+                               f"customer_id long, {TS} timestamp_ntz, export_id long")
+    from tidemark.operators.dedup import first_per_key, latest_per_key
+    default = {r[0]: r[2] for r in latest_per_key(df, "customer_id", TS, "export_id").collect()}
+    assert default == {1: 11, 2: 12}                       # an unstamped row never wins over a stamped one
+    host = {r[0]: r[2] for r in latest_per_key(df, "customer_id", TS, "export_id", nulls_first=True).collect()}
+    assert host == {1: 10, 2: 12}                          # NULL as largest
+    first = {r[0]: r[2] for r in first_per_key(df, "customer_id", TS, "export_id").collect()}
+    assert first == {1: 11, 2: 12}

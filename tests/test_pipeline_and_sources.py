@@ -171,3 +171,18 @@ def test_schema_inference_on_drifted_json(spark, tmp):
     u = {r["customer_id"]: r for r in P.unify(parsed).collect()}
     assert u[2]["customer_name"] == "B" and u[2]["account_balance"] == 2.5 and u[2]["had_schema_drift"] is True
     assert u[1]["had_schema_drift"] is False
+
+
+def test_stream_dedup_first_batch_wins(spark, tmp):
+    import pytest  # noqa: F401
+    for mode in ("native", "ordered"):
+        src, out = f"{tmp}/{mode}/src", f"{tmp}/{mode}/out"
+        schema = "k long, ts long, v string"
+        spark.createDataFrame([(1, 5, "a"), (2, 1, "b")], schema).write.parquet(f"{src}/b1")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+        P.dedup_stream(spark, stream, out, f"{tmp}/{mode}/_ck", "k", order_by="ts", state=mode)
+        spark.createDataFrame([(1, 0, "late"), (3, 2, "c")], schema).write.parquet(f"{src}/b2")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+        P.dedup_stream(spark, stream, out, f"{tmp}/{mode}/_ck", "k", order_by="ts", state=mode)
+        got = {r["k"]: r["v"] for r in P.read_sink(spark, out).collect()}
+        assert got == {1: "a", 2: "b", 3: "c"}, mode

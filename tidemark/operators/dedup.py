@@ -22,7 +22,8 @@ def _as_list(x) -> list[str]:
 
 
 def _rank(order: list[str], ties: list[str], nulls_high: bool) -> Column:
-    """Struct compared field by field; the presence flag puts NULL stamps on the chosen side."""
+    """Struct compared field by field; a NULL-ness flag before each stamp ranks NULL stamps above
+    (``nulls_high``) or below every value."""
     parts = []
     for c in order:
         flag = F.col(c).isNull() if nulls_high else F.col(c).isNotNull()
@@ -50,9 +51,8 @@ def first_per_key(df: DataFrame, keys: str | list[str], order_by: str | list[str
 
 
 def _top1(df: DataFrame, keys, order, ties, pick, nulls_high: bool) -> DataFrame:
-    # max_by: the presence flag must be high for the preferred side; min_by: low for it
-    flag_high = nulls_high if pick is F.max_by else not nulls_high
+    # ``nulls_high``: NULL stamps rank above every value (win under max_by, lose under min_by)
     rest = [c for c in df.columns if c not in keys]
     row = F.struct(*[F.col(c) for c in rest])
-    best = df.groupBy(*keys).agg(pick(row, _rank(order, ties, flag_high)).alias("__best"))
+    best = df.groupBy(*keys).agg(pick(row, _rank(order, ties, nulls_high)).alias("__best"))
     return best.select(*keys, *[F.col("__best")[c].alias(c) for c in rest]).select(*df.columns)
