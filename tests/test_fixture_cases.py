@@ -204,3 +204,18 @@ def test_invalid_risk_scores(spark):
     assert T.between_violations(df, "risk_score", 0, 100).count() == 3
     assert [r[0] for r in T.between_violations(df, "risk_score", -50, 200).collect()] == [999.0]
     assert [r[0] for r in df.select(C.risk_bucket("risk_score")).collect()] == ["low_risk", "high_risk", "high_risk"]
+
+
+def test_risk_procedure_message_and_export_count(spark, tmp):
+    import datetime as dt
+    from tidemark.plans.models import categorize_customer_risk
+    from tidemark.sources.writers import export_snapshot
+    fact = spark.createDataFrame([(1, 10.0, 75.0), (2, 5.0, None)], "customer_id long, account_balance double, "
+                                 "risk_score double")
+    assert categorize_customer_risk(fact, f"{tmp}/risk") == "Categorized 2 customers into risk buckets."
+    assert {r[3] for r in spark.read.parquet(f"{tmp}/risk").collect()} == {"high_risk", "low_risk"}
+    counts = {}
+    path = export_snapshot(fact, f"{tmp}/exp", dt.datetime(2024, 1, 1, 5, 0, 0), counts=counts)
+    assert counts == {"rows": 2} and path.endswith("customers_cleaned_20240101_000000")
+    assert {str(r[0]) for r in spark.read.parquet(path).select("exported_at_utc_minus_5").collect()} == \
+        {"2024-01-01 00:00:00"}

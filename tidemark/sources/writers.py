@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions.columns import export_stamp
 
 
 def export_snapshot(df: DataFrame, base_dir: str, instant: _dt.datetime, prefix: str = "customers_cleaned",
-                    stamp_col: str = "exported_at_utc_minus_5") -> str:
+                    stamp_col: str = "exported_at_utc_minus_5", counts: dict | None = None) -> str:
     """Write a full snapshot to ``<base>/<prefix>_<yyyyMMdd_HHmmss>`` with the batch stamp column.
 
+    Pass a dict as ``counts`` to receive the exported row count, measured in the write itself.
+
     The path token is computed on the driver from the same instant as the
     column (no Spark job), so a rerun with the same instant targets the same
     path, and a new instant never overwrites an earlier export.
@@ -21,7 +24,11 @@ def export_snapshot(df: DataFrame, base_dir: str, instant: _dt.datetime, prefix:
     token = (local.astimezone(_dt.timezone(_dt.timedelta(hours=-5)))).strftime("%Y%m%d_%H%M%S")
     path = f"{base_dir.rstrip('/')}/{prefix}_{token}"
     utc = local.astimezone(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-    df.withColumn(stamp_col, export_stamp(utc)).write.mode("overwrite").parquet(path)
+    obs = Observation("export_rows")
+    df.withColumn(stamp_col, export_stamp(utc)).observe(obs, F.count(F.lit(1)).alias("rows")) \
+        .write.mode("overwrite").parquet(path)
+    if counts is not None:
+        counts["rows"] = obs.get["rows"]       # counted during the write, no second scan
     return path
 
 
