@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,9 +14,6 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     s = get_spark("tidemark-tests", master="local[4]", shuffle_partitions=4)
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="tidemark-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
     yield s
     s.stop()
 

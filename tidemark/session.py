@@ -55,18 +55,22 @@ def get_spark(app: str = "tidemark", master: str | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local runs and tests) a private folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session (a core setting: it cannot
+    be changed at runtime). When the session names none but a checkpoint folder
+    was registered on the context, that one is used. Only when neither exists
+    (local runs, tests) a private folder is created and registered.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(base)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(base)
         return base
-    base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    spark.sparkContext.setCheckpointDir(base)
-    return base
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def work_path(spark: SparkSession, name: str) -> str:
