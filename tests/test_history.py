@@ -139,3 +139,37 @@ def test_null_stamp_order(spark):
     assert host == {1: 10, 2: 12}                          # NULL as largest
     first = {r[0]: r[2] for r in first_per_key(df, "customer_id", TS, "export_id").collect()}
     assert first == {1: 11, 2: 12}
+
+
+def test_scd2_from_log_check_cols_matches_brute_force(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows, eid = [], 0
+    statuses = ["pending", "pending", "verified", "verified", "verified", "pending", "rejected", "rejected"]
+    for i in range(200):                                   # hot key over many day buckets
+        eid += 1
+        rows.append((7, statuses[i % len(statuses)], 1.0, base + dt.timedelta(hours=7 * i), eid))
+    for k in range(10):
+        for j, s in enumerate(["pending", "pending", "verified"]):
+            eid += 1
+            rows.append((100 + k, s, 1.0, base + dt.timedelta(days=2 * j), eid))
+    log = spark.createDataFrame(rows, SCHEMA)
+    got = sorted((r["customer_id"], r["kyc_status"], r["dbt_valid_from"], r["dbt_valid_to"]) for r in
+                 H.scd2_from_log(log, "customer_id", TS, ["kyc_status"], "export_id", check_cols=["kyc_status"]).collect())
+    expect = []
+    for k in sorted({r[0] for r in rows}):
+        kr = sorted((r for r in rows if r[0] == k), key=lambda r: r[3])
+        kept = [r for i, r in enumerate(kr) if i == 0 or r[1] != kr[i - 1][1]]
+        for i, r in enumerate(kept):
+            expect.append((k, r[1], r[3], kept[i + 1][3] if i + 1 < len(kept) else None))
+    assert got == sorted(expect)
+
+
+def test_generate_dirty_json_is_seeded_and_uniquely_named(spark, tmp):
+    import datetime as _dt
+    from tidemark.operators.faults import generate_dirty_json
+    p1 = generate_dirty_json(spark, tmp, rows=300, seed=5, stamp=_dt.datetime(2024, 1, 1, 0, 0, 0))
+    p2 = generate_dirty_json(spark, tmp, rows=300, seed=5, stamp=_dt.datetime(2024, 1, 1, 0, 0, 1))
+    assert p1.endswith("raw_customers_20240101T000000.json") and p1 != p2
+    a = sorted(r[0] for r in spark.read.text(p1).collect())
+    b = sorted(r[0] for r in spark.read.text(p2).collect())
+    assert a == b and len(a) >= 300

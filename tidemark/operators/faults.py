@@ -169,3 +169,17 @@ def to_json_lines(df: DataFrame) -> DataFrame:
         F.when(F.col("drift_kind") == "extra_field", F.lit(True)).alias("experimental_flag"),
     )
     return df.select(F.regexp_replace(F.to_json(s), '"account_balance__text":', '"account_balance":').alias("value"))
+
+
+def generate_dirty_json(spark, out_dir: str, rows: int = 5000, seed: int = 42, rates: FaultRates = FaultRates(),
+                        prefix: str = "raw_customers", stamp=None) -> str:
+    """``rows`` base records (ids 1..rows) with every fault injected, shuffled, written as JSON
+    lines under a unique ``<prefix>_<yyyyMMddTHHmmss>`` name (UTC-5 wall clock) so that an
+    incremental reader never mistakes a new batch for one it has seen."""
+    import datetime as _dt
+    now = stamp or _dt.datetime.now(_dt.timezone(_dt.timedelta(hours=-5)))
+    path = f"{out_dir.rstrip('/')}/{prefix}_{now.strftime('%Y%m%dT%H%M%S')}.json"
+    keys = spark.range(1, rows + 1).withColumnRenamed("id", "k")
+    recs = inject_faults(clean_records(keys, "k", seed), seed, rates)
+    to_json_lines(shuffled(recs, seed)).write.mode("errorifexists").text(path)
+    return path

@@ -110,36 +110,74 @@ def scd_id(key: str, ts: str) -> Column:
     return F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col(ts).cast("string")))
 
 
-def scd2_from_log(log: DataFrame, key: str, ts: str, columns: list[str],
-                  tiebreak: str | None = None, bucket: str = "day") -> DataFrame:
-    """Whole SCD2 history from an append-only log, timestamp strategy.
+def _next_in_key(df: DataFrame, key: str, ts: str, bucket: Column, order: list[Column], drop_equal: bool):
+    """Next stamp per key, found inside (key, time bucket) windows plus one per-key window over
+    the first stamp of each bucket. With ``drop_equal`` only the first row of each equal stamp
+    (by ``order``) is kept."""
+    b = df.withColumn("__b", bucket)
+    w = Window.partitionBy(key, "__b").orderBy(*order)
+    if drop_equal:
+        b = (b.withColumn("__prev", F.lag(ts).over(w))
+             .where(F.col("__prev").isNull() | (F.col("__prev") != F.col(ts))).drop("__prev"))
+    b = b.withColumn("__next", F.lead(ts).over(w))
+    firsts = b.groupBy(key, "__b").agg(F.min(ts).alias("__first"))
+    firsts = (firsts.withColumn("__next_bucket", F.lead("__first").over(Window.partitionBy(key).orderBy("__b")))
+              .select(key, "__b", "__next_bucket"))
+    return (b.join(firsts, [key, "__b"], "left")
+            .withColumn("__next", F.coalesce("__next", "__next_bucket")).drop("__next_bucket", "__b"))
+
+
+def _prev_values(df: DataFrame, key: str, ts: str, bucket: Column, cols: list[str]):
+    """Values of ``cols`` in the previous row of the same key (by ``ts``), two-level like ``_next_in_key``."""
+    b = df.withColumn("__b", bucket)
+    w = Window.partitionBy(key, "__b").orderBy(ts)
+    for c in cols:
+        b = b.withColumn(f"__prev_{c}", F.lag(c).over(w))
+    b = b.withColumn("__is_first", F.row_number().over(w) == 1)
+    lasts = b.groupBy(key, "__b").agg(F.max_by(F.struct(*[F.col(c).alias(c) for c in cols]), F.col(ts)).alias("__last"))
+    wk = Window.partitionBy(key).orderBy("__b")
+    lasts = lasts.withColumn("__carry", F.lag("__last").over(wk)).select(key, "__b", "__carry")
+    b = b.join(lasts, [key, "__b"], "left")
+    for c in cols:
+        b = b.withColumn(f"__prev_{c}", F.when(F.col("__is_first"), F.col("__carry")[c]).otherwise(F.col(f"__prev_{c}")))
+    has_prev = ~F.col("__is_first") | F.col("__carry").isNotNull()
+    return b.withColumn("__has_prev", has_prev).drop("__carry", "__is_first", "__b")
 
-    One version per distinct (key, stamp) -- on equal stamps the highest
-    ``tiebreak`` wins -- valid from its stamp to the next stamp of the key.
-    Rows without a stamp cannot be placed in time and are left out.
 
-    Skew: the next stamp is found inside (key, time bucket) windows, and only
-    the first stamp of each bucket is carried to the previous bucket through a
-    per-key window over one row per (key, bucket). A key holding a third of all
-    rows is therefore spread over its buckets instead of landing in one task.
+def scd2_from_log(log: DataFrame, key: str, ts: str, columns: list[str],
+                  tiebreak: str | None = None, bucket: str = "day",
+                  check_cols: list[str] | None = None) -> DataFrame:
+    """Whole SCD2 history from an append-only log.
+
+    Timestamp strategy (default): one version per distinct (key, stamp) -- on
+    equal stamps the highest ``tiebreak`` wins -- valid from its stamp to the
+    next stamp of the key. With ``check_cols`` a row opens a version only when
+    one of those columns differs from the previous row of the key (the first
+    row always does). Rows without a stamp cannot be placed in time and are
+    left out.
+
+    Skew: the next stamp (and the previous values) are found inside (key, time
+    bucket) windows, and only one row per (key, bucket) is carried across
+    buckets through a per-key window. A key holding a third of all rows is
+    therefore spread over its buckets instead of landing in one task.
     """
-    b = F.date_trunc(bucket, F.col(ts)).alias("__b")
-    base = log.where(F.col(ts).isNotNull()).select(key, ts, *columns, *([tiebreak] if tiebreak else []), b)
+    bucket_col = F.date_trunc(bucket, F.col(ts))
+    base = log.where(F.col(ts).isNotNull()).select(key, ts, *columns, *([tiebreak] if tiebreak else []))
     order = [F.col(ts).asc()] + ([F.col(tiebreak).desc_nulls_last()] if tiebreak else [])
-    w = Window.partitionBy(key, "__b").orderBy(*order)
-    v = (base.withColumn("__prev", F.lag(ts).over(w))
-         .where(F.col("__prev").isNull() | (F.col("__prev") != F.col(ts))))
-    v = v.withColumn("__next", F.lead(ts).over(w))
-    firsts = v.groupBy(key, "__b").agg(F.min(ts).alias("__first"))
-    firsts = (firsts.withColumn("__next_bucket", F.lead("__first").over(Window.partitionBy(key).orderBy("__b")))
-              .select(key, "__b", "__next_bucket"))
-    v = v.join(firsts, [key, "__b"], "left")
+    v = _next_in_key(base, key, ts, bucket_col, order, drop_equal=True)
+    if check_cols:
+        v = _prev_values(v.drop("__next"), key, ts, bucket_col, check_cols)
+        changed = ~F.col("__has_prev")
+        for c in check_cols:
+            changed = changed | ~F.col(c).eqNullSafe(F.col(f"__prev_{c}"))
+        v = v.where(changed).drop("__has_prev", *[f"__prev_{c}" for c in check_cols])
+        v = _next_in_key(v, key, ts, bucket_col, order, drop_equal=False)
     return v.select(
         key, *columns, ts,
         scd_id(key, ts).alias("dbt_scd_id"),
         F.col(ts).alias("dbt_updated_at"),
         F.col(ts).alias("dbt_valid_from"),
-        F.coalesce("__next", "__next_bucket").alias("dbt_valid_to"),
+        F.col("__next").alias("dbt_valid_to"),
     )
 
 

@@ -576,3 +576,21 @@ JOIN e2e_dim d ON f.customer_id = d.customer_id
 JOIN e2e_date dt ON try_cast(f.registration_date AS DATE) = dt.date_id
 GROUP BY d.country, dt.year, dt.month
 """)
+
+SQL["scd2_changes"] = w(LANDING + """,
+versions AS (
+  SELECT customer_id, kyc_status, exported_at_utc_minus_5 FROM landing
+  WHERE exported_at_utc_minus_5 IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY customer_id, exported_at_utc_minus_5 ORDER BY export_id DESC) = 1),
+changes AS (
+  SELECT * FROM (
+    SELECT *, lag(kyc_status) OVER (PARTITION BY customer_id ORDER BY exported_at_utc_minus_5) AS prev,
+           row_number() OVER (PARTITION BY customer_id ORDER BY exported_at_utc_minus_5) AS rn
+    FROM versions)
+  WHERE rn = 1 OR prev IS DISTINCT FROM kyc_status)""", """
+SELECT customer_id, kyc_status, exported_at_utc_minus_5,
+       md5(CAST(customer_id AS VARCHAR) || '|' || CAST(exported_at_utc_minus_5 AS VARCHAR)) AS dbt_scd_id,
+       exported_at_utc_minus_5 AS dbt_updated_at, exported_at_utc_minus_5 AS dbt_valid_from,
+       lead(exported_at_utc_minus_5) OVER (PARTITION BY customer_id ORDER BY exported_at_utc_minus_5) AS dbt_valid_to
+FROM changes
+""")

@@ -407,6 +407,13 @@ def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history(spark, sf_dir)
 
 
+@query
+def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 (check strategy): KYC history with a new version only when the KYC status changes."""
+    return H.scd2_from_log(_landing(spark, sf_dir), "customer_id", M.STAMP, ["kyc_status"],
+                           tiebreak="export_id", check_cols=["kyc_status"])
+
+
 @query
 def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3: the KYC state of every customer at a fixed instant."""
