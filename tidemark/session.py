@@ -110,3 +110,23 @@ def materialize_checkpoint(df):
     table hash-partitioned by its key joins and groups on that key without a new exchange."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
+                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Settings to submit a job with, sized from the bytes it reads.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of input
+    (at least twice the task slots) and AQE coalesces what turns out small or
+    splits what turns out skewed; scan splits are capped at the same size so a
+    task's input fits comfortably in its share of executor memory.
+    """
+    slots = executor_cores * executors
+    parts = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+    }
