@@ -131,14 +131,15 @@ def test_runner_builds_models_and_gates(spark, tmp):
 
 def test_refresh_if_stale(spark, tmp):
     from tidemark.operators.history import VersionedTable
-    src = spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "ts timestamp_ntz")
+    src = spark.createDataFrame([(dt.datetime(1998, 1, 1),)], "ts timestamp_ntz")
     tbl = VersionedTable(spark, tmp)
     build = lambda: src
-    assert R.refresh_if_stale(tbl, build, src, "ts", now=dt.datetime(2024, 1, 2))
-    assert not R.refresh_if_stale(tbl, build, src, "ts", now=dt.datetime(2024, 1, 5))   # no newer data
-    src2 = spark.createDataFrame([(dt.datetime(2024, 1, 6),)], "ts timestamp_ntz")
+    assert R.refresh_if_stale(tbl, build, src, "ts", now=dt.datetime(2024, 1, 2))        # first build
+    assert not R.refresh_if_stale(tbl, build, src, "ts", now=dt.datetime(2024, 1, 9))    # no newer data
+    src2 = spark.createDataFrame([(dt.datetime(1998, 1, 6),)], "ts timestamp_ntz")
     assert not R.refresh_if_stale(tbl, build, src2, "ts", now=dt.datetime(2024, 1, 2, 12))  # inside the lag
-    assert R.refresh_if_stale(tbl, build, src2, "ts", now=dt.datetime(2024, 1, 7))
+    assert R.refresh_if_stale(tbl, build, src2, "ts", now=dt.datetime(2024, 1, 4))
+    assert tbl.last_commit()["source_hwm"] == dt.datetime(1998, 1, 6)
 
 
 def test_mart_partition_invariance(spark):
@@ -186,3 +187,19 @@ def test_stream_dedup_first_batch_wins(spark, tmp):
         P.dedup_stream(spark, stream, out, f"{tmp}/{mode}/_ck", "k", order_by="ts", state=mode)
         got = {r["k"]: r["v"] for r in P.read_sink(spark, out).collect()}
         assert got == {1: "a", 2: "b", 3: "c"}, mode
+
+
+def test_non_object_json_lines_are_quarantined(spark):
+    df = spark.createDataFrame([("5",), ("[1, 2]",), ('"x"',), ('{"customer_id": 1}',)], "value string")
+    out = J.rescue_parse(df, QQ.RAW_SCHEMA)
+    assert sorted(r[0] for r in out.where("_corrupt_record is not null").select("_corrupt_record").collect()) == \
+        sorted(['"x"', "5", "[1, 2]"])
+
+
+def test_merge_inserts_null_key_rows(spark):
+    from tidemark.operators.history import incremental_merge
+    target = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), "a")], "k long, ts timestamp_ntz, v string")
+    src = spark.createDataFrame([(None, dt.datetime(2024, 1, 2), "n"), (1, dt.datetime(2024, 1, 3), "b")],
+                                target.schema)
+    got = sorted(map(tuple, incremental_merge(target, src, "k", "ts").collect()), key=repr)
+    assert got == sorted([(None, dt.datetime(2024, 1, 2), "n"), (1, dt.datetime(2024, 1, 3), "b")], key=repr)

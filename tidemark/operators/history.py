@@ -42,9 +42,9 @@ def incremental_merge(target: DataFrame | None, source: DataFrame, key: str, ts:
     new = latest_per_key(new, key, ts, tiebreak=tiebreak).select(*target.columns)
     # one full outer join on the key: each side is read and shuffled once; a key present in the
     # new rows takes the new row, any other key keeps the target row
-    t, n = target.alias("__t"), new.alias("__n")
+    t, n = target.alias("__t"), new.withColumn("__new", F.lit(True)).alias("__n")
     j = t.join(n, F.col(f"__t.{key}") == F.col(f"__n.{key}"), "full_outer")
-    take_new = F.col(f"__n.{key}").isNotNull()
+    take_new = F.col("__n.__new").isNotNull()          # also inserts new rows whose key is NULL
     return j.select(*[F.when(take_new, F.col(f"__n.{c}")).otherwise(F.col(f"__t.{c}")).alias(c)
                       for c in target.columns])
 
@@ -84,15 +84,25 @@ class VersionedTable:
         df.write.mode("overwrite").parquet(path)
         return version, path
 
-    def publish(self, version: int, path: str, committed_at: _dt.datetime | None = None) -> str:
+    LOG_SCHEMA = "version long, path string, committed_at timestamp_ntz, source_hwm timestamp_ntz"
+
+    def publish(self, version: int, path: str, committed_at: _dt.datetime | None = None,
+                source_hwm: _dt.datetime | None = None) -> str:
+        """Make a staged version current: one appended log row (wall-clock commit time and,
+        optionally, the newest source stamp the version was built from)."""
         stamp = committed_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        self.spark.createDataFrame([(version, path, stamp)],
-                                   "version long, path string, committed_at timestamp_ntz") \
+        self.spark.createDataFrame([(version, path, stamp, source_hwm)], self.LOG_SCHEMA) \
             .write.mode("append").parquet(self.log_path)
         return path
 
-    def commit(self, df: DataFrame, committed_at: _dt.datetime | None = None) -> str:
-        return self.publish(*self.stage(df), committed_at=committed_at)
+    def commit(self, df: DataFrame, committed_at: _dt.datetime | None = None,
+               source_hwm: _dt.datetime | None = None) -> str:
+        return self.publish(*self.stage(df), committed_at=committed_at, source_hwm=source_hwm)
+
+    def last_commit(self):
+        """Newest log row (version, path, committed_at, source_hwm), or None."""
+        log = self.log()
+        return None if log is None else log.orderBy(F.col("version").desc()).first()
 
 
 def merge_into(spark: SparkSession, base: str, source: DataFrame, key: str, ts: str,

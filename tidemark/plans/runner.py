@@ -89,18 +89,19 @@ def refresh_if_stale(table: H.VersionedTable, build: Callable[[], DataFrame], so
     """Freshness-driven refresh (a declared target lag instead of a schedule).
 
     Rebuilds and commits a new version when the table was never built, or when
-    the source holds data newer than the last refresh and the last refresh is
-    older than ``lag``. Returns True when a refresh ran. One scalar aggregate
-    on the source decides it.
+    the source holds stamps newer than those the current version was built from
+    and the current version is at least ``lag`` old (wall clock). Data stamps
+    are compared with data stamps, wall-clock times with wall-clock times. One
+    scalar aggregate on the source decides it. Returns True when it refreshed.
     """
-    log = table.log()
     now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    if log is None:
-        table.commit(build(), committed_at=now)
-        return True
-    last = log.agg(F.max("committed_at")).first()[0]
     newest = source.agg(F.max(ts)).first()[0]
-    if newest is not None and newest > last and now - last >= lag:
-        table.commit(build(), committed_at=now)
+    last = table.last_commit()
+    if last is None:
+        table.commit(build(), committed_at=now, source_hwm=newest)
+        return True
+    fresh_data = newest is not None and (last["source_hwm"] is None or newest > last["source_hwm"])
+    if fresh_data and now - last["committed_at"] >= lag:
+        table.commit(build(), committed_at=now, source_hwm=newest)
         return True
     return False

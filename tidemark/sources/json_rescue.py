@@ -81,9 +81,11 @@ def rescue_parse(df: DataFrame, schema: T.StructType, value_col: str = "value",
                            lambda k, x: ~F.array_contains(known, k) & ~F.is_variant_null(x))
     rescued_map = F.map_concat(unknown, F.map_from_entries(F.array_compact(F.array(*mismatched))))
     rescued = F.when(F.size(rescued_map) > 0, F.to_json(rescued_map))
+    # a line that is not a JSON object (malformed, or a bare scalar / array) is quarantined whole
+    not_object = vv.isNull() | F.try_variant_get(vv, "$", "map<string,variant>").isNull()
     return probed.select(
         *carried, *fields, rescued.alias(RESCUED),
-        F.when(vv.isNull(), F.col(value_col)).alias(CORRUPT),
+        F.when(not_object, F.col(value_col)).alias(CORRUPT),
         *([F.col(value_col)] if keep_value else []),
     )
 
