@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import latest_per_key
+from tidemark.session import path_exists
 
 SCD_COLUMNS = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
@@ -60,9 +62,11 @@ class VersionedTable:
         return f"{self.base}/_log"
 
     def log(self) -> DataFrame | None:
+        if path_exists(self.spark, self.log_path) is False:
+            return None                          # no commit yet
         try:
             return self.spark.read.parquet(self.log_path)
-        except Exception:  # no commit yet
+        except AnalysisException:                # no commit yet (file system not reachable to ask)
             return None
 
     def current_path(self) -> str | None:

@@ -130,3 +130,14 @@ def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
     }
+
+
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists on the session's Hadoop file system (None when that cannot be asked,
+    e.g. from a remote client)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:
+        return None

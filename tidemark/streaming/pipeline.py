@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions import columns as C
 from tidemark.operators import expectations as X
 from tidemark.operators.dedup import first_per_key
+from tidemark.session import path_exists
 from tidemark.sources.json_rescue import CORRUPT, RESCUED, rescue_parse
 
 
@@ -120,6 +121,8 @@ def _ordered_dedup_batch(batch: DataFrame, batch_id: int, out_dir: str, cfg: Cle
     """First-ever row per key with a defined order: the batch's first row per key, minus keys
     already in earlier batches of the sink (anti join on distinct keys)."""
     first = first_per_key(batch, cfg.key, cfg.order_by) if cfg.order_by else batch.dropDuplicates([cfg.key])
+    if path_exists(spark, out_dir) is False:     # first batch: no sink yet
+        return first
     try:
         seen = spark.read.parquet(out_dir).where(F.col("batch_id") != batch_id).select(cfg.key).distinct()
         first = first.join(seen, cfg.key, "left_anti")
