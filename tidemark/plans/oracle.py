@@ -6,6 +6,8 @@ CTEs reproduce the stand-in mapping of ``tidemark.plans.standins``.
 
 from __future__ import annotations
 
+from tidemark.operators import faults as FX
+
 CUST = """
 cust AS (
   SELECT c.c_custkey AS customer_id, c.c_name AS customer_name,
@@ -117,8 +119,7 @@ def _letters(salt: str, key: str = "k") -> str:
             f"'0123456789abcdef', 'abcdefghijklmnop')")
 
 
-COUNTRIES = ["Peru", "Chile", "Colombia", "Mexico", "Argentina", "Brazil", "Spain"]
-DOMAINS = ["gmail.com", "hotmail.com", "yahoo.com"]
+COUNTRIES, DOMAINS = FX.COUNTRIES, FX.EMAIL_DOMAINS
 
 FAULTS = f"""
 g0 AS (
@@ -128,12 +129,12 @@ g0 AS (
          {_ch('country', COUNTRIES)} AS country,
          {_letters('email')} || '@' || {_ch('domain', DOMAINS)} AS email,
          strftime(DATE '2022-01-01' + CAST(floor({_u('reg')} * 1201) AS INTEGER), '%Y-%m-%dT00:00:00') AS registration_date,
-         {_ch('acct', ['checking', 'savings', 'credit'])} AS account_type,
+         {_ch('acct', FX.ACCOUNT_TYPES)} AS account_type,
          floor({_u('bal')} * 5000001) / 100.0 AS account_balance,
          CASE WHEN {_u('kyc')} < 0.1 THEN 'pending' WHEN {_u('kyc')} < 0.95 THEN 'verified' ELSE 'rejected' END AS kyc_status,
-         {_ch('device', ['android', 'ios', 'web', 'unknown'])} AS device,
+         {_ch('device', FX.DEVICES)} AS device,
          {_u('notif')} < 0.5 AS notifications,
-         {_ch('lang', ['es', 'en', 'pt'])} AS language,
+         {_ch('lang', FX.LANGUAGES)} AS language,
          CAST(CAST(floor({_u('ip1')} * 255) + 1 AS BIGINT) AS VARCHAR) || '.' ||
          CAST(CAST(floor({_u('ip2')} * 256) AS BIGINT) AS VARCHAR) || '.' ||
          CAST(CAST(floor({_u('ip3')} * 256) AS BIGINT) AS VARCHAR) || '.' ||
@@ -143,21 +144,21 @@ g0 AS (
 gf AS (
   SELECT g0.*,
          {_u('null')} < 0.05 AS hit_null,
-         {_ch('null_field', ['customer_name', 'age', 'country', 'email'])} AS null_field,
+         {_ch('null_field', FX.NULLABLE_FIELDS)} AS null_field,
          {_u('bad_age')} < 0.03 AS g2,
-         CAST({_ch('bad_age_pick', [-5, 0, 150, 999, 15])} AS BIGINT) AS bad_age,
+         CAST({_ch('bad_age_pick', FX.INVALID_AGES)} AS BIGINT) AS bad_age,
          {_u('bad_email')} < 0.03 AS g3,
-         {_ch('bad_email_pick', ['no_at', 'no_domain', 'spaces', 'double_at'])} AS email_kind,
+         {_ch('bad_email_pick', FX.EMAIL_FAULTS)} AS email_kind,
          {_letters('bad_email_local')} AS bl,
          {_ch('bad_email_domain', DOMAINS)} AS bd,
-         CASE WHEN {_u('drift')} < 0.02 THEN {_ch('drift_pick', ['rename_field', 'extra_field', 'type_change'])} END AS drift_kind,
+         CASE WHEN {_u('drift')} < 0.02 THEN {_ch('drift_pick', FX.DRIFT_KINDS)} END AS drift_kind,
          {_u('bad_bal')} < 0.03 AS g5,
-         {_ch('bad_bal_pick', [-500.0, -99999.99, 999999999.99])} AS bad_bal,
+         {_ch('bad_bal_pick', FX.INVALID_BALANCES)} AS bad_bal,
          {_u('kyc_viol')} < 0.04 AS g6,
-         {_ch('kyc_pick', ['pending', 'rejected'])} AS kyc_v,
+         {_ch('kyc_pick', FX.KYC_VIOLATION_STATUSES)} AS kyc_v,
          floor({_u('kyc_bal')} * 1990001) / 100.0 + 100 AS kyc_bal,
          {_u('bad_risk')} < 0.03 AS g7,
-         {_ch('bad_risk_pick', [-10.0, 150.0, 999.0])} AS bad_risk,
+         {_ch('bad_risk_pick', FX.INVALID_RISK_SCORES)} AS bad_risk,
          {_u('dup')} < 0.03 AS g8
   FROM g0),
 faulted0 AS (
