@@ -27,16 +27,18 @@ class Model:
     name: str
     kind: str                                    # "view" | "table"
     build: Callable[[dict[str, DataFrame]], DataFrame]
+    bucket_by: str | None = None                 # co-locate tables joined on this key
 
 
 def customer_models() -> list[Model]:
     """The customer star schema, in dependency order."""
     out = [
         Model("bronze_customers", "view", lambda f: M.bronze_customers(f["raw.customers_raw"])),
-        Model("dim_customer", "table", lambda f: M.dim_customer(f["bronze_customers"])),
+        Model("dim_customer", "table", lambda f: M.dim_customer(f["bronze_customers"]), "customer_id"),
         Model("dim_date", "table", lambda f: M.dim_date(f["bronze_customers"])),
         Model("dim_service", "table", lambda f: M.dim_service(f["bronze_customers"])),
-        Model("fact_customer_activity", "table", lambda f: M.fact_customer_activity(f["bronze_customers"])),
+        Model("fact_customer_activity", "table", lambda f: M.fact_customer_activity(f["bronze_customers"]),
+              "customer_id"),
         Model("mart_balance_by_country", "table",
               lambda f: M.mart_balance_by_country(f["fact_customer_activity"], f["dim_customer"], f["dim_date"])),
         Model("customers_risk_categorized", "table", lambda f: M.customers_risk_categorized(f["fact_customer_activity"])),
@@ -45,12 +47,20 @@ def customer_models() -> list[Model]:
 
 
 def run_models(spark: SparkSession, registry: SourceRegistry, models: list[Model], base_path: str,
-               sources: list[str] = ("raw.customers_raw",)) -> dict[str, DataFrame]:
-    """Build every model in order; tables land in ``<base_path>/<name>``."""
+               sources: list[str] = ("raw.customers_raw",), buckets: int | None = None) -> dict[str, DataFrame]:
+    """Build every model in order; tables land in ``<base_path>/<name>``.
+
+    Tables with a ``bucket_by`` key are written bucketed on it (same bucket
+    count for all), so the fact and the customer dimension meet in the marts
+    and tests without a shuffle. Catalog names are made unique per run.
+    """
     frames = {s: registry.get(s) for s in sources}
+    run = base_path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_").replace(".", "_")
     for m in models:
         df = m.build(frames)
-        frames[m.name] = materialize(df, m.kind, m.name, f"{base_path}/{m.name}" if m.kind == "table" else None)
+        frames[m.name] = materialize(df, m.kind, f"{m.name}__{run}" if m.bucket_by else m.name,
+                                     f"{base_path}/{m.name}" if m.kind == "table" else None,
+                                     bucket_by=m.bucket_by, buckets=buckets)
     return frames
 
 

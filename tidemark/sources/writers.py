@@ -32,16 +32,28 @@ def export_snapshot(df: DataFrame, base_dir: str, instant: _dt.datetime, prefix:
     return path
 
 
-def materialize(df: DataFrame, kind: str, name: str, path: str | None = None) -> DataFrame:
+def materialize(df: DataFrame, kind: str, name: str, path: str | None = None,
+                bucket_by: str | None = None, buckets: int | None = None) -> DataFrame:
     """``view``: temp view, nothing computed. ``table``: full rebuild written to ``path``
-    (overwrite) and read back, which also cuts the lineage of downstream models."""
+    (overwrite) and read back, which also cuts the lineage of downstream models.
+
+    With ``bucket_by`` the table is written bucketed and sorted by that key as
+    an external catalog table at ``path``: tables bucketed on the same key with
+    the same bucket count join and group on it without a shuffle.
+    """
     if kind == "view":
         df.createOrReplaceTempView(name)
         return df
     if kind != "table" or not path:
         raise ValueError("table materialisation needs a path")
+    spark = df.sparkSession
+    if bucket_by:
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        (df.write.mode("overwrite").bucketBy(n, bucket_by).sortBy(bucket_by)
+           .option("path", path).saveAsTable(name))
+        return spark.table(name)
     df.write.mode("overwrite").parquet(path)
-    out = df.sparkSession.read.parquet(path)
+    out = spark.read.parquet(path)
     out.createOrReplaceTempView(name)
     return out
 
