@@ -123,3 +123,22 @@ def test_bronze_is_computed_once(spark, name):
     """Models read the checkpointed bronze, not the orders scan again per model."""
     p = plan(Q.QUERIES[name](spark, SF_SMALL))
     assert p.count("orders.parquet") <= 1
+
+
+def test_bucketed_models_join_without_shuffle(spark, tmp):
+    """The runner's fact and customer dimension are bucketed on customer_id: their join has no exchange."""
+    from tidemark.plans import models as M
+    from tidemark.plans import runner as R
+    from tidemark.plans import standins as S
+    from tidemark.sources.tables import SourceRegistry
+    reg = SourceRegistry()
+    reg.register("raw.customers_raw", lambda: S.customer_exports(spark, SF_SMALL))
+    frames = R.run_models(spark, reg, R.customer_models()[:5], tmp)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = frames["fact_customer_activity"].join(frames["dim_customer"], "customer_id")
+        p = plan(j)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in p and "Exchange" not in p
