@@ -595,3 +595,21 @@ SELECT customer_id, kyc_status, exported_at_utc_minus_5,
        lead(exported_at_utc_minus_5) OVER (PARTITION BY customer_id ORDER BY exported_at_utc_minus_5) AS dbt_valid_to
 FROM changes
 """)
+
+_RUNS = ["1996-01-01", "1997-01-01", "1998-01-01", "1999-01-01", "2000-01-01", "2001-01-01", "2002-01-01"]
+SQL["scd2_snapshots"] = w(LANDING + """,
+runs AS (SELECT CAST(r AS TIMESTAMP) AS cut FROM (VALUES """ + ", ".join(f"('{r}')" for r in _RUNS) + """) t(r)),
+snap AS (
+  SELECT l.customer_id, l.kyc_status, l.account_balance, l.exported_at_utc_minus_5, r.cut
+  FROM landing l JOIN runs r ON l.exported_at_utc_minus_5 < r.cut
+  QUALIFY row_number() OVER (PARTITION BY r.cut, l.customer_id
+                             ORDER BY l.exported_at_utc_minus_5 DESC NULLS LAST, l.export_id DESC) = 1),
+versions AS (
+  SELECT * FROM snap
+  QUALIFY row_number() OVER (PARTITION BY customer_id, exported_at_utc_minus_5 ORDER BY cut) = 1)""", """
+SELECT customer_id, kyc_status, account_balance, exported_at_utc_minus_5,
+       md5(CAST(customer_id AS VARCHAR) || '|' || CAST(exported_at_utc_minus_5 AS VARCHAR)) AS dbt_scd_id,
+       exported_at_utc_minus_5 AS dbt_updated_at, exported_at_utc_minus_5 AS dbt_valid_from,
+       lead(exported_at_utc_minus_5) OVER (PARTITION BY customer_id ORDER BY exported_at_utc_minus_5) AS dbt_valid_to
+FROM versions
+""")

@@ -414,6 +414,24 @@ def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
                            tiebreak="export_id", check_cols=["kyc_status"])
 
 
+SNAPSHOT_RUNS = ["1996-01-01", "1997-01-01", "1998-01-01", "1999-01-01", "2000-01-01", "2001-01-01",
+                 "2002-01-01"]
+
+
+@query
+def scd2_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 stepwise: one snapshot run per cut-off; each run sees the latest export per customer made
+    before it and closes / opens versions (timestamp strategy). Lineage is cut after every run."""
+    landing = _landing(spark, sf_dir)
+    history = None
+    for cut in SNAPSHOT_RUNS:
+        seen = landing.where(F.col(M.STAMP) < F.lit(cut).cast("timestamp_ntz"))
+        snap = D.latest_per_key(seen, "customer_id", M.STAMP, tiebreak="export_id")
+        history = materialize_checkpoint(H.scd2_step(history, snap, "customer_id", M.STAMP,
+                                                     ["kyc_status", "account_balance"]))
+    return history
+
+
 @query
 def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3: the KYC state of every customer at a fixed instant."""
