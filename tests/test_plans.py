@@ -127,7 +127,6 @@ def test_bronze_is_computed_once(spark, name):
 
 def test_bucketed_models_join_without_shuffle(spark, tmp):
     """The runner's fact and customer dimension are bucketed on customer_id: their join has no exchange."""
-    from tidemark.plans import models as M
     from tidemark.plans import runner as R
     from tidemark.plans import standins as S
     from tidemark.sources.tables import SourceRegistry
