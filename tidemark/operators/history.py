@@ -124,15 +124,11 @@ def scd_id(key: str, ts: str) -> Column:
     return F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col(ts).cast("string")))
 
 
-def _next_in_key(df: DataFrame, key: str, ts: str, bucket: Column, order: list[Column], drop_equal: bool):
-    """Next stamp per key, found inside (key, time bucket) windows plus one per-key window over
-    the first stamp of each bucket. With ``drop_equal`` only the first row of each equal stamp
-    (by ``order``) is kept."""
+def _next_in_key(df: DataFrame, key: str, ts: str, bucket: Column):
+    """Next stamp per key (stamps distinct per key), found inside (key, time bucket) windows plus
+    one per-key window over the first stamp of each bucket."""
     b = df.withColumn("__b", bucket)
-    w = Window.partitionBy(key, "__b").orderBy(*order)
-    if drop_equal:
-        b = (b.withColumn("__prev", F.lag(ts).over(w))
-             .where(F.col("__prev").isNull() | (F.col("__prev") != F.col(ts))).drop("__prev"))
+    w = Window.partitionBy(key, "__b").orderBy(ts)
     b = b.withColumn("__next", F.lead(ts).over(w))
     firsts = b.groupBy(key, "__b").agg(F.min(ts).alias("__first"))
     firsts = (firsts.withColumn("__next_bucket", F.lead("__first").over(Window.partitionBy(key).orderBy("__b")))
@@ -159,7 +155,7 @@ def _prev_values(df: DataFrame, key: str, ts: str, bucket: Column, cols: list[st
 
 
 def scd2_from_log(log: DataFrame, key: str, ts: str, columns: list[str],
-                  tiebreak: str | None = None, bucket: str = "day",
+                  tiebreak: str | None = None, bucket: str = "hour",
                   check_cols: list[str] | None = None) -> DataFrame:
     """Whole SCD2 history from an append-only log.
 
@@ -170,22 +166,27 @@ def scd2_from_log(log: DataFrame, key: str, ts: str, columns: list[str],
     row always does). Rows without a stamp cannot be placed in time and are
     left out.
 
-    Skew: the next stamp (and the previous values) are found inside (key, time
-    bucket) windows, and only one row per (key, bucket) is carried across
-    buckets through a per-key window. A key holding a third of all rows is
-    therefore spread over its buckets instead of landing in one task.
+    Skew: rows with equal (key, stamp) are first reduced to one by a partial
+    aggregate (map-side, before any shuffle), so even a hot group of identical
+    stamps costs one row per map task. The next stamp (and the previous values)
+    are then found inside (key, time bucket) windows, and only one row per
+    (key, bucket) is carried across buckets through a per-key window: a key
+    holding a third of all rows is spread over its buckets.
     """
     bucket_col = F.date_trunc(bucket, F.col(ts))
     base = log.where(F.col(ts).isNotNull()).select(key, ts, *columns, *([tiebreak] if tiebreak else []))
-    order = [F.col(ts).asc()] + ([F.col(tiebreak).desc_nulls_last()] if tiebreak else [])
-    v = _next_in_key(base, key, ts, bucket_col, order, drop_equal=True)
+    if tiebreak:
+        base = latest_per_key(base, [key, ts], tiebreak)
+    else:
+        base = base.dropDuplicates([key, ts])
+    v = _next_in_key(base, key, ts, bucket_col)
     if check_cols:
         v = _prev_values(v.drop("__next"), key, ts, bucket_col, check_cols)
         changed = ~F.col("__has_prev")
         for c in check_cols:
             changed = changed | ~F.col(c).eqNullSafe(F.col(f"__prev_{c}"))
         v = v.where(changed).drop("__has_prev", *[f"__prev_{c}" for c in check_cols])
-        v = _next_in_key(v, key, ts, bucket_col, order, drop_equal=False)
+        v = _next_in_key(v, key, ts, bucket_col)
     return v.select(
         key, *columns, ts,
         scd_id(key, ts).alias("dbt_scd_id"),
