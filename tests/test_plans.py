@@ -141,3 +141,12 @@ def test_bucketed_models_join_without_shuffle(spark, tmp):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in p and "Exchange" not in p
+
+
+def test_clustered_write_splits_a_hot_cluster_value(spark, tmp):
+    from tidemark.sources.writers import clustered
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit("Peru")).otherwise(
+        F.concat(F.lit("c"), (F.col("id") % 50).cast("string"))).alias("country"), F.col("id"))
+    parts = clustered(df, ["country"], 8).groupBy(F.spark_partition_id().alias("p")).agg(
+        F.count_if(F.col("country") == "Peru").alias("peru")).where("peru > 0").count()
+    assert parts >= 2                                  # the hot value is written by several tasks

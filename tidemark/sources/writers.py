@@ -58,16 +58,25 @@ def materialize(df: DataFrame, kind: str, name: str, path: str | None = None,
     return out
 
 
-def clustered_write(df: DataFrame, path: str, cluster_by: list[str], partitions: int | None = None) -> str:
-    """Write with data clustered by columns: range partitions on the keys, sorted inside.
+def clustered(df: DataFrame, cluster_by: list[str], partitions: int | None = None) -> DataFrame:
+    """Rows range-partitioned on the cluster columns and sorted inside each partition.
 
-    Parquet min/max statistics then let filters on the cluster columns skip
-    whole files and row groups. ``partitions`` defaults to the session's shuffle
-    partitions (AQE may coalesce small ones).
+    A row hash is the last range key: rows of one hot cluster value (say a
+    country holding a third of the table) are split over several partitions
+    instead of all landing in one task, and each file still covers a narrow
+    range of the cluster columns.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
-       .write.mode("overwrite").parquet(path))
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    return (df.repartitionByRange(n, *[F.col(c) for c in cluster_by], spread)
+              .sortWithinPartitions(*cluster_by))
+
+
+def clustered_write(df: DataFrame, path: str, cluster_by: list[str], partitions: int | None = None) -> str:
+    """Write with data clustered by columns (see ``clustered``): Parquet min/max statistics then let
+    filters on the cluster columns skip whole files and row groups. ``partitions`` defaults to the
+    session's shuffle partitions (AQE may coalesce small ones)."""
+    clustered(df, cluster_by, partitions).write.mode("overwrite").parquet(path)
     return path
 
 

@@ -19,6 +19,7 @@ from tidemark.functions import columns as C
 from tidemark.operators import expectations as X
 from tidemark.operators.dedup import first_per_key
 from tidemark.session import path_exists
+from tidemark.sources.writers import clustered
 from tidemark.sources.json_rescue import CORRUPT, RESCUED, rescue_parse
 
 
@@ -108,7 +109,7 @@ def _apply_rules_batch(batch: DataFrame, batch_id: int, out_dir: str, metrics_di
 
         def write(kept):
             if cfg.cluster_by:
-                kept = kept.repartitionByRange(*cfg.cluster_by).sortWithinPartitions(*cfg.cluster_by)
+                kept = clustered(kept, list(cfg.cluster_by))
             kept.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
         metrics = X.observed_write(batch, rules, write).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         metrics.coalesce(1).write.mode("overwrite").parquet(f"{metrics_dir}/batch_id={batch_id}")
