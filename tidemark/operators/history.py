@@ -200,13 +200,14 @@ def scd2_step(history: DataFrame | None, snapshot: DataFrame, key: str, ts: str,
               check_cols: list[str] | None = None) -> DataFrame:
     """One snapshot run against existing history (what a scheduled snapshot job does).
 
-    ``snapshot`` holds one row per key (e.g. the latest export). Timestamp
+    ``snapshot`` holds the rows of this run (reduced to the latest per key). Timestamp
     strategy: a newer stamp closes the open version (``valid_to`` = new stamp)
     and opens a new one; with ``check_cols`` a new version also needs a changed
     value in one of those columns. Keys absent from the snapshot stay open.
     Only open versions (one per key) meet the snapshot in the join.
     """
-    snap = snapshot.select(key, *columns, ts)
+    # one row per key: the latest stamp wins if the snapshot holds several (partial aggregate)
+    snap = latest_per_key(snapshot.select(key, *columns, ts), key, ts)
     fresh = snap.select(key, *columns, ts, scd_id(key, ts).alias("dbt_scd_id"),
                         F.col(ts).alias("dbt_updated_at"), F.col(ts).alias("dbt_valid_from"),
                         F.lit(None).cast(snap.schema[ts].dataType).alias("dbt_valid_to"))
