@@ -203,3 +203,19 @@ def test_merge_inserts_null_key_rows(spark):
                                 target.schema)
     got = sorted(map(tuple, incremental_merge(target, src, "k", "ts").collect()), key=repr)
     assert got == sorted([(None, dt.datetime(2024, 1, 2), "n"), (1, dt.datetime(2024, 1, 3), "b")], key=repr)
+
+
+def test_stream_dedup_within_watermark(spark, tmp):
+    schema = "k long, ts timestamp_ntz, v string"
+    src, out = f"{tmp}/src", f"{tmp}/out"
+    t0 = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([(1, t0, "a"), (2, t0, "b")], schema).write.parquet(f"{src}/b1")
+
+    def run():
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(src)
+        P.dedup_stream(spark, stream, out, f"{tmp}/_ck", "k", state="watermark", event_time="ts", delay="1 hour")
+    run()
+    spark.createDataFrame([(1, t0 + dt.timedelta(minutes=5), "dup"), (3, t0, "c")], schema).write.parquet(f"{src}/b2")
+    run()
+    got = sorted((r["k"], r["v"]) for r in spark.read.parquet(out).collect())
+    assert got == [(1, "a"), (2, "b"), (3, "c")]

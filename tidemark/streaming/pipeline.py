@@ -177,17 +177,34 @@ def run_medallion(spark: SparkSession, paths: MedallionPaths, schema: T.StructTy
 # ---------------------------------------------------------------- T2 standalone, T3 on any stream
 
 def dedup_stream(spark: SparkSession, stream: DataFrame, out_dir: str, checkpoint: str, key: str,
-                 order_by: str | list | None = None, state: str = "ordered") -> StreamingQuery:
+                 order_by: str | list | None = None, state: str = "ordered",
+                 event_time: str | None = None, delay: str = "1 day") -> StreamingQuery:
     """Streaming dedup, first-ever row per key wins across all batches.
 
     ``native`` uses the stateful ``dropDuplicates`` (unbounded key state, use the
     RocksDB provider at scale; the pick inside one batch is arbitrary);
+    ``watermark`` bounds the state: duplicates are dropped while they arrive
+    within ``delay`` of the event-time watermark on ``event_time``
+    (``dropDuplicatesWithinWatermark``), older keys are forgotten;
     ``ordered`` picks the earliest row by ``order_by`` inside a batch and
     excludes keys already written by earlier batches.
     """
     cfg = CleanConfig(key=key, order_by=order_by, state=state)
-    if state == "native":
-        q = (stream.dropDuplicates([key]).writeStream.format("parquet").option("path", out_dir)
+    if state in ("native", "watermark"):
+        if state == "watermark":
+            if not event_time:
+                raise ValueError("watermark dedup needs an event_time column")
+            wm = event_time
+            if isinstance(stream.schema[event_time].dataType, T.TimestampNTZType):
+                # watermarks need a zoned timestamp; the delay is relative, so the session zone is fine
+                wm = "__event_time"
+                stream = stream.withColumn(wm, F.col(event_time).cast("timestamp"))
+            deduped = stream.withWatermark(wm, delay).dropDuplicatesWithinWatermark([key])
+            if wm != event_time:
+                deduped = deduped.drop(wm)
+        else:
+            deduped = stream.dropDuplicates([key])
+        q = (deduped.writeStream.format("parquet").option("path", out_dir)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         return _run(q)
 
