@@ -82,3 +82,12 @@ def test_hash_uniform_is_stable_and_in_range(spark):
     assert 0 <= stats[0] and stats[1] < 1 and abs(stats[2] - 0.5) < 0.05
     again = spark.range(2000).repartition(7).select(C.hash_uniform(42, "s", "id").alias("u"))
     assert sorted(r[0] for r in df.collect()) == sorted(r[0] for r in again.collect())
+
+
+def test_cluster_conf_sizes_from_input():
+    from tidemark.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, executor_cores=8, executors=1000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    small = cluster_conf(10 * 1024 ** 2, executor_cores=4, executors=2)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16          # never below twice the task slots
+    assert c["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
