@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import host_rules
+from tidemark.llm import host_rules, simhash_ring
 from tidemark.llm.common import bounded_batches, table
 
 
@@ -14,6 +14,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return simhash_ring.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op8_simhash": op8_simhash,
 }
