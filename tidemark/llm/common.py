@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -57,7 +58,9 @@ def per_batch(fn: Callable[[], Callable[[pa.Array], pa.Array]], return_type: str
         for batch in batches:
             yield step(batch)
 
-    return arrow_udf(run, return_type, ArrowUDFType.SCALAR_ITER)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")                # names the kind of function; closures carry no type hints
+        return arrow_udf(run, return_type, ArrowUDFType.SCALAR_ITER)
 
 
 def text_bytes(text: Column | str) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import host_rules, simhash_ring
+from tidemark.llm import bestfit, decontam, host_rules, simhash_ring
 from tidemark.llm.common import bounded_batches, table
 
 
@@ -14,6 +14,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return bestfit.packed(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     return simhash_ring.near_duplicates(table(spark, sf_dir, "documents"))
@@ -21,5 +31,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_decontamination": op4_decontamination,
+    "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
 }
