@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bestfit, decontam, host_rules, pu_quality, simhash_ring
+from tidemark.llm import bestfit, bloom_lm, decontam, host_rules, pu_quality, simhash_ring
 from tidemark.llm.common import bounded_batches, table
 
 
@@ -19,6 +19,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return bloom_lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -37,6 +42,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_decontamination": op4_decontamination,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
