@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bestfit, bloom_lm, decontam, host_rules, pu_quality, simhash_ring
+from tidemark.llm import bestfit, bloom_lm, decontam, host_rules, pu_quality, simhash_ring, warc_chain
 from tidemark.llm.common import bounded_batches, table
 
 
@@ -39,6 +39,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_ring.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_chain.round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
@@ -46,4 +50,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
+    "op9_warc": op9_warc,
 }
