@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bestfit, bloom_lm, decontam, host_rules, pu_quality, simhash_ring, warc_chain
+from tidemark.llm import bestfit, bloom_lm, chat, decontam, host_rules, kd_shards, pu_quality, simhash_ring, warc_chain
 from tidemark.llm.common import bounded_batches, table
 
 
@@ -29,6 +29,15 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return chat.digests(chat.with_probe(spark, table(spark, sf_dir, "conversations")))
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.sharded(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     return bestfit.packed(table(spark, sf_dir, "documents"))
@@ -48,6 +57,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_decontamination": op4_decontamination,
+    "op5_chat": op5_chat,
+    "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
