@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bestfit, bloom_lm, chat, decontam, host_rules, kd_shards, pu_quality, simhash_ring, warc_chain
+from tidemark.llm import bestfit, bloom_lm, chat, decontam, host_rules, kd_shards, pu_quality, simhash_ring, trie_counts, warc_chain
 from tidemark.llm.common import bounded_batches, table
 
 
@@ -52,6 +52,11 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_chain.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return trie_counts.counted(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
@@ -62,4 +67,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
+    "op10_token_counts": op10_token_counts,
 }
