@@ -9,7 +9,7 @@ WITH d AS (
     FROM documents),
 win AS (
     SELECT rid, i, count(*) OVER (PARTITION BY rid, a) AS n
-    FROM (SELECT rid, unnest(range(1, len(w) - 3)) AS i, unnest(list_transform(range(1, len(w) - 3), k -> w[k:k + 4])) AS a
+    FROM (SELECT rid, unnest(range(1, len(w) - 3)) AS i, unnest(list_transform(range(1, len(w) - 3), lambda k: w[k:k + 4])) AS a
           FROM d WHERE len(w) > 5)),
 rep AS (
     SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 5)) AS p FROM win WHERE n > 1) GROUP BY rid),
@@ -19,7 +19,7 @@ lines AS (
     WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY rid),
 m AS (
     SELECT d.doc_id, d.source, len(d.w)::BIGINT AS n_words,
-           coalesce(list_sum(list_transform(d.w, x -> length(x))), 0)::BIGINT AS word_chars,
+           coalesce(list_sum(list_transform(d.w, lambda x: length(x))), 0)::BIGINT AS word_chars,
            length(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
            coalesce(lines.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
     FROM d LEFT JOIN rep USING (rid) LEFT JOIN lines USING (rid)),
@@ -37,4 +37,70 @@ SELECT b.doc_id, b.n_words, b.word_chars, b.n_symbols, b.n_dup_lines, b.n_repeat
 FROM b JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
 """
 
-SQL: dict[str, str] = {"op1_quality_rules": OP1}
+OP4 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents),
+b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+win AS (
+    SELECT DISTINCT item_id, len(a) AS n, array_to_string(a, ' ') AS k
+    FROM (SELECT item_id, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: w[i:i + 9])) AS a FROM b WHERE len(w) > 0)),
+occ AS (
+    SELECT o.rid, o.i, o.n, win.item_id
+    FROM (SELECT rid, n, unnest(range(1, len(w) - n + 2)) AS i,
+                 unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS k
+          FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n) o
+    JOIN win ON o.k = win.k AND o.n = win.n),
+hit AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM occ) GROUP BY rid),
+ids AS (
+    SELECT rid, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT rid, item_id::VARCHAR AS id FROM occ WHERE item_id IS NOT NULL) GROUP BY rid)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(ids.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids.ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN ids USING (rid)
+"""
+
+
+def _escaped(column: str) -> str:
+    """SQL of the template's escape; no control string overlaps itself, so one replacement of each is enough."""
+    sql = f"replace(coalesce({column}, ''), '\\', '\\\\')"
+    for c in ["<|turn|>", "<|text|>", "<|end|>", "<s>", "</s>", "[INST]", "[/INST]"]:
+        sql = f"replace({sql}, '{c}', '{c[0]}\\-{c[1:]}')"
+    return sql
+
+
+OP5 = f"""
+WITH c AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+t AS (
+    SELECT conv_id, count(*) AS n_turns,
+           string_agg(coalesce(role, '') || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS turns,
+           coalesce(string_agg(coalesce(text, ''), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) FILTER (role = 'assistant'), '') AS loss,
+           sum(length('<|turn|><|text|><|end|>') + length({_escaped('role')}) + length({_escaped('text')})) AS n
+    FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+       sha256(loss) AS loss_sha256, (n + 3)::BIGINT AS formatted_chars
+FROM t
+"""
+
+OP9 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS n FROM pages),
+best AS (SELECT html, max(page_id) AS best FROM p WHERE n >= 1000 GROUP BY html)
+SELECT p.page_id, p.n AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN best IS NULL OR best IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN best IS DISTINCT FROM page_id THEN best END AS refers_to
+FROM p LEFT JOIN best ON p.html = best.html
+"""
+
+SQL: dict[str, str] = {
+    "op1_quality_rules": OP1,
+    "op4_decontamination": OP4,
+    "op5_chat": OP5,
+    "op9_warc": OP9,
+}
