@@ -1,24 +1,13 @@
 """Column functions and small source helpers."""
 
-import contextlib
-import io
-
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
-from tidemark.sources import seeds as S
 from tidemark.sources.tables import SourceRegistry
 from tidemark.sources.writers import materialize
 
 
-def _plan(df):
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue()
-
-
 def test_extract_path_struct_variant_and_json(spark):
     df = spark.createDataFrame([('{"a": {"b": "7"}}',)], "j string")
     df = df.select("j", F.from_json("j", "a struct<b:string>").alias("s"), F.parse_json("j").alias("v"))
@@ -48,15 +37,6 @@ def test_month_start_and_iso_dates(spark):
     assert str(got[0]) == "2024-02-01" and got[1] is None
 
 
-def test_broadcast_if_small_checks_size(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    j_small = spark.range(100).join(S.broadcast_if_small(small, max_rows=10), "id")
-    j_big = spark.range(100).join(S.broadcast_if_small(big, max_rows=10), "id")
-    assert "BroadcastHashJoin" in _plan(j_small)
-    assert j_small.count() == 5 and j_big.count() == 50
-
-
 def test_source_registry(spark):
     reg = SourceRegistry()
     reg.register("raw.customers_raw", lambda: spark.range(3))

@@ -113,11 +113,11 @@ def stamp_token(stamp: Column) -> Column:
     return F.date_format(stamp, "yyyyMMdd_HHmmss")
 
 
-def mask_email(value: str | Column, role: str, privileged=PRIVILEGED_ROLES, strict: bool = False) -> Column:
+def mask_email(value: str | Column, role: str, privileged=PRIVILEGED_ROLES, strict: bool = True) -> Column:
     """Role-based masking: privileged roles see the value; others see ``***@domain``.
 
-    With ``strict=False`` a value without ``@`` is left as is (warehouse policy
-    behaviour); ``strict=True`` masks such values entirely.
+    A value without ``@`` is masked entirely; ``strict=False`` leaves it as is
+    (warehouse policy behaviour).
     """
     v = F.col(value) if isinstance(value, str) else value
     masked = F.regexp_replace(v, r"^.*(?=@)", "***")

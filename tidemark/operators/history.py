@@ -9,8 +9,8 @@ system and survives a lost executor (a failed commit leaves no log row).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,11 +22,6 @@ SCD_COLUMNS = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
 # ---------------------------------------------------------------- M1 incremental merge
 
-def high_water_mark(target: DataFrame, ts: str) -> Column:
-    """``(select max(ts) from target)`` as a scalar subquery column (pushed into the source scan)."""
-    return target.select(F.max(ts)).scalar()
-
-
 def incremental_merge(target: DataFrame | None, source: DataFrame, key: str, ts: str,
                       tiebreak: str | None = None) -> DataFrame:
     """Keyed upsert of the source rows newer than the target's high-water mark.
@@ -39,16 +34,13 @@ def incremental_merge(target: DataFrame | None, source: DataFrame, key: str, ts:
     """
     if target is None:
         return latest_per_key(source, key, ts, tiebreak=tiebreak)
-    hwm = high_water_mark(target, ts)
-    new = source.where(hwm.isNull() | (F.col(ts) > hwm))
+    hwm = target.agg(F.max(ts)).first()[0]
+    # a literal mark reaches the source's scan as a pushed filter and prunes its files
+    new = source if hwm is None else source.where(F.col(ts) > F.lit(hwm))
     new = latest_per_key(new, key, ts, tiebreak=tiebreak).select(*target.columns)
-    # one full outer join on the key: each side is read and shuffled once; a key present in the
-    # new rows takes the new row, any other key keeps the target row
-    t, n = target.alias("__t"), new.withColumn("__new", F.lit(True)).alias("__n")
-    j = t.join(n, F.col(f"__t.{key}") == F.col(f"__n.{key}"), "full_outer")
-    take_new = F.col("__n.__new").isNotNull()          # also inserts new rows whose key is NULL
-    return j.select(*[F.when(take_new, F.col(f"__n.{c}")).otherwise(F.col(f"__t.{c}")).alias(c)
-                      for c in target.columns])
+    # the increment alone decides the join: while it is small AQE broadcasts its keys and the target
+    # is only scanned; NULL keys match nothing, so they stay in the target and are inserted from the new rows
+    return target.join(new.select(key), key, "left_anti").unionByName(new)
 
 
 class VersionedTable:
@@ -62,12 +54,10 @@ class VersionedTable:
         return f"{self.base}/_log"
 
     def log(self) -> DataFrame | None:
-        if path_exists(self.spark, self.log_path) is False:
-            return None                          # no commit yet
-        try:
-            return self.spark.read.parquet(self.log_path)
-        except AnalysisException:                # no commit yet (file system not reachable to ask)
+        """The version log; None before the first commit. An unreadable log raises."""
+        if not path_exists(self.spark, self.log_path):
             return None
+        return self.spark.read.parquet(self.log_path)
 
     def current_path(self) -> str | None:
         log = self.log()
@@ -81,11 +71,12 @@ class VersionedTable:
         return self.spark.read.parquet(p) if p else None
 
     def stage(self, df: DataFrame) -> tuple[int, str]:
-        """Write the next version's files; invisible to readers until ``publish``."""
+        """Write the next version's files to a path of their own; invisible to readers until ``publish``.
+        Two writers that stage at the same time never touch each other's files."""
         log = self.log()
         version = 0 if log is None else (log.agg(F.max("version")).first()[0] + 1)
-        path = f"{self.base}/v={version:06d}"
-        df.write.mode("overwrite").parquet(path)
+        path = f"{self.base}/v={version:06d}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
         return version, path
 
     LOG_SCHEMA = "version long, path string, committed_at timestamp_ntz, source_hwm timestamp_ntz"
@@ -94,6 +85,9 @@ class VersionedTable:
                 source_hwm: _dt.datetime | None = None) -> str:
         """Make a staged version current: one appended log row (wall-clock commit time and,
         optionally, the newest source stamp the version was built from)."""
+        log = self.log()
+        if log is not None and not log.where(F.col("version") >= version).isEmpty():
+            raise RuntimeError(f"version {version} is published already: another writer committed first")
         stamp = committed_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         self.spark.createDataFrame([(version, path, stamp, source_hwm)], self.LOG_SCHEMA) \
             .write.mode("append").parquet(self.log_path)
@@ -179,14 +173,14 @@ def scd2_from_log(log: DataFrame, key: str, ts: str, columns: list[str],
         base = latest_per_key(base, [key, ts], tiebreak)
     else:
         base = base.dropDuplicates([key, ts])
-    v = _next_in_key(base, key, ts, bucket_col)
+    v = base
     if check_cols:
-        v = _prev_values(v.drop("__next"), key, ts, bucket_col, check_cols)
+        v = _prev_values(v, key, ts, bucket_col, check_cols)
         changed = ~F.col("__has_prev")
         for c in check_cols:
             changed = changed | ~F.col(c).eqNullSafe(F.col(f"__prev_{c}"))
         v = v.where(changed).drop("__has_prev", *[f"__prev_{c}" for c in check_cols])
-        v = _next_in_key(v, key, ts, bucket_col)
+    v = _next_in_key(v, key, ts, bucket_col)
     return v.select(
         key, *columns, ts,
         scd_id(key, ts).alias("dbt_scd_id"),
@@ -197,7 +191,7 @@ def scd2_from_log(log: DataFrame, key: str, ts: str, columns: list[str],
 
 
 def scd2_step(history: DataFrame | None, snapshot: DataFrame, key: str, ts: str, columns: list[str],
-              check_cols: list[str] | None = None) -> DataFrame:
+              check_cols: list[str] | None = None, tiebreak: str | None = None) -> DataFrame:
     """One snapshot run against existing history (what a scheduled snapshot job does).
 
     ``snapshot`` holds the rows of this run (reduced to the latest per key). Timestamp
@@ -207,7 +201,7 @@ def scd2_step(history: DataFrame | None, snapshot: DataFrame, key: str, ts: str,
     Only open versions (one per key) meet the snapshot in the join.
     """
     # one row per key: the latest stamp wins if the snapshot holds several (partial aggregate)
-    snap = latest_per_key(snapshot.select(key, *columns, ts), key, ts)
+    snap = latest_per_key(snapshot.select(key, *columns, ts, *([tiebreak] if tiebreak else [])), key, ts, tiebreak=tiebreak)
     fresh = snap.select(key, *columns, ts, scd_id(key, ts).alias("dbt_scd_id"),
                         F.col(ts).alias("dbt_updated_at"), F.col(ts).alias("dbt_valid_from"),
                         F.lit(None).cast(snap.schema[ts].dataType).alias("dbt_valid_to"))
@@ -215,9 +209,10 @@ def scd2_step(history: DataFrame | None, snapshot: DataFrame, key: str, ts: str,
         return fresh
     closed = history.where(F.col("dbt_valid_to").isNotNull())
     open_ = history.where(F.col("dbt_valid_to").isNull())
-    n = snap.select(key, F.col(ts).alias("__new_ts"),
+    # keys are compared null-safe, so a NULL key has one open version like any other
+    n = snap.select(F.col(key).alias("__new_key"), F.col(ts).alias("__new_ts"),
                     *[F.col(c).alias(f"__new_{c}") for c in (check_cols or [])])
-    j = open_.join(n, key, "left")
+    j = open_.join(n, F.col(key).eqNullSafe(F.col("__new_key")), "left")
     newer = F.col("__new_ts").isNotNull() & (F.col("__new_ts") > F.col("dbt_updated_at"))
     if check_cols:
         changed = F.lit(False)
@@ -227,8 +222,9 @@ def scd2_step(history: DataFrame | None, snapshot: DataFrame, key: str, ts: str,
     j = j.withColumn("__close", newer)
     still = j.withColumn("dbt_valid_to", F.when(F.col("__close"), F.col("__new_ts"))
                          .otherwise(F.col("dbt_valid_to"))).select(*history.columns, "__close")
-    opened = fresh.join(j.where("__close").select(key), key, "left_semi")
-    unseen = fresh.join(open_.select(key), key, "left_anti")
+    closing, known = (d.select(F.col(key).alias("__key")) for d in (j.where("__close"), open_))
+    opened = fresh.join(closing, F.col(key).eqNullSafe(F.col("__key")), "left_semi")
+    unseen = fresh.join(known, F.col(key).eqNullSafe(F.col("__key")), "left_anti")
     return (closed.unionByName(still.drop("__close")).unionByName(opened.select(*history.columns))
             .unionByName(unseen.select(*history.columns)))
 

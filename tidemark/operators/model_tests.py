@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.sources.seeds import broadcast_if_small
 
 
 def unique_violations(df: DataFrame, columns: str | list[str]) -> DataFrame:
@@ -59,7 +58,7 @@ def limit_breaches(fact: DataFrame, dim_customer: DataFrame, limits: DataFrame)
     """Balances above the country limit (NULL country never matches; reaching the limit is allowed)."""
     j = (fact.select("customer_id", "account_balance")
          .join(dim_customer.select("customer_id", "country"), "customer_id")
-         .join(broadcast_if_small(limits.select("country", "max_balance_limit")), "country"))
+         .join(limits.select("country", "max_balance_limit"), "country"))
     return j.where(F.col("account_balance") > F.col("max_balance_limit")).select(
         "customer_id", "account_balance", "country", "max_balance_limit")
 

@@ -57,11 +57,10 @@ def bronze_customers(landing: DataFrame, tiebreak: str | None = "export_id",
 def dim_customer(bronze: DataFrame) -> DataFrame:
     """Row-level DISTINCT over the customer attributes (as the reference: not keyed).
 
-    Hash-partitioned by ``customer_id`` first: the DISTINCT (which contains the
-    key) and every later join on ``customer_id`` reuse that one shuffle instead
-    of shuffling by all eight columns and again by the key.
+    The DISTINCT combines map-side; no user repartition stands before it, so AQE
+    may still split or coalesce what it reads.
     """
-    return bronze.select(*DIM_CUSTOMER_COLUMNS).repartition("customer_id").distinct()
+    return bronze.select(*DIM_CUSTOMER_COLUMNS).distinct()
 
 
 def dim_date(bronze: DataFrame, column: str = "registration_date") -> DataFrame:
@@ -91,8 +90,8 @@ def _money_sum(c: str) -> F.Column:
 def mart_balance_by_country(fact: DataFrame, dim_cust: DataFrame, dim_dt: DataFrame) -> DataFrame:
     """Gold mart per (country, year, month) of registration.
 
-    fact and dim_customer are both keyed by ``customer_id`` and come out of the
-    same bronze partitioning, so their join needs no new exchange. The date
+    fact and dim_customer meet on ``customer_id``; tables that the runner wrote
+    bucketed on it join without an exchange, other frames are shuffled. The date
     dimension join is on a computed key; AQE turns it into a broadcast join once
     the (small, per-day) dimension stage has been measured, and keeps the shuffle
     join otherwise.

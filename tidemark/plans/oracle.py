@@ -43,7 +43,7 @@ landing AS (
          c.age BETWEEN 18 AND 100 AS is_valid_age,
          CASE WHEN e.risk_score IS NOT NULL THEN e.risk_score BETWEEN 0 AND 100 END AS is_valid_risk_score,
          e.exported_at_utc_minus_5, e.export_id
-  FROM exports e JOIN cust c ON e.customer_id = c.customer_id)"""
+  FROM exports e LEFT JOIN cust c ON e.customer_id = c.customer_id)"""
 
 BRONZE = LANDING + """,
 bronze AS (
@@ -121,7 +121,7 @@ def _letters(salt: str, key: str = "k") -> str:
 
 COUNTRIES, DOMAINS = FX.COUNTRIES, FX.EMAIL_DOMAINS
 
-FAULTS = f"""
+_FACTORY = f"""
 g0 AS (
   SELECT c_custkey AS k, c_custkey AS customer_id,
          'Customer_' || CAST(c_custkey AS VARCHAR) AS customer_name,
@@ -140,7 +140,19 @@ g0 AS (
          CAST(CAST(floor({_u('ip3')} * 256) AS BIGINT) AS VARCHAR) || '.' ||
          CAST(CAST(floor({_u('ip4')} * 256) AS BIGINT) AS VARCHAR) AS last_login_ip,
          floor({_u('risk')} * 10001) / 100.0 AS risk_score
-  FROM customer),
+  FROM customer),"""
+
+# the records that most queries run on: the latest export of every customer
+_RECORDS = BRONZE + """,
+g0 AS (
+  SELECT customer_id AS k, customer_id, customer_name, age, country, email, registration_date, account_type, account_balance,
+         kyc_status, device, export_id % 2 = 0 AS notifications, language_preference AS language,
+         CAST(export_id % 255 + 1 AS VARCHAR) || '.' || CAST(CAST(floor(export_id / 255) AS BIGINT) % 256 AS VARCHAR) || '.' ||
+         CAST(customer_id % 256 AS VARCHAR) || '.' || CAST(CAST(floor(customer_id / 256) AS BIGINT) % 256 AS VARCHAR) AS last_login_ip,
+         risk_score
+  FROM bronze),"""
+
+_INJECT = f"""
 gf AS (
   SELECT g0.*,
          {_u('null')} < 0.05 AS hit_null,
@@ -187,6 +199,8 @@ dedup AS (
 clean AS (
   SELECT * FROM dedup WHERE customer_name IS NOT NULL AND email IS NOT NULL)"""
 
+FACTORY_FAULTS, FAULTS = _FACTORY + _INJECT, _RECORDS + _INJECT
+
 SQL["dedup_by_key"] = """
 SELECT * FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts ASC NULLS LAST, event_id ASC) = 1
@@ -229,7 +243,8 @@ SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS r
 """
 
 SQL["mask_email"] = w(MODELS, """
-SELECT customer_id, regexp_replace(email, '^.*@', '***@') AS email_analyst, email AS email_engineer
+SELECT customer_id, CASE WHEN contains(email, '@') THEN regexp_replace(email, '^.*@', '***@')
+                         WHEN email IS NOT NULL THEN '***' END AS email_analyst, email AS email_engineer
 FROM dim_customer
 """)
 
@@ -300,7 +315,7 @@ SELECT test_name, severity, failures,
 FROM t
 """)
 
-SQL["inject_faults"] = w(FAULTS, """
+SQL["inject_faults"] = w(FACTORY_FAULTS, """
 SELECT customer_id, customer_name, age, country, email, registration_date, account_type, account_balance,
        balance_is_text, kyc_status, device, notifications, language, last_login_ip, risk_score, drift_kind, copy_id
 FROM faulted
@@ -438,7 +453,7 @@ _LATEST = "QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY exported
 _FACT_COLS = "customer_id, account_balance, risk_score, is_valid_risk_score, registration_date, exported_at_utc_minus_5"
 
 SQL["incremental_merge"] = w(LANDING + f""",
-target AS (SELECT {_FACT_COLS} FROM landing WHERE exported_at_utc_minus_5 <= TIMESTAMP '1998-01-01 00:00:00' {_LATEST}),
+target AS (SELECT {_FACT_COLS} FROM landing WHERE exported_at_utc_minus_5 <= (SELECT date_trunc('year', max(exported_at_utc_minus_5)) - INTERVAL 3 YEAR FROM landing) {_LATEST}),
 new AS (SELECT {_FACT_COLS} FROM landing
         WHERE exported_at_utc_minus_5 > (SELECT max(exported_at_utc_minus_5) FROM target) {_LATEST})""", """
 SELECT * FROM target WHERE customer_id NOT IN (SELECT customer_id FROM new)
@@ -596,9 +611,9 @@ SELECT customer_id, kyc_status, exported_at_utc_minus_5,
 FROM changes
 """)
 
-_RUNS = ["1996-01-01", "1997-01-01", "1998-01-01", "1999-01-01", "2000-01-01", "2001-01-01", "2002-01-01"]
 SQL["scd2_snapshots"] = w(LANDING + """,
-runs AS (SELECT CAST(r AS TIMESTAMP) AS cut FROM (VALUES """ + ", ".join(f"('{r}')" for r in _RUNS) + """) t(r)),
+runs AS (SELECT make_timestamp(y, 1, 1, 0, 0, 0) AS cut
+         FROM (SELECT unnest(range(year(min(exported_at_utc_minus_5)) + 1, year(max(exported_at_utc_minus_5)) + 2)) AS y FROM landing)),
 snap AS (
   SELECT l.customer_id, l.kyc_status, l.account_balance, l.exported_at_utc_minus_5, r.cut
   FROM landing l JOIN runs r ON l.exported_at_utc_minus_5 < r.cut

@@ -25,7 +25,7 @@ from tidemark.operators.history import VersionedTable
 from tidemark.plans import models as M
 from tidemark.plans import runner as R
 from tidemark.plans import standins as S
-from tidemark.session import materialize_checkpoint, spread, work_path
+from tidemark.session import materialize_checkpoint, work_path
 from tidemark.sources import landing as L
 from tidemark.sources import seeds as SD
 from tidemark.sources import writers as W
@@ -36,7 +36,6 @@ from tidemark.streaming import pipeline as P
 QUERIES = {}
 
 SEED = 42
-MERGE_CUT = "1998-01-01 00:00:00"
 AS_OF_INSTANT = "1998-06-30 00:00:00"
 
 
@@ -104,9 +103,8 @@ SUITE_ALL = (SUITE_TABLE_RULES[:1] + SUITE_TABLE_RULES[1:2] + SUITE_ROW_RULES[:2
 
 
 def faulted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fault-injected customer records: one clean record per customer key, then G1-G8."""
-    keys = spread(read_table(spark, sf_dir, "customer").select("c_custkey"))
-    return G.inject_faults(G.clean_records(keys, "c_custkey", SEED), SEED)
+    """Customer records from the given tables, then faults G1-G8."""
+    return G.inject_faults(S.raw_records(spark, sf_dir), SEED)
 
 
 def clean_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,7 +284,7 @@ def test_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def inject_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seeded faults over every customer key."""
-    return faulted_records(spark, sf_dir)
+    return G.inject_faults(G.clean_records(read_table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", SEED), SEED)
 
 
 @query
@@ -393,7 +391,8 @@ def _landing(spark, sf_dir):
 def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact built up to a cut date, then merged with everything newer than its high-water mark."""
     landing = _landing(spark, sf_dir)
-    before = landing.where(F.col(M.STAMP) <= F.lit(MERGE_CUT).cast("timestamp_ntz"))
+    cut = landing.agg(F.date_trunc("year", F.max(M.STAMP)) - F.expr("INTERVAL 3 YEARS")).first()[0]
+    before = landing.where(F.col(M.STAMP) <= F.lit(cut))
     target = materialize_checkpoint(
         M.fact_customer_activity(H.incremental_merge(None, before, "customer_id", M.STAMP, "export_id")))
     source = landing.select(*M.FACT_COLUMNS, "export_id")
@@ -418,18 +417,18 @@ def scd2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
                            tiebreak="export_id", check_cols=["kyc_status"])
 
 
-SNAPSHOT_RUNS = ["1996-01-01", "1997-01-01", "1998-01-01", "1999-01-01", "2000-01-01", "2001-01-01",
-                 "2002-01-01"]
-
 
 @query
 def scd2_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2 stepwise: one snapshot run per cut-off; each run sees the latest export per customer made
-    before it and closes / opens versions (timestamp strategy). Lineage is cut after every run."""
+    """M2 stepwise: one snapshot run a year of the data, up to its last; each run sees the latest export per
+    customer made since the run before and closes / opens versions (timestamp strategy). Lineage is cut after every run."""
     landing = _landing(spark, sf_dir)
     history = None
-    for cut in SNAPSHOT_RUNS:
-        seen = landing.where(F.col(M.STAMP) < F.lit(cut).cast("timestamp_ntz"))
+    years = landing.agg(F.min(F.year(M.STAMP)), F.max(F.year(M.STAMP))).first()
+    for year in range(years[0], years[1] + 1):
+        # a run sees what came in since the run before: keys without a new export stay as they are
+        first, last = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
+        seen = landing.where((F.col(M.STAMP) >= first) & (F.col(M.STAMP) < last))
         snap = D.latest_per_key(seen, "customer_id", M.STAMP, tiebreak="export_id")
         history = materialize_checkpoint(H.scd2_step(history, snap, "customer_id", M.STAMP,
                                                      ["kyc_status", "account_balance"]))

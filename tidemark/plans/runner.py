@@ -19,7 +19,7 @@ from tidemark.operators import history as H
 from tidemark.operators import model_tests as T
 from tidemark.plans import models as M
 from tidemark.sources.tables import SourceRegistry
-from tidemark.sources.writers import materialize
+from tidemark.sources.writers import BUCKETS, materialize
 
 
 @dataclass(frozen=True)
@@ -47,7 +47,7 @@ def customer_models() -> list[Model]:
 
 
 def run_models(spark: SparkSession, registry: SourceRegistry, models: list[Model], base_path: str,
-               sources: list[str] = ("raw.customers_raw",), buckets: int | None = None) -> dict[str, DataFrame]:
+               sources: list[str] = ("raw.customers_raw",), buckets: int = BUCKETS) -> dict[str, DataFrame]:
     """Build every model in order; tables land in ``<base_path>/<name>``.
 
     Tables with a ``bucket_by`` key are written bucketed on it (same bucket

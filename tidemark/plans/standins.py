@@ -99,8 +99,8 @@ def _finish(df: DataFrame) -> DataFrame:
 
 
 def customer_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing table: every export of every customer (one row per order)."""
-    return _finish(order_exports(spark, sf_dir).join(customer_attributes(spark, sf_dir), "customer_id"))
+    """Landing table: every export (one row per order); an order without a customer keeps its row."""
+    return _finish(order_exports(spark, sf_dir).join(customer_attributes(spark, sf_dir), "customer_id", "left"))
 
 
 def bronze_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,12 +112,19 @@ def bronze_standin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     latest = latest_per_key(order_exports(spark, sf_dir), "customer_id",
                             "exported_at_utc_minus_5", tiebreak="export_id")
-    return _finish(latest.join(customer_attributes(spark, sf_dir), "customer_id"))
-
-
-def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as records with a JSON payload (``props`` holds ``{"k": ...}``)."""
-    return read_table(spark, sf_dir, "events")
+    return _finish(latest.join(customer_attributes(spark, sf_dir), "customer_id", "left"))
+
+
+def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw customer record a customer with orders (the fault injector's columns): the latest export with
+    the customer's attributes; notifications and address come from the order and customer keys."""
+    b = bronze_standin(spark, sf_dir)
+    k, c = F.col("export_id"), F.col("customer_id")
+    octets = [k % 255 + 1, F.floor(k / 255) % 256, c % 256, F.floor(c / 256) % 256]
+    return b.select(
+        "customer_id", "customer_name", "age", "country", "email", "registration_date", "account_type", "account_balance",
+        "kyc_status", "device", (k % 2 == 0).alias("notifications"), F.col("language_preference").alias("language"),
+        F.concat_ws(".", *[o.cast("bigint").cast("string") for o in octets]).alias("last_login_ip"), "risk_score")
 
 
 def service_records(spark: SparkSession, sf_dir: str) -> DataFrame:

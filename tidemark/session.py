@@ -56,8 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Reads ``spark.checkpoint.dir`` from the session (a core setting: it cannot
     be changed at runtime). When the session names none but a checkpoint folder
-    was registered on the context, that one is used. Only when neither exists
-    (local runs, tests) a private folder is created and registered.
+    was registered on the context, that one is used. Only on a local master
+    (tests) a private folder is created and registered when neither exists; on a
+    cluster that is an error, because executors would not see it.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -68,6 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
     return sc.getCheckpointDir()
 
@@ -90,23 +93,11 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin the rows over at least ``min_partitions`` tasks (default: the cluster's cores)
-    when the input has fewer partitions -- for CPU-heavy per-row work on a narrow input such as
-    a key column. A no-op when the input is already split finer (any large table)."""
-    try:
-        sc = df.sparkSession.sparkContext
-        want = min_partitions or sc.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a remote session): leave the layout to the planner
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def materialize_checkpoint(df):
     """Cut lineage by writing ``df`` to the shared checkpoint folder (reliable, survives a lost
-    executor; never ``localCheckpoint``). Keeps the output partitioning of the written plan, so a
-    table hash-partitioned by its key joins and groups on that key without a new exchange."""
+    executor; never ``localCheckpoint``). The frame that comes back has no partitioning the planner
+    knows of, so later joins and groupings on a key shuffle it again; write a bucketed table
+    (``writers.materialize``) where that matters."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -131,12 +122,8 @@ def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
     }
 
 
-def path_exists(spark: SparkSession, path: str) -> bool | None:
-    """Whether ``path`` exists on the session's Hadoop file system (None when that cannot be asked,
-    e.g. from a remote client)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
-    except Exception:
-        return None
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on the session's Hadoop file system. A file system that cannot be asked
+    raises: taking it for an absent path would start tables and streams anew over existing data."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,12 +109,9 @@ def save_schema(spark: SparkSession, schema: T.StructType, location: str) -> Non
 
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
     """Read a stored schema back; None when nothing was stored yet."""
-    if path_exists(spark, location) is False:
-        return None
-    try:
-        row = spark.read.text(location).first()
-    except AnalysisException:  # path absent
+    if not path_exists(spark, location):
         return None
+    row = spark.read.text(location).first()
     return T.StructType.fromJson(json.loads(row[0])) if row else None
 
 

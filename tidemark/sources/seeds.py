@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 COUNTRY_LIMITS_SCHEMA = "country string, max_balance_limit long, regulatory_body string"
 
@@ -19,11 +18,6 @@ COUNTRY_LIMITS = [
     ("Spain", 100000, "CNMV"),
 ]
 
-# A seed is small by definition; joins broadcast it only while it stays below
-# this many rows (checked when it is loaded), otherwise AQE picks the join.
-SEED_BROADCAST_MAX_ROWS = 100_000
-
-
 def load_seed(spark: SparkSession, path: str, schema: str = COUNTRY_LIMITS_SCHEMA) -> DataFrame:
     """Typed CSV seed with a header line; no schema inference."""
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
@@ -36,14 +30,6 @@ def write_country_limits_csv(spark: SparkSession, path: str) -> str:
     return path
 
 
-def broadcast_if_small(seed: DataFrame, max_rows: int = SEED_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a row-count check; beyond it the planner decides.
-
-    Use on seeds and other inputs whose size is not guaranteed by construction.
-    """
-    return F.broadcast(seed) if seed.limit(max_rows + 1).count() <= max_rows else seed
-
-
 def load_fixture(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """Fixture loader dispatching on suffix: ``.json``/``.jsonl`` or ``.csv``; anything else raises."""
     lower = path.lower()

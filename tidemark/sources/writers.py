@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import export_stamp
 
 
+# buckets of a materialised table unless the caller sizes them
+BUCKETS = 16
+
+
 def export_snapshot(df: DataFrame, base_dir: str, instant: _dt.datetime, prefix: str = "customers_cleaned",
                     stamp_col: str = "exported_at_utc_minus_5", counts: dict | None = None) -> str:
     """Write a full snapshot to ``<base>/<prefix>_<yyyyMMdd_HHmmss>`` with the batch stamp column.
@@ -33,13 +37,15 @@ def export_snapshot(df: DataFrame, base_dir: str, instant: _dt.datetime, prefix:
 
 
 def materialize(df: DataFrame, kind: str, name: str, path: str | None = None,
-                bucket_by: str | None = None, buckets: int | None = None) -> DataFrame:
+                bucket_by: str | None = None, buckets: int = BUCKETS) -> DataFrame:
     """``view``: temp view, nothing computed. ``table``: full rebuild written to ``path``
     (overwrite) and read back, which also cuts the lineage of downstream models.
 
     With ``bucket_by`` the table is written bucketed and sorted by that key as
     an external catalog table at ``path``: tables bucketed on the same key with
-    the same bucket count join and group on it without a shuffle.
+    the same bucket count join and group on it without a shuffle. ``buckets`` is
+    set by the table's size (about one per GB), not by the shuffle partitions,
+    and never exceeds what the session allows.
     """
     if kind == "view":
         df.createOrReplaceTempView(name)
@@ -48,8 +54,9 @@ def materialize(df: DataFrame, kind: str, name: str, path: str | None = None,
         raise ValueError("table materialisation needs a path")
     spark = df.sparkSession
     if bucket_by:
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (df.write.mode("overwrite").bucketBy(n, bucket_by).sortBy(bucket_by)
+        n = min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+        # one task a bucket writes one file a bucket
+        (df.repartition(n, bucket_by).write.mode("overwrite").bucketBy(n, bucket_by).sortBy(bucket_by)
            .option("path", path).saveAsTable(name))
         return spark.table(name)
     df.write.mode("overwrite").parquet(path)
@@ -78,14 +85,3 @@ def clustered_write(df: DataFrame, path: str, cluster_by: list[str], partitions:
     session's shuffle partitions (AQE may coalesce small ones)."""
     clustered(df, cluster_by, partitions).write.mode("overwrite").parquet(path)
     return path
-
-
-def write_json_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    """JSON-lines sink for a single string column ``value``; a new path per batch keeps names unique."""
-    lines.select("value").write.mode(mode).text(path)
-    return path
-
-
-def read_back(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-

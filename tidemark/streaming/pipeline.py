@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -122,17 +121,13 @@ def _ordered_dedup_batch(batch: DataFrame, batch_id: int, out_dir: str, cfg: Cle
     """First-ever row per key with a defined order: the batch's first row per key, minus keys
     already in earlier batches of the sink (anti join on distinct keys)."""
     first = first_per_key(batch, cfg.key, cfg.order_by) if cfg.order_by else batch.dropDuplicates([cfg.key])
-    if path_exists(spark, out_dir) is False:     # first batch: no sink yet
+    if not path_exists(spark, out_dir):          # first batch: no sink yet
         return first
-    try:
-        seen = spark.read.parquet(out_dir).where(F.col("batch_id") != batch_id).select(cfg.key)
-        # narrow the key history to this batch's keys first: the batch side is small (bounded by
-        # the trigger) and can be broadcast, so the history is scanned but never shuffled
-        seen_here = seen.join(first.select(cfg.key), cfg.key, "left_semi")
-        first = first.join(seen_here, cfg.key, "left_anti")
-    except AnalysisException:  # first batch: no sink yet
-        pass
-    return first
+    seen = spark.read.parquet(out_dir).where(F.col("batch_id") != batch_id).select(cfg.key)
+    # narrow the key history to this batch's keys first: the batch side is small (bounded by
+    # the trigger) and can be broadcast, so the history is scanned but never shuffled
+    seen_here = seen.join(first.select(cfg.key), cfg.key, "left_semi")
+    return first.join(seen_here, cfg.key, "left_anti")
 
 
 def clean_stream(spark: SparkSession, unified_dir: str, clean_dir: str, metrics_dir: str, checkpoint: str,
