@@ -219,3 +219,25 @@ def test_risk_procedure_message_and_export_count(spark, tmp):
     assert counts == {"rows": 2} and path.endswith("customers_cleaned_20240101_000000")
     assert {str(r[0]) for r in spark.read.parquet(path).select("exported_at_utc_minus_5").collect()} == \
         {"2024-01-01 00:00:00"}
+
+
+def test_rescue_loses_nothing(spark):
+    """Fractions, overflows, failed nested casts and unknown nested keys end up in the rescued column."""
+    import json
+
+    from pyspark.sql.types import StructType
+
+    from tidemark.sources.json_rescue import rescue_parse
+    schema = StructType.fromDDL("customer_id long, age int, metadata struct<device: string, risk_score: double, deep: struct<a: int>>")
+    lines = ['{"customer_id": 1, "age": 18.7}', '{"customer_id": 1e30}', '{"customer_id": 3, "metadata": {"risk_score": "abc", "device": "x"}}',
+             '{"customer_id": 4, "metadata": {"newkey": [1], "deep": {"a": 5000000000, "b.c": 1}}, "metadata.newkey": 2}',
+             '{"customer_id": 5, "metadata": "text"}', '{"customer_id": 9007199254740993, "age": 30, "metadata": {"device": "w", "risk_score": 1, "deep": null}}',
+             '[1]', 'no json', '{"age": "41"}']
+    got = rescue_parse(spark.createDataFrame([(x,) for x in lines], "value string"), schema).collect()
+    rescued = [r["_rescued_data"] and json.loads(r["_rescued_data"]) for r in got]
+    assert rescued == [{"age": 18.7}, {"customer_id": 1e30}, {"metadata.risk_score": "abc"},
+                       {"metadata.newkey": [1], "metadata.deep.a": 5000000000, "metadata.deep.['b.c']": 1, "['metadata.newkey']": 2},
+                       {"metadata": "text"}, None, None, None, {"age": "41"}]
+    assert [r["_corrupt_record"] is not None for r in got] == [False] * 6 + [True, True, False]
+    assert got[5]["customer_id"] == 9007199254740993 and got[5]["metadata"]["device"] == "w" and got[2]["metadata"]["device"] == "x"
+    assert got[8]["age"] == 41 and got[4]["metadata"] is None

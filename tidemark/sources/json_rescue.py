@@ -42,14 +42,52 @@ def _accepted_kinds(dt: T.DataType) -> tuple[str, ...]:
     return ("STRING",)
 
 
-def _kind(v: Column, name: str) -> Column:
-    """Leading word of the variant type of ``v.name`` (VOID for JSON null, NULL if absent)."""
-    return F.regexp_extract(F.schema_of_variant(F.variant_get(v, f"$.{_quote(name)}", "variant")),
-                            r"^([A-Z]+)", 1)
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def _quote(name: str) -> str:
-    return name if name.replace("_", "").isalnum() else f"['{name}']"
+def _path(names: tuple[str, ...]) -> str:
+    return "$" + "".join(f".{n}" if n.replace("_", "").isalnum() else f"['{n}']" for n in names)
+
+
+def _at(v: Column, names: tuple[str, ...], kind: str = "variant") -> Column:
+    return F.try_variant_get(v, _path(names), kind)
+
+
+def _kind(v: Column, names: tuple[str, ...]) -> Column:
+    """Leading word of the variant type at a path (VOID for JSON null, empty if absent)."""
+    return F.coalesce(F.regexp_extract(F.schema_of_variant(_at(v, names)), r"^([A-Z]+)", 1), F.lit(""))
+
+
+def _fields(schema: T.StructType, under: tuple[str, ...] = ()):
+    """(path, type) of every field, the fields of nested structs behind their struct."""
+    for f in schema.fields:
+        names = (*under, f.name)
+        yield names, f.dataType
+        if isinstance(f.dataType, T.StructType):
+            yield from _fields(f.dataType, names)
+
+
+def _label(names: tuple[str, ...]) -> str:
+    return ".".join(f"['{n}']" if "." in n else n for n in names)
+
+
+def _lossy(v: Column, names: tuple[str, ...], dt: T.DataType, kind: Column) -> Column:
+    """Whether the typed value does not hold all of the source value: another JSON type, a failed or
+    overflowing cast, or a fraction cut off. (A number in a string still gives the typed value.)"""
+    typed = _at(v, names, dt.simpleString())
+    wrong = ~kind.isin(*_accepted_kinds(dt))
+    if not isinstance(dt, T.StructType):
+        wrong = wrong | typed.isNull()
+        if isinstance(dt, (*_INTEGRAL, T.DecimalType)):
+            wrong = wrong | F.coalesce(_at(v, names, "double") != typed.cast("double"), F.lit(False))
+    return ~kind.isin("", "VOID") & wrong
+
+
+def _typed(v: Column, kinds: dict, names: tuple[str, ...], dt: T.DataType) -> Column:
+    if not isinstance(dt, T.StructType):
+        return _at(v, names, dt.simpleString())
+    inner = [_typed(v, kinds, (*names, f.name), f.dataType).alias(f.name) for f in dt.fields]
+    return F.when(kinds[names] == "OBJECT", F.struct(*inner))
 
 
 def rescue_parse(df: DataFrame, schema: T.StructType, value_col: str = "value",
@@ -60,33 +98,38 @@ def rescue_parse(df: DataFrame, schema: T.StructType, value_col: str = "value",
     NULL) and ``_corrupt_record`` (the raw line when it is not valid JSON).
     Other input columns (e.g. file name) are carried through.
 
+    ``_rescued_data`` holds, under dotted paths (a key with a dot in brackets), the unknown keys of the line and
+    of its nested objects, and the source value of every known field whose typed value lost something.
     An unknown key holding JSON ``null`` carries no data and is not rescued.
 
     Cost per line: one JSON parse, one typed extraction and one type probe per
-    schema field, one pass over the top-level keys. The lambda that selects
-    unknown keys only tests membership in a literal array.
+    schema field, one pass over the keys of every object in the schema.
     """
     carried = [c for c in df.columns if c != value_col]
     parsed = df.select(*carried, F.col(value_col), F.try_parse_json(F.col(value_col)).alias("__v"))
     vv = F.col("__v")
-    kinds = [_kind(vv, f.name).alias(f"__t{i}") for i, f in enumerate(schema.fields)]
-    probed = parsed.select(*carried, F.col(value_col), vv, *kinds)
-    fields, mismatched = [], []
-    for i, f in enumerate(schema.fields):
-        path = f"$.{_quote(f.name)}"
-        fields.append(F.try_variant_get(vv, path, f.dataType.simpleString()).alias(f.name))
-        bad = F.coalesce(~F.col(f"__t{i}").isin(*_accepted_kinds(f.dataType), "VOID", ""), F.lit(False))
-        mismatched.append(F.when(bad, F.struct(F.lit(f.name).alias("key"),
-                                               F.variant_get(vv, path, "variant").alias("value"))))
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
-    unknown = F.map_filter(F.try_variant_get(vv, "$", "map<string,variant>"),
-                           lambda k, x: ~F.array_contains(known, k) & ~F.is_variant_null(x))
-    rescued_map = F.map_concat(unknown, F.map_from_entries(F.array_compact(F.array(*mismatched))))
+    paths = list(_fields(schema))
+    probed = parsed.select(*carried, F.col(value_col), vv, *[_kind(vv, names).alias(f"__t{i}") for i, (names, _) in enumerate(paths)])
+    kinds = {names: F.col(f"__t{i}") for i, (names, _) in enumerate(paths)}
+    lost = F.array(*[F.when(_lossy(vv, names, dt, kinds[names]),
+                            F.struct(F.lit(_label(names)).alias("key"), _at(vv, names).alias("value"))) for names, dt in paths])
+    top = _at(vv, (), "map<string,variant>")
+
+    def unknown(names: tuple[str, ...], inner: T.StructType) -> Column:
+        known = F.array(*[F.lit(f.name) for f in inner.fields]).cast("array<string>")
+        found = F.map_filter(F.coalesce(_at(vv, names, "map<string,variant>"), F.map_filter(top, lambda k, x: F.lit(False))),
+                             lambda k, x: ~F.array_contains(known, k) & ~F.is_variant_null(x))
+        prefix = F.lit(_label(names) + "." if names else "")
+        return F.transform_keys(found, lambda k, x: F.concat(
+            prefix, F.when(F.contains(k, F.lit(".")), F.concat(F.lit("['"), k, F.lit("']"))).otherwise(k)))
+
+    objects = [((), schema), *[(n, dt) for n, dt in paths if isinstance(dt, T.StructType)]]
+    rescued_map = F.map_concat(*[unknown(n, dt) for n, dt in objects], F.map_from_entries(F.array_compact(lost)))
     rescued = F.when(F.size(rescued_map) > 0, F.to_json(rescued_map))
     # a line that is not a JSON object (malformed, or a bare scalar / array) is quarantined whole
-    not_object = vv.isNull() | F.try_variant_get(vv, "$", "map<string,variant>").isNull()
+    not_object = vv.isNull() | top.isNull()
     return probed.select(
-        *carried, *fields, rescued.alias(RESCUED),
+        *carried, *[_typed(vv, kinds, (f.name,), f.dataType).alias(f.name) for f in schema.fields], rescued.alias(RESCUED),
         F.when(not_object, F.col(value_col)).alias(CORRUPT),
         *([F.col(value_col)] if keep_value else []),
     )
