@@ -241,3 +241,21 @@ def test_rescue_loses_nothing(spark):
     assert [r["_corrupt_record"] is not None for r in got] == [False] * 6 + [True, True, False]
     assert got[5]["customer_id"] == 9007199254740993 and got[5]["metadata"]["device"] == "w" and got[2]["metadata"]["device"] == "x"
     assert got[8]["age"] == 41 and got[4]["metadata"] is None
+
+
+def test_ingest_without_schema_resumes_from_the_stored_one(spark, tmp):
+    from tidemark.streaming.pipeline import ingest_json
+
+    def land(lines, name):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(f"{tmp}/raw/{name}")
+
+    def run():
+        ingest_json(spark, f"{tmp}/raw/*", f"{tmp}/bronze", f"{tmp}/ck", pattern="*.txt", max_files=1)
+    land(['{"customer_id": 1, "metadata": {"device": "x"}}'], "a")
+    run()
+    land(['{"customer_id": 2, "extra": true, "metadata": {"device": "y", "more": 1}}', '{"customer_id": "3"}'], "b")
+    run()
+    got = spark.read.parquet(f"{tmp}/bronze")
+    assert "extra" not in got.columns                    # the first run's schema holds
+    assert sorted((r["customer_id"], r["_rescued_data"]) for r in got.collect()) == [
+        (1, None), (2, '{"extra":true,"metadata.more":1}'), (3, '{"customer_id":"3"}')]

@@ -135,12 +135,12 @@ def rescue_parse(df: DataFrame, schema: T.StructType, value_col: str = "value",
     )
 
 
-def infer_schema(spark: SparkSession, path: str, sample_ratio: float = 1.0) -> T.StructType:
+def infer_schema(spark: SparkSession, path: str, sample_ratio: float = 1.0, pattern: str = "*") -> T.StructType:
     """One-off batch inference over JSON files (nested structs included).
 
     Inference reads the files once; at scale pass ``sample_ratio`` < 1.
     """
-    return (spark.read.option("samplingRatio", sample_ratio)
+    return (spark.read.option("samplingRatio", sample_ratio).option("pathGlobFilter", pattern)
             .option("mode", "DROPMALFORMED").json(path).schema)
 
 
@@ -159,11 +159,11 @@ def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
 
 
 def resolve_schema(spark: SparkSession, location: str, sample_path: str | None = None,
-                   default: T.StructType | None = None) -> T.StructType:
+                   default: T.StructType | None = None, pattern: str = "*") -> T.StructType:
     """Stored schema if present; else infer from ``sample_path`` (or use ``default``) and store it."""
     stored = load_schema(spark, location)
     if stored is not None:
         return stored
-    schema = default if default is not None else infer_schema(spark, sample_path)
+    schema = default if default is not None else infer_schema(spark, sample_path, pattern=pattern)
     save_schema(spark, schema, location)
     return schema

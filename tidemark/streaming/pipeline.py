@@ -19,7 +19,11 @@ from tidemark.operators import expectations as X
 from tidemark.operators.dedup import first_per_key
 from tidemark.session import path_exists
 from tidemark.sources.writers import clustered
-from tidemark.sources.json_rescue import CORRUPT, RESCUED, rescue_parse
+from tidemark.sources.json_rescue import CORRUPT, RESCUED, rescue_parse, resolve_schema
+
+
+# files of one micro-batch: a backlog of any size is worked off in batches of bounded size
+MAX_FILES = 1000
 
 
 def _run(q: StreamingQuery) -> StreamingQuery:
@@ -32,18 +36,23 @@ def _run(q: StreamingQuery) -> StreamingQuery:
 def _stream_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Incremental read of a table written by an upstream stage (schema from its files)."""
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", MAX_FILES).parquet(path)
 
 
 # ---------------------------------------------------------------- bronze
 
 def ingest_json(spark: SparkSession, source_dir: str, bronze_dir: str, checkpoint: str,
-                schema: T.StructType, pattern: str = "*.json", max_files: int | None = None) -> StreamingQuery:
+                schema: T.StructType | None = None, pattern: str = "*.json", max_files: int = MAX_FILES,
+                schema_location: str | None = None) -> StreamingQuery:
     """New JSON-lines files -> bronze table, rescue mode, nothing lost (malformed lines kept in
-    ``_corrupt_record``), source file recorded per row."""
-    reader = spark.readStream.format("text").option("pathGlobFilter", pattern)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    ``_corrupt_record``), source file recorded per row.
+
+    Without a ``schema`` the one stored at ``schema_location`` (default: beside the checkpoint) is used; the
+    first run infers it from the files that lie there and stores it, so later runs resume with the same one.
+    """
+    if schema is None:
+        schema = resolve_schema(spark, schema_location or f"{checkpoint.rstrip('/')}_schema", source_dir, pattern=pattern)
+    reader = spark.readStream.format("text").option("pathGlobFilter", pattern).option("maxFilesPerTrigger", max_files)
     raw = reader.load(source_dir).select("value", F.col("_metadata.file_path").alias("_source_file"))
     bronze = rescue_parse(raw, schema)
     return _run(bronze.writeStream.format("parquet").option("path", bronze_dir)
