@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import latest_per_key
-from tidemark.session import path_exists
+from tidemark.session import materialize_checkpoint, path_exists
 
 SCD_COLUMNS = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
@@ -37,7 +37,8 @@ def incremental_merge(target: DataFrame | None, source: DataFrame, key: str, ts:
     hwm = target.agg(F.max(ts)).first()[0]
     # a literal mark reaches the source's scan as a pushed filter and prunes its files
     new = source if hwm is None else source.where(F.col(ts) > F.lit(hwm))
-    new = latest_per_key(new, key, ts, tiebreak=tiebreak).select(*target.columns)
+    # the increment is written once: its keys and its rows are both read
+    new = materialize_checkpoint(latest_per_key(new, key, ts, tiebreak=tiebreak).select(*target.columns))
     # the increment alone decides the join: while it is small AQE broadcasts its keys and the target
     # is only scanned; NULL keys match nothing, so they stay in the target and are inserted from the new rows
     return target.join(new.select(key), key, "left_anti").unionByName(new)
