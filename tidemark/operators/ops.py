@@ -25,6 +25,13 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def column_profile(tables: dict[str, DataFrame]) -> DataFrame:
+    """``table_name, position, column_name, column_type`` of every column, from the schemas alone."""
+    spark = next(iter(tables.values())).sparkSession
+    rows = [(name, i, f.name, f.dataType.simpleString()) for name, df in tables.items() for i, f in enumerate(df.schema.fields, 1)]
+    return spark.createDataFrame(rows, "table_name string, position int, column_name string, column_type string")
+
+
 def expired_versions(log: DataFrame, retention_hours: int = 168, now=None) -> DataFrame:
     """Version log ``table_name, version, committed_at`` with an ``expired`` verdict.
 

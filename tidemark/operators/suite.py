@@ -155,6 +155,11 @@ def validate(df: DataFrame, rules: list[Rule]) -> DataFrame:
                       F.col("unexpected_count").cast("bigint"), F.col("observed_value").cast("double"))
 
 
+def verdict(result: DataFrame) -> DataFrame:
+    """One row: the AND of all rule outcomes, the rules run and the rules failed."""
+    return result.agg(F.bool_and("success").alias("success"), F.count(F.lit(1)).alias("rules"),
+                      F.count_if(~F.col("success")).alias("failed"))
+
+
 def overall_success(result: DataFrame) -> bool:
-    """AND of all rule outcomes (one tiny job)."""
-    return bool(result.agg(F.min(F.col("success").cast("int"))).first()[0])
+    return bool(verdict(result).first()["success"])

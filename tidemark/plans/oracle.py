@@ -628,3 +628,35 @@ SELECT customer_id, kyc_status, account_balance, exported_at_utc_minus_5,
        lead(exported_at_utc_minus_5) OVER (PARTITION BY customer_id ORDER BY exported_at_utc_minus_5) AS dbt_valid_to
 FROM versions
 """)
+
+SQL["cast_repair"] = """
+SELECT o_orderkey, text, try_cast(text AS DOUBLE) AS value
+FROM (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'abc' || CAST(o_orderkey AS VARCHAR)
+                              WHEN 2 THEN CAST(o_orderkey AS VARCHAR) || '.5' ELSE CAST(o_orderkey AS VARCHAR) END AS text FROM orders)
+"""
+
+SQL["suite_verdict"] = f"""
+SELECT bool_and(success) AS success, count(*) AS rules, count(*) FILTER (WHERE NOT success) AS failed
+FROM ({SQL["suite_report"]})
+"""
+
+SQL["risk_procedure"] = f"""
+SELECT *, 'Categorized ' || CAST(count(*) OVER () AS VARCHAR) || ' customers into risk buckets.' AS message
+FROM ({SQL["risk_category"]})
+"""
+
+# the model graph's service dimension comes from the exports, whose devices are never null
+SQL["build_gate"] = f"""
+SELECT count(*) AS tests, count(*) FILTER (WHERE failures > 0 AND severity = 'error') AS failed,
+       count(*) FILTER (WHERE failures > 0 AND severity = 'warn') AS warned,
+       count(*) FILTER (WHERE failures > 0 AND severity = 'error') = 0 AS passed
+FROM ({SQL["test_report"]})
+"""
+
+_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "TIMESTAMP": "timestamp_ntz",
+          "DATE": "date", "FLOAT": "float", "BOOLEAN": "boolean"}
+SQL["column_profile"] = ("SELECT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name, "
+                         "CASE WHEN data_type LIKE '%[]' THEN 'array<' ELSE '' END || CASE replace(data_type, '[]', '') "
+                         + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _TYPES.items())
+                         + " ELSE lower(data_type) END || CASE WHEN data_type LIKE '%[]' THEN '>' ELSE '' END AS column_type "
+                         "FROM information_schema.columns WHERE table_name IN (" + ", ".join(f"'{t}'" for t in _TABLES) + ")")

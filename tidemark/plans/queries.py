@@ -689,3 +689,46 @@ def suite_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q4-Q12: the 11-rule documentation suite (second e-mail pattern) over the clean table."""
     r = Q.validate(clean_records(spark, sf_dir), SUITE_DOCS)
     return r.withColumn("observed_value", fixed6("observed_value"))
+
+
+# ------------------------------------------------------------------ further evidence
+
+@query
+def cast_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P5: numbers out of drifted text: empty, no number, padded, plain."""
+    k = F.col("o_orderkey")
+    text = (F.when(k % 4 == 0, F.lit("")).when(k % 4 == 1, F.concat(F.lit("abc"), k.cast("string")))
+            .when(k % 4 == 2, F.concat(k.cast("string"), F.lit(".5"))).otherwise(k.cast("string")))
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
+    return o.select("o_orderkey", "text", C.to_double("text").alias("value"))
+
+
+@query
+def suite_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q14: the overall verdict of the whole suite."""
+    return Q.verdict(Q.validate(clean_records(spark, sf_dir), SUITE_ALL))
+
+
+@query
+def risk_procedure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The risk procedure as a job: its table read back, its message beside every row."""
+    path = work_path(spark, "risk")
+    message = M.categorize_customer_risk(_models(spark, sf_dir, shared=False)[3], path)
+    return spark.read.parquet(path).withColumn("message", F.lit(message))
+
+
+@query
+def build_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q21: models built, tested, and the gate's decision (an error-severity failure stops the build)."""
+    reg = SourceRegistry()
+    reg.register("raw.customers_raw", lambda: S.customer_exports(spark, sf_dir))
+    report = R.build_and_test(spark, reg, work_path(spark, "gate"), limits_standin(spark, sf_dir), fail_on_error=False)
+    failed = F.count_if(F.col("status") == "fail")
+    return report.agg(F.count(F.lit(1)).alias("tests"), failed.alias("failed"), F.count_if(F.col("status") == "warn").alias("warned"),
+                      (failed == 0).alias("passed"))
+
+
+@query
+def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns and types of every driver table."""
+    return O.column_profile({t: read_table(spark, sf_dir, t) for t in O.DRIVER_TABLES})
