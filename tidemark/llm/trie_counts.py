@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"                    # stands before every pre-token
 # a character without a piece costs this much more than the rarest piece
 UNKNOWN_PENALTY = 10.0
+NO_PIECE = 1.0                    # no log probability
 # pre-tokens whose counts a task remembers between batches
 CACHE = 300_000
 
@@ -35,6 +37,11 @@ class Vocabulary:
     unknown: float
     longest: int
 
+    def __post_init__(self):
+        # every ending of a piece -> the piece's score, None if it is no piece itself
+        self.endings: dict[str, float | None] = {p[i:]: None for p in self.scores for i in range(len(p))}
+        self.endings.update(self.scores)
+
     @staticmethod
     def ranked(pieces: list[str]) -> Vocabulary:
         """A vocabulary in order of frequency: piece ``r`` gets Zipf's probability, in proportion to 1 / (r + 1)."""
@@ -44,6 +51,7 @@ class Vocabulary:
         return Vocabulary(scores, least - UNKNOWN_PENALTY, max(map(len, pieces), default=1))
 
     @staticmethod
+    @lru_cache(maxsize=4)
     def load(path: str) -> Vocabulary:
         """The ordinary pieces of a sentencepiece model in the order of their scores (bytes and control pieces
         are left out; a character without a piece counts as one unknown token for each UTF-8 byte)."""
@@ -67,7 +75,7 @@ def trie_counts(words: list[str], vocabulary: Vocabulary) -> dict[str, tuple[int
     the path to the current node with its forward states, and a word reuses the states of the prefix it
     shares with the word before.
     """
-    get, longest = vocabulary.scores.get, vocabulary.longest
+    ending = vocabulary.endings.get
     best: list[float] = [0.0]                 # forward score of each prefix on the path
     count: list[int] = [0]
     out: dict[str, tuple[int, float]] = {}
@@ -78,12 +86,17 @@ def trie_counts(words: list[str], vocabulary: Vocabulary) -> dict[str, tuple[int
             shared += 1
         del best[shared + 1:], count[shared + 1:]
         for end in range(shared + 1, len(word) + 1):
-            top, n = -math.inf, 0
-            for begin in range(end - 1, max(-1, end - 1 - longest), -1):
-                score = get(word[begin:end])
-                if score is not None and best[begin] + score > top:
-                    top, n = best[begin] + score, count[begin] + 1
-            if top == -math.inf or get(word[end - 1]) is None:
+            top, n, alone = -math.inf, 0, None
+            for begin in range(end - 1, -1, -1):
+                score = ending(word[begin:end], NO_PIECE)
+                if score is NO_PIECE:                   # nor does any longer piece end like this
+                    break
+                if score is not None:
+                    if begin == end - 1:
+                        alone = score
+                    if best[begin] + score > top:
+                        top, n = best[begin] + score, count[begin] + 1
+            if alone is None:
                 byte = len(word[end - 1].encode("utf-8", "replace"))
                 if best[end - 1] + byte * vocabulary.unknown > top:
                     top, n = best[end - 1] + byte * vocabulary.unknown, count[end - 1] + byte
