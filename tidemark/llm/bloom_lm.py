@@ -32,9 +32,11 @@ MIX = 0.3
 # a token with at least this share of all training tokens is broadcast with its exact count; so at most
 # 1 / share of them are (64 MB); the others' counts are joined
 COMMON_SHARE = 2.0 ** -22
-SEGMENT_BYTES = 8 << 20            # training bytes of one segment of the n-gram space
-FLUSH_TOKENS = 3_000_000
-CACHE_WORDS = 400_000
+SEGMENT_BYTES = 2 << 20            # training bytes of one segment of the n-gram space
+FLUSH_TOKENS = 1_500_000
+CACHE_WORDS = 200_000
+# bytes of text that are scored in one numpy step
+STEP_BYTES = 1 << 20
 # no word holds a space, so these two stand apart from all words
 END, START = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b" end", b" start"))
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -272,8 +274,7 @@ def _score_column(text: str, shared) -> Column:
             at = np.minimum(np.searchsorted(model.common, h), len(model.common) - 1)
             return np.where(model.common[at] == h, model.common_count[at], 0)
 
-        def step(batch):
-            texts = batch.to_pylist()
+        def part(texts: list[bytes]) -> pa.Array:
             if len(words) > CACHE_WORDS:
                 words.reset()
                 state.update(n=0, exact=np.empty(0), level=np.empty(0))
@@ -302,6 +303,12 @@ def _score_column(text: str, shared) -> Column:
             return pa.StructArray.from_arrays([
                 pa.array(n + 1), pa.array(known), pa.array(logs), pa.array(score),
                 pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), items)], fields=list(kind))
+
+        def step(batch):
+            texts = batch.to_pylist()
+            group = np.cumsum([len(t) for t in texts]) // STEP_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+            return pa.concat_arrays([part(texts[a:b]) for a, b in zip(cuts, cuts[1:], strict=False) if a < b] or [pa.array([], kind)])
         return step
     return per_batch(start, "n_tokens long, known long, logs double, score double, light array<struct<h:long,tf:long>>")(text_bytes(text))
 
