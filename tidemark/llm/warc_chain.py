@@ -3,8 +3,8 @@
 Archives are read by Spark's text reader with the record magic as line separator; plain files are split, so
 one of any size is read by many tasks (gzipped files are not, so the writer bounds their records). The pieces between magics tile a file, which gives every magic its offset:
 the bytes of the splits before, then of the pieces before. Each magic is a candidate record whose header
-names its successor's offset. Pointer jumping from the file's start keeps what is reachable from there; a
-magic inside a payload is never a successor and is rejected, its piece going back to the record around it.
+names its successor's offset. Each split's candidates that follow one another are contracted to runs, and
+pointer jumping over the runs from the file's start keeps what is reachable from there; a magic inside a payload is never a successor and is rejected, its piece going back to the record around it.
 """
 
 from __future__ import annotations
@@ -113,7 +113,7 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     blocks = blocks.select("file", "block", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base"))
     light = raw.select("file", "block", "id", "size", _header("value").alias("head"))
     at = F.col("base") + F.coalesce(F.sum(F.col("size") + sep).over(inside), F.lit(0)) - sep
-    places = light.join(blocks, ["file", "block"]).select("file", "id", "size", "head", at.alias("at"))
+    places = light.join(blocks, ["file", "block"]).select("file", "block", "id", "size", "head", at.alias("at"))
     return raw.select("id", "value"), stored(places, "warc-places")
 
 
@@ -129,6 +129,23 @@ def field(head: Column, name: str) -> Column:
     return F.when(F.regexp_like(F.concat(F.lit(CRLF), head, F.lit(CRLF)), F.lit(rf"(?i)\r\n{name}:")), got)
 
 
+def runs_of(candidates: DataFrame) -> DataFrame:
+    """``candidates (file, block, at, next)`` with ``run``: the offset of the first candidate of their run.
+
+    A run is a stretch of one split's candidates that each name the one behind them as successor, and that a
+    pointer from elsewhere enters at the first only. So a run is reached as a whole or not at all, and only
+    runs take part in pointer jumping: a file without magics in payloads is one run a split.
+    """
+    split = Window.partitionBy("file", "block").orderBy("at")
+    c = stored(candidates.withColumn("close", F.col("next").eqNullSafe(F.lead("at").over(split))), "warc-close")
+    targets = c.filter(~F.col("close")).select("file", F.col("next").alias("at")).distinct().withColumn("target", F.lit(True))
+    c = c.join(targets, ["file", "at"], "left")
+    first = F.col("target").isNotNull() | ~F.coalesce(F.lag("close").over(split), F.lit(False))
+    c = c.withColumn("first", first)
+    so_far = split.rowsBetween(Window.unboundedPreceding, 0)
+    return c.select("file", "at", "next", F.max(F.when(F.col("first"), F.col("at"))).over(so_far).alias("run"))
+
+
 def reachable(candidates: DataFrame) -> DataFrame:
     """``(file, at)`` of the records on the chain from each file's start, by pointer jumping.
 
@@ -166,10 +183,13 @@ def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     values, places = _pieces(spark, path)
     sep = len(MAGIC)
     length = field(F.col("head"), "Content-Length").try_cast("long")
-    cand = places.filter("at >= 0").select("file", "id", "at", "size", "head", length.alias("length"))
+    cand = places.filter("at >= 0").select("file", "block", "id", "at", "size", "head", length.alias("length"))
     succ = F.col("at") + sep + F.octet_length("head") + 4 + F.col("length") + 4
-    light = stored(cand.filter("head IS NOT NULL AND length >= 0").select("file", "at", succ.alias("next")), "warc-candidates")
-    real = reachable(light).select("file", "at", F.lit(True).alias("real"))
+    light = cand.filter("head IS NOT NULL AND length >= 0").select("file", "block", "at", succ.alias("next"))
+    light = stored(runs_of(light), "warc-candidates")
+    runs = stored(light.groupBy("file", F.col("run").alias("at")).agg(F.max_by("next", "at").alias("next")), "warc-runs")
+    found = reachable(runs).withColumnRenamed("at", "run")
+    real = light.join(found, ["file", "run"]).select("file", "at", F.lit(True).alias("real"))
     marked = stored(places.filter("at >= 0").select("file", "id", "at").join(real, ["file", "at"], "left"), "warc-marked")
     # a rejected piece belongs to the record before it; a record's pieces are put together again
     rejected = marked.filter("real IS NULL").select("file").distinct()
