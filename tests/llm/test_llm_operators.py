@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import bestfit, bloom_lm, chat, components, decontam, host_rules, kd_shards, pu_quality, simhash_ring, trie_counts, warc_chain
+from tidemark.llm import bestfit, bloom_lm, chat, common, components, decontam, host_rules, kd_shards, pu_quality, simhash_ring, trie_counts, warc_chain
 from tidemark.llm.common import shared_path
 from tidemark.llm.oracle import SQL
 from tidemark.llm.queries import QUERIES
@@ -182,6 +182,23 @@ def test_bloom_levels(spark):
     assert bloom_lm.levels_of(np.array([1, 2, 3]), 2.0).tolist() == [0, 1, 2]
 
 
+def test_lm_rare_pairs_count_in_a_large_corpus(spark):
+    """0.54 GB of text, nearly all of it one long word: pairs seen once are still in the filter."""
+    many = spark.range(540).select(F.lit("a b").alias("text"), F.expr("repeat('z', 1000000)").alias("z"))
+    texts = many.select(F.concat_ws(" ", "text", "z").alias("text")).unionByName(spark.createDataFrame([("rare pair",)], "text string"))
+    model, _ = bloom_lm.fit(texts)
+    one = lambda w: np.array([bloom_lm.xxhash.xxh64_intdigest(w)], np.uint64)
+    assert model.unit == 1 and model.levels(one(b"rare"), 1) >= 1
+    assert model.levels(bloom_lm.mixed(one(b"rare"), one(b"pair")), 2) >= 1
+
+
+def test_lm_scores_in_chunks(spark, monkeypatch, awkward):
+    whole = sorted(map(str, QUERIES["op3_lm_scoring"](spark, awkward).collect()))
+    monkeypatch.setattr(bloom_lm, "CHUNK_TOKENS", 1)
+    monkeypatch.setattr(common, "BATCH_ROWS", 3)
+    assert sorted(map(str, QUERIES["op3_lm_scoring"](spark, awkward).collect())) == whole
+
+
 def test_contamination(spark, awkward):
     got = QUERIES["op4_decontamination"](spark, awkward).collect()
     assert same(got, brute.contamination(docs_of(), ITEMS))

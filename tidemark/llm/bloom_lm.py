@@ -1,10 +1,10 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-N-gram counts are quantised on a log scale, ``level = 1 + floor(log_base(count / unit))``, and an n-gram of
-level ``j`` is put into the filter as ``(n-gram, 1) .. (n-gram, j)``. A reader probes levels upwards until
-one is missing, which gives the level back with an error that shrinks with every further probe. The unit is
-a fixed share of the training bytes, so a level stands for the same relative frequency in a corpus of any
-size and the filter's size is bounded by that share alone (``max_insertions``), whatever the corpus.
+N-gram counts are quantised on a log scale, ``level = 1 + floor(log_base(count))``, and an n-gram of level
+``j`` is put into the filter as ``(n-gram, 1) .. (n-gram, j)``. A reader probes levels upwards until one is
+missing, which gives the level back with an error that shrinks with every further probe. Every n-gram of the
+training texts is put in, so the filter grows with them; it lies in parts by hash range, and no task holds more
+than one part at a time: the documents' distinct n-grams go to the parts, and the answers come back.
 
 The smoothed probability of a word ``w`` after ``v`` is
 ``(1 - mix) * (c(w) + 1) / (N + V + 1) + mix * c(v, w) / c(v)`` with the counts that the levels stand for.
@@ -14,40 +14,34 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import per_batch, stored, text_bytes
+from tidemark.llm.common import stored, text_bytes
 
 FOLDS, HELD_OUT = 7, 2
 BASE = 1.5
-UNIT_SHARE = 2.0 ** -27            # unit of the counts, as a share of the training bytes
 BITS_AN_ENTRY = 8
 PROBES = 4
 MIX = 0.3
-# a token with at least this share of all training tokens is broadcast with its exact count; so at most
-# 1 / share of them are (64 MB); the others' counts are joined
-COMMON_SHARE = 2.0 ** -22
+COMMON_SHARE = 2.0 ** -22           # not read any more: tokens of every frequency are asked for alike (a test sets it)
 SEGMENT_BYTES = 2 << 20            # training bytes of one segment of the n-gram space
 FLUSH_TOKENS = 1_500_000
 CACHE_WORDS = 200_000
-# bytes of text that are scored in one numpy step
-STEP_BYTES = 1 << 20
+# tokens of the documents whose n-grams are asked for together
+CHUNK_TOKENS = 1_000_000
 # no word holds a space, so these two stand apart from all words
 END, START = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b" end", b" start"))
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
-def max_insertions(unit_share: float = UNIT_SHARE, orders: int = 2) -> int:
-    """Bound of the filter's insertions: ``levels <= 2 * count / unit`` for base 1.5 and counts from the unit
-    on, and an order's counts sum to at most the training bytes."""
-    return int(orders * 2 / unit_share)
-
-
 def mixed(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
     """64-bit hash of an ordered pair of hashes."""
     x = (a ^ (a >> np.uint64(29))) * _MUL + b
@@ -151,8 +145,8 @@ def _counted(segments: int):
     return run
 
 
-def levels_of(counts: np.ndarray, unit: float, base: float = BASE) -> np.ndarray:
-    """Quantised log frequency; 0 below the unit (such n-grams are left to the smoothing)."""
+def levels_of(counts: np.ndarray, unit: float = 1.0, base: float = BASE) -> np.ndarray:
+    """Quantised log frequency; 0 below the unit."""
     out = np.zeros(len(counts), np.int64)
     some = counts >= unit
     out[some] = 1 + np.floor(np.log(counts[some] / unit) / np.log(base) + 1e-9).astype(np.int64)
@@ -167,13 +161,30 @@ def _positions(h: np.ndarray, level: np.ndarray, bits: np.ndarray | int) -> Iter
                else ((a + np.uint64(k) * b) >> np.uint64(32)) * np.uint64(bits)) >> np.uint64(32)
 
 
-def _filtered(unit: float):
-    """Each segment's counts, summed -> its part of the filter, and the exact counts of its tokens."""
-    names = ["segment", "n", "bits", "filter", "distinct", "total", "h", "c"]
-    kinds = [pa.int32(), pa.int8(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+def probed(h: np.ndarray, bits: int, filter_: np.ndarray) -> np.ndarray:
+    """Levels of n-grams in a part of the filter by probing (n-gram, 1), (n-gram, 2), ... until one is missing."""
+    out = np.zeros(len(h), np.int64)
+    open_ = np.arange(len(h))
+    level = 1
+    while len(open_):
+        a = mixed(h[open_], np.uint64((level + 1) * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF))
+        b = mixed(a, _MUL) | np.uint64(1)
+        for k in range(PROBES):                              # as _positions, for those not yet missing
+            at = ((((a + np.uint64(k) * b) >> np.uint64(32)) * np.uint64(bits)) >> np.uint64(32)).astype(np.int64)
+            found = (filter_[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+            open_, a, b = open_[found], a[found], b[found]
+        out[open_] = level
+        level += 1
+    return out
+
+
+def _filtered():
+    """Each segment's counts, summed -> its part of the filter, and for tokens their hashes and exact counts."""
+    names = ["segment", "n", "bits", "body", "distinct", "total", "h", "c"]
+    kinds = [pa.int32(), pa.int8(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
     def part(segment: int, n: int, h: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
-        level = levels_of(c, unit)
+        level = levels_of(c)
         bits = int(max(64, 64 * -(-int(level.sum()) * BITS_AN_ENTRY // 64)))
         array = np.zeros(bits, bool)
         h2, lv = h, level
@@ -186,13 +197,9 @@ def _filtered(unit: float):
             for at in _positions(h2, np.full(len(h2), step), bits):
                 array[at] = True
             step += 1
-        row = [[segment], [n], [bits], [np.packbits(array, bitorder="little").tobytes()], [len(h)], [int(c.sum())], [None], [None]]
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names)
-        if n == 1:
-            for at in range(0, len(h), 1 << 17):
-                k = len(h[at:at + (1 << 17)])
-                yield pa.RecordBatch.from_arrays([pa.nulls(k, t) for t in kinds[:6]] + [
-                    pa.array(h[at:at + k].view(np.int64)), pa.array(c[at:at + k].astype(np.int64))], names)
+        exact = [h.tobytes(), c.astype(np.int64).tobytes()] if n == 1 else [None, None]
+        row = [segment, n, bits, np.packbits(array, bitorder="little").tobytes(), len(h), int(c.sum()), *exact]
+        yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, hs, cs, size = None, [], [], 0
@@ -213,104 +220,186 @@ def _filtered(unit: float):
     return run
 
 
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for h, c in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(h, np.int64)), pa.array(np.frombuffer(c, np.int64))], ["h", "c"])
+
+
 @dataclass
 class BloomModel:
-    """What the workers get: the filter in segments, the scalars, and the common tokens' exact counts."""
+    """The stored filter parts by segment, and the scalars."""
 
+    parts: DataFrame
     segments: int
-    bits: np.ndarray          # (2, segments) bits of each part
-    offset: np.ndarray        # (2, segments) first byte of each part
-    filter: np.ndarray        # bytes of all parts
-    unit: float
     tokens: int
     distinct: int
     texts: int
-    common: np.ndarray        # sorted hashes
-    common_count: np.ndarray
-    mix: float = MIX
+    unit: float = 1.0
 
     def levels(self, h: np.ndarray, order: int) -> np.ndarray:
-        """Levels of n-grams by probing (n-gram, 1), (n-gram, 2), ... until one is missing."""
-        out = np.zeros(len(h), np.int64)
-        seg = (((h >> np.uint64(32)) * np.uint64(self.segments)) >> np.uint64(32)).astype(np.int64)
-        bits, base = self.bits[order - 1][seg], self.offset[order - 1][seg]
-        open_ = np.flatnonzero(bits > 0)
-        level = 1
-        while len(open_):
-            alive = np.ones(len(open_), bool)
-            for at in _positions(h[open_], np.full(len(open_), level), bits[open_]):
-                at = at.astype(np.int64)
-                alive &= (self.filter[base[open_] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1
-            open_ = open_[alive]
-            out[open_] = level
-            level += 1
+        """Levels of a few n-grams; reads their parts of the filter one by one."""
+        out, seg = np.zeros(len(h), np.int64), segment_of(h, self.segments)
+        wanted = self.parts.filter((F.col("n") == order) & F.col("segment").isin(np.unique(seg).tolist()))
+        for r in wanted.select("segment", "bits", "body").toLocalIterator():
+            here = seg == r["segment"]
+            out[here] = probed(h[here], r["bits"], np.frombuffer(r["body"], np.uint8))
         return out
 
-    def counts(self, levels: np.ndarray) -> np.ndarray:
-        """The middle of the counts that a level stands for; 0 for level 0."""
-        return np.where(levels > 0, self.unit * BASE ** np.maximum(levels - 1, 0) * (1 + BASE) / 2, 0.0)
 
-    def log10(self, before: np.ndarray, token: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        """log10 probability of tokens from estimated counts of the context, the token and the pair."""
-        one = (token + 1) / (self.tokens + self.distinct + 1)
-        two = np.minimum(pair, np.minimum(before, token)) / np.maximum(before, 1e-9)
-        return np.log10((1 - self.mix) * np.minimum(one, 1.0) + self.mix * np.minimum(two, 1.0))
+def segment_of(h: np.ndarray, segments: int) -> np.ndarray:
+    return (((h >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)).astype(np.int64)
+
+
+def counts_of(levels: np.ndarray) -> np.ndarray:
+    """The middle of the counts that a level stands for; 0 for level 0."""
+    return np.where(levels > 0, BASE ** np.maximum(levels - 1.0, 0) * (1 + BASE) / 2, 0.0)
+
+
+def log10_of(before: np.ndarray, token: np.ndarray, pair: np.ndarray, total: int, mix: float = MIX) -> np.ndarray:
+    """log10 probability of tokens from estimated counts of the context, the token and the pair."""
+    one = (token + 1) / total
+    two = np.minimum(pair, np.minimum(before, token)) / np.maximum(before, 1e-9)
+    return np.log10((1 - mix) * np.minimum(one, 1.0) + mix * np.minimum(two, 1.0))
 
 
-def _score_column(text: str, shared) -> Column:
-    light = pa.list_(pa.struct([("h", pa.int64()), ("tf", pa.int64())]))
-    kind = pa.struct([("n_tokens", pa.int64()), ("known", pa.int64()), ("logs", pa.float64()), ("score", pa.float64()), ("light", light)])
+def _planes(h: np.ndarray) -> bytes:
+    """Hashes byte plane by byte plane: the upper ones of a sorted run compress."""
+    return h.view(np.uint8).reshape(-1, 8).T.tobytes()
 
-    def start():
-        model: BloomModel = shared.value
+
+def _unplaned(data: bytes) -> np.ndarray:
+    return np.frombuffer(np.frombuffer(data, np.uint8).reshape(8, -1).T.tobytes(), np.uint64)
+
+
+def _asked(segments: int, chunk_tokens: int):
+    """(uid, text) -> (uid, segment, n, body): the distinct n-grams of a chunk of documents, named by its first
+    document's uid, dealt by hash range."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, held, size, first = Words(), ([], []), 0, None
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for order in (0, 1):
+                h = np.unique(np.concatenate(held[order]))
+                held[order].clear()
+                cuts = np.searchsorted(segment_of(h, segments), np.arange(segments + 1))
+                some = np.flatnonzero(np.diff(cuts))
+                for at in range(0, len(some), 512):
+                    part = some[at:at + 512]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(part), first, np.int64)), pa.array(part.astype(np.int32)),
+                        pa.array(np.full(len(part), order + 1, np.int8)),
+                        pa.array([_planes(h[cuts[s]:cuts[s + 1]]) for s in part], pa.binary())], ["uid", "segment", "n", "body"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            first = batch.column(0)[0].as_py() if first is None else first
+            rows, n = words.rows(batch.column(1).to_pylist())
+            tokens, begin = with_ends(words.hashes[rows], n, START, END)
+            before, token = pairs_of(tokens, begin)
+            held[0].append(np.unique(token))
+            held[1].append(mixed(before, token))
+            size += len(token)
+            if size >= chunk_tokens:
+                yield from flush()
+                size, first = 0, None
+        if size:
+            yield from flush()
+    return run
+
+
+ANSWERS = "uid long, segment int, n byte, levels binary, counts binary, digest long"
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted parts of the filter, each followed by its questions -> levels, and exact counts of tokens."""
+    kinds = [pa.int64(), pa.int32(), pa.int8(), pa.binary(), pa.binary(), pa.int64()]
+    names = ["uid", "segment", "n", "levels", "counts", "digest"]
+    key, bits, filter_, h, c = None, 0, None, None, None
+    for batch in batches:
+        out: list[tuple] = []
+        rows = zip(*(x.to_pylist() for x in batch.columns), strict=True)
+        for of, run in groupby(rows, itemgetter(0, 1)):      # a part's questions are probed together
+            asking = []
+            for segment, n, uid, size, body, hs, cs in run:
+                if uid >= 0:
+                    asking.append((uid, _unplaned(body)))
+                    continue
+                key, bits, filter_ = of, size, np.frombuffer(body, np.uint8)
+                if n == 1:
+                    h, c = np.frombuffer(hs, np.uint64), np.frombuffer(cs, np.int64)
+            if not asking:
+                continue
+            asked = np.concatenate([q for _, q in asking])
+            known = key == of                                # a range without training n-grams has no part
+            levels = (probed(asked, bits, filter_) if known else np.zeros(len(asked), np.int64)).astype(np.uint8)
+            exact = None
+            if of[1] == 1:
+                exact = np.zeros(len(asked), np.int64)
+                if known:
+                    at = np.minimum(np.searchsorted(h, asked), len(h) - 1)
+                    exact = np.where(h[at] == asked, c[at], 0)
+            end = 0
+            for uid, q in asking:
+                begin, end = end, end + len(q)
+                out.append((uid, *of, levels[begin:end].tobytes(), None if exact is None else exact[begin:end].tobytes(),
+                            int(np.bitwise_xor.reduce(q).view(np.int64))))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
+
+def _scored(total: int, n_texts: int, id_type: pa.DataType):
+    """Sorted answers of a chunk, each followed by its documents -> the documents' scores."""
+    names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
-        state = {"n": 0, "exact": np.empty(0), "level": np.empty(0)}
-        special = np.array([END, START], np.uint64)
-        end_level = model.levels(special[:1], 1)
-
-        def exact(h: np.ndarray) -> np.ndarray:
-            if not len(model.common):
-                return np.zeros(len(h), np.int64)
-            at = np.minimum(np.searchsorted(model.common, h), len(model.common) - 1)
-            return np.where(model.common[at] == h, model.common_count[at], 0)
-
-        def part(texts: list[bytes]) -> pa.Array:
-            if len(words) > CACHE_WORDS:
-                words.reset()
-                state.update(n=0, exact=np.empty(0), level=np.empty(0))
+        answers: dict[int, list[tuple]] = {1: [], 2: []}
+        ids, texts = [], []
+
+        def answer(order: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            got = answers[order]
+            levels = np.frombuffer(b"".join(x[0] for x in got), np.uint8)
+            digest = np.bitwise_xor.reduce(np.array([x[2] for x in got], np.int64))
+            if len(levels) != len(h) or digest != np.bitwise_xor.reduce(h).view(np.int64):
+                raise ValueError("the documents changed between two readings")
+            return counts_of(levels.astype(np.int64)), np.frombuffer(b"".join(x[1] or b"" for x in got), np.int64)
+
+        def chunk() -> pa.RecordBatch:
             rows, n = words.rows(texts)
-            fresh = words.hashes[state["n"]:]
-            if len(fresh):
-                state["exact"] = np.concatenate((state["exact"], exact(fresh)))
-                state["level"] = np.concatenate((state["level"], model.counts(model.levels(fresh, 1))))
-                state["n"] = len(words.hashes)
             last = len(words.hashes)                     # the end's and the start's rows, behind all words
-            hashes = np.concatenate((words.hashes, special))
-            counts = np.concatenate((state["exact"], exact(special[:1]), [0]))
-            about = np.concatenate((state["level"], model.counts(end_level), [float(model.texts)]))
+            hashes = np.concatenate((words.hashes, np.array([END, START], np.uint64)))
             tokens, begin = with_ends(rows, n, last + 1, last)
             before, token = pairs_of(tokens, begin)
-            pair = model.counts(model.levels(mixed(hashes[before], hashes[token]), 2))
+            used = np.unique(token)
+            h1, at1 = np.unique(hashes[used], return_inverse=True)
+            h2, one_of, at2 = np.unique(mixed(hashes[before], hashes[token]), return_index=True, return_inverse=True)
+            about, exact = answer(1, h1)
+            pair, _ = answer(2, h2)
+            guess, count = np.zeros(last + 2), np.zeros(last + 2, np.int64)
+            guess[used], count[used] = about[at1], exact[at1]
+            guess[last + 1] = n_texts
+            logs = log10_of(guess[before[one_of]], guess[token[one_of]], pair, total)
             first = np.cumsum(n + 1) - (n + 1)
-            logs = np.add.reduceat(np.log10(counts + 1)[token], first)
-            known = np.add.reduceat((counts > 0)[token].astype(np.int64), first)
-            score = np.add.reduceat(model.log10(about[before], about[token], pair), first)
-            doc = np.repeat(np.arange(len(n)), n + 1)
-            rare = counts[token] == 0
-            key, tf = np.unique(doc[rare] * (last + 2) + token[rare], return_counts=True)
-            offsets = np.searchsorted(key, np.arange(len(n) + 1) * (last + 2))
-            items = pa.StructArray.from_arrays([pa.array(hashes[key % (last + 2)].view(np.int64)), pa.array(tf.astype(np.int64))], ["h", "tf"])
-            return pa.StructArray.from_arrays([
-                pa.array(n + 1), pa.array(known), pa.array(logs), pa.array(score),
-                pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), items)], fields=list(kind))
-
-        def step(batch):
-            texts = batch.to_pylist()
-            group = np.cumsum([len(t) for t in texts]) // STEP_BYTES
-            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
-            return pa.concat_arrays([part(texts[a:b]) for a, b in zip(cuts, cuts[1:], strict=False) if a < b] or [pa.array([], kind)])
-        return step
-    return per_batch(start, "n_tokens long, known long, logs double, score double, light array<struct<h:long,tf:long>>")(text_bytes(text))
+            columns = [n + 1, np.add.reduceat((count > 0)[token].astype(np.int64), first),
+                       np.add.reduceat(np.log10((count + 1) / total)[token], first), np.add.reduceat(logs[at2], first)]
+            return pa.RecordBatch.from_arrays([pa.array(ids, id_type), *map(pa.array, columns)], names)
+
+        for batch in batches:
+            for _, kind, n, _, levels, counts, digest, doc_id, text in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if kind == 1:
+                    ids.append(doc_id)
+                    texts.append(text)
+                    continue
+                if ids:
+                    yield chunk()
+                    ids, texts, answers = [], [], {1: [], 2: []}
+                answers[n].append((levels, counts, digest))
+        if ids:
+            yield chunk()
+    return run
 
 
 def remainder(doc_id: Column) -> Column:
@@ -318,60 +407,55 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS
 
 
-def fit(texts: DataFrame, unit_share: float = UNIT_SHARE) -> tuple[BloomModel, DataFrame]:
+def tasks_for(texts: DataFrame, segments: int) -> int:
+    return max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), segments // 8)
+
+
+def fit(texts: DataFrame) -> tuple[BloomModel, DataFrame]:
     """Count all n-grams of the column ``text``, build the filter, and return it with the table of exact token
     counts ``(h, c)``.
 
     Tasks combine their counts and hand them on as packed runs of one hash range each; a hot n-gram is one
-    entry a task. Each range is summed, quantised and put into its own part of the filter by one task; only
-    the finished parts, together bounded by ``max_insertions``, come to the driver to be broadcast.
+    entry a task. Each range is summed, quantised and put into its own part of the filter by one task; the
+    parts stay in the shared folder.
     """
-    spark = texts.sparkSession
     sums = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
     segments = int(min(max(64, sums["b"] // SEGMENT_BYTES), 1 << 16))
-    unit = max(1.0, sums["b"] * unit_share)
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), segments // 8)
     packed = texts.select(text_bytes("text").alias("b")).mapInArrow(
         _counted(segments), "segment int, n byte, hashes binary, counts binary")
-    parts = stored(packed.repartition(tasks, "segment").sortWithinPartitions("segment", "n").mapInArrow(
-        _filtered(unit), "segment int, n byte, bits long, filter binary, distinct long, total long, h long, c long"), "lm-parts")
-    counts = parts.filter(F.col("h").isNotNull()).select("h", "c")
-    bits, offset = np.zeros((2, segments), np.int64), np.zeros((2, segments), np.int64)
-    pieces, size, distinct, tokens = [], 0, 0, 0
-    for r in parts.filter(F.col("h").isNull()).select("segment", "n", "bits", "filter", "distinct", "total").toLocalIterator():
-        bits[r["n"] - 1, r["segment"]], offset[r["n"] - 1, r["segment"]] = r["bits"], size
-        pieces.append(np.frombuffer(r["filter"], np.uint8))
-        size += len(pieces[-1])
-        if r["n"] == 1:
-            distinct, tokens = distinct + r["distinct"], tokens + r["total"]
-    common = counts.filter(F.col("c") >= F.lit(max(1.0, tokens * COMMON_SHARE))).toArrow()
-    h, c = common.column("h").to_numpy().view(np.uint64), common.column("c").to_numpy()
-    order = np.argsort(h)
-    model = BloomModel(segments, bits, offset, np.concatenate(pieces) if pieces else np.empty(0, np.uint8), unit,
-                       tokens, distinct, sums["n"], h[order], c[order])
-    return model, counts
+    parts = stored(packed.repartition(tasks_for(texts, segments), "segment").sortWithinPartitions("segment", "n").mapInArrow(
+        _filtered(), "segment int, n byte, bits long, body binary, distinct long, total long, h binary, c binary"), "lm-parts")
+    own = parts.filter(F.col("n") == 1)
+    known = own.agg(F.coalesce(F.sum("distinct"), F.lit(0)).alias("d"), F.coalesce(F.sum("total"), F.lit(0)).alias("t")).first()
+    return (BloomModel(parts, segments, known["t"], known["d"], sums["n"]),
+            own.select("h", "c").mapInArrow(_unpacked, "h long, c long"))
 
 
 def scored(docs: DataFrame) -> DataFrame:
     """One row a document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    The model learns from the documents outside the held-out remainder. Exact counts of common tokens are
-    broadcast (their number is bounded by ``1 / COMMON_SHARE``); a document's other tokens, none of them hot,
-    are joined with the count table. Null and empty texts are the end token alone; repeated rows each get
-    their row; without training documents every token is unknown; an empty table gives no rows.
+    The model learns from the documents outside the held-out remainder. The distinct n-grams of each chunk of
+    documents go to the task that holds their part of the filter and, for tokens, the exact counts; the
+    answers come back to the chunk's documents. Both readings number the documents by their place in the
+    table's files, and a chunk whose n-grams are not those asked for raises. Null and empty texts are the end
+    token alone; repeated rows each get their row; without training documents every token is unknown; an
+    empty table gives no rows.
     """
-    spark = docs.sparkSession
-    model, counts = fit(docs.filter(remainder(F.col("doc_id")) != HELD_OUT).select("text"))
-    shared = spark.sparkContext.broadcast(model)
-    tagged = stored(docs.select("doc_id", F.monotonically_increasing_id().alias("uid"), _score_column("text", shared).alias("s"))
-                    .select("doc_id", "uid", "s.*"), "lm-scores")
-    rare = tagged.select("uid", F.explode("light").alias("x")).select("uid", "x.h", "x.tf")
-    found = (rare.join(counts, "h").groupBy("uid")
-             .agg(F.sum("tf").alias("more_known"), F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("more_logs")))
-    total = float(np.log10(model.tokens + model.distinct + 1))
-    return (tagged.drop("light").join(found, "uid", "left")
-            .select("doc_id", (remainder(F.col("doc_id")) == HELD_OUT).alias("held_out"), "n_tokens",
-                    (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-                    F.lit(model.tokens).cast("long").alias("train_tokens"),
-                    (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) - F.col("n_tokens") * total).alias("base_score"),
-                    "score"))
+    model, _ = fit(docs.filter(remainder(F.col("doc_id")) != HELD_OUT).select("text"))
+    tagged = docs.select("doc_id", text_bytes("text").alias("text")).withColumn("uid", F.monotonically_increasing_id())
+    asked = tagged.select("uid", "text").mapInArrow(
+        _asked(model.segments, CHUNK_TOKENS), "uid long, segment int, n byte, body binary")
+    parts = model.parts.select("segment", "n", F.lit(-1).cast("long").alias("uid"), "bits", "body", "h", "c")
+    answers = (parts.unionByName(asked, allowMissingColumns=True).repartition(tasks_for(docs, model.segments), "segment")
+               .sortWithinPartitions("segment", "n", "uid").mapInArrow(_answered, ANSWERS))
+    row = answers.select("uid", F.lit(0).alias("kind"), "n", "segment", "levels", "counts", "digest")
+    both = row.unionByName(tagged.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    total = model.tokens + model.distinct + 1
+    id_type = docs.schema["doc_id"].dataType
+    # one task a part of the scan: as even as the scan is
+    out = (both.repartitionById(max(1, docs.rdd.getNumPartitions()), F.shiftright("uid", 33).cast("int"))
+           .sortWithinPartitions("uid", "kind", "n", "segment")
+           .mapInArrow(_scored(total, model.texts, to_arrow_type(id_type)),
+                       f"doc_id {id_type.simpleString()}, n_tokens long, n_known long, base_score double, score double"))
+    return out.select("doc_id", (remainder(F.col("doc_id")) == HELD_OUT).alias("held_out"), "n_tokens", "n_known",
+                      F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
