@@ -231,6 +231,18 @@ def test_chat_finds_rewritten_history():
         assert piece[a:b] == t.upper() and not rewrote
 
 
+def test_chat_templates_that_see_all_turns():
+    turns = [(("user", "assistant")[i % 2], f"t{i}") for i in range(300)]
+    numbered = lambda turns: "".join(f"{i}:{t};" for i, (_, t) in enumerate(turns))
+    got = list(chat.spans(iter(turns), numbered))
+    assert "".join(x[1] for x in got) == numbered(turns) and not any(x[4] for x in got)
+    assert all(p[a:b] == t for (_, t), p, a, b, _ in got)
+
+    def forgets(turns):                                     # drops the first turn's text at the 200th turn
+        return "".join("..." if i == 0 and len(turns) >= 200 else f"[{t}]" for i, (_, t) in enumerate(turns))
+    assert [k for k, x in enumerate(chat.spans(iter(turns), forgets)) if x[4]] == [199]
+
+
 def test_chat_escape_round_trip():
     parts = ["\\", "-", "<|", "turn", "|>", "<|end|>", "</s>", "[INST]", "[/INST]", "[", "a"]
     for n in range(4):

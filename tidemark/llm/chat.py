@@ -24,11 +24,18 @@ Template = Callable[[list[Turn]], str]
 CONTROLS = ["<|turn|>", "<|text|>", "<|end|>", "<s>", "</s>", "[INST]", "[/INST]"]
 BREAK = "\\-"                      # put inside a control string; a backslash itself becomes two
 MARKERS = ["\ue000", "\ue001", "\uf8ff"]
-# turns of history that a rendering sees at most: 64 to 127, so that a conversation of any length costs
-# time and memory in proportion to its turns
+# turns of history that a rendering by a turnwise template sees at most: 64 to 127, so that a conversation of any
+# length costs time and memory in proportion to its turns
 HISTORY = 64
 
 
+def turnwise(template: Template) -> Template:
+    """Says of a template that its output is an opening and then a piece for each turn that hangs on that turn
+    alone, so that rendering behind a part of the history gives the same pieces. Other templates see all of it."""
+    template.turnwise = True
+    return template
+
+
 def escape(text: str, controls: list[str] = CONTROLS) -> str:
     """The text without any control string, reversibly."""
     text = text.replace("\\", "\\\\")
@@ -42,6 +49,7 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(\\|-)", lambda m: "\\" if m[1] == "\\" else "", text)
 
 
+@turnwise
 def turn_template(turns: list[Turn]) -> str:
     """The production template: each turn's role and text between control strings, both escaped."""
     return "<s>" + "".join(f"<|turn|>{escape(r)}<|text|>{escape(t)}<|end|>" for r, t in turns)
@@ -59,14 +67,15 @@ def spans(turns: Iterator[Turn], template: Template, history: int = HISTORY) ->
     """For each turn: the turn, what it adds to the output, begin and end of its text in that, and whether the
     template rewrote history at it (then the output from the first changed character on is returned).
 
-    The text comes out empty if the template doesn't show it. Prefixes grow up to twice ``history`` turns;
-    then the older half is left out and the prefix is rendered anew.
+    The text comes out empty if the template doesn't show it. Every prefix is rendered whole, which costs time in
+    proportion to the square of a conversation's turns; only for a ``turnwise`` template prefixes grow up to twice
+    ``history`` turns, then the older half is left out and the prefix is rendered anew.
     """
     past: list[Turn] = []
     before = opening = template([])
     first = True
     for turn in turns:
-        if len(past) >= 2 * history:
+        if getattr(template, "turnwise", False) and len(past) >= 2 * history:
             past = past[-history:]
             before = template(past)
         now = template([*past, turn])
@@ -141,7 +150,7 @@ def formatted(conversations: DataFrame, template: Template = turn_template, hist
 
     Turns are ordered by (turn, role, text), nulls first, so ties and repeated rows have a place; null roles
     and texts are empty; rows without a conv_id form one conversation. Rows are sorted, not collected: a task
-    holds at most ``2 * history`` turns of the conversation it is at, whatever the conversation's length.
+    holds the conversation it is at, and of it at most ``2 * history`` turns if the template is ``turnwise``.
     """
     return (conversations.select("conv_id", "turn", "role", "text").repartition("conv_id")
             .sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
