@@ -243,6 +243,13 @@ def test_chat_templates_that_see_all_turns():
     assert [k for k, x in enumerate(chat.spans(iter(turns), forgets)) if x[4]] == [199]
 
 
+def test_chat_finds_text_among_private_use_characters():
+    icons = "\ue000\ue001\ue002\uf8ff\ue001\ue000\ue002\ue001"
+    turns = [("user", icons), ("assistant", icons), ("assistant", "\ue000" + icons * 3), ("assistant", "plain")]
+    for (_, t), piece, a, b, _ in chat.spans(iter(turns), chat.turn_template):
+        assert piece[a:b] == t
+
+
 def test_chat_escape_round_trip():
     parts = ["\\", "-", "<|", "turn", "|>", "<|end|>", "</s>", "[INST]", "[/INST]", "[", "a"]
     for n in range(4):

@@ -23,7 +23,6 @@ Template = Callable[[list[Turn]], str]
 # strings that a model may read as control; none occurs in a formatted text but where the template puts it
 CONTROLS = ["<|turn|>", "<|text|>", "<|end|>", "<s>", "</s>", "[INST]", "[/INST]"]
 BREAK = "\\-"                      # put inside a control string; a backslash itself becomes two
-MARKERS = ["\ue000", "\ue001", "\uf8ff"]
 # turns of history that a rendering by a turnwise template sees at most: 64 to 127, so that a conversation of any
 # length costs time and memory in proportion to its turns
 HISTORY = 64
@@ -81,15 +80,14 @@ def spans(turns: Iterator[Turn], template: Template, history: int = HISTORY) ->
         now = template([*past, turn])
         common = len(before) if now.startswith(before) else _common(before, now)
         piece = now[common:]
-        marker = next((m for m in MARKERS if m not in now), None)
+        marker = _absent(now)
         begin = end = 0
-        if marker is not None:
-            probe = template([*past, (turn[0], marker)])
-            at = probe.find(marker)
-            if at >= common:
-                begin, end = at - common, len(piece) - (len(probe) - at - len(marker))
-                if end < begin or now[:at] != probe[:at]:
-                    begin = end = 0
+        probe = template([*past, (turn[0], marker)])
+        at = probe.find(marker)
+        if at >= common:
+            begin, end = at - common, len(piece) - (len(probe) - at - len(marker))
+            if end < begin or now[:at] != probe[:at]:
+                begin = end = 0
         rewrote = common < len(before)
         if first and not rewrote:                        # the opening belongs to the first turn's span
             piece, begin, end = opening + piece, begin + len(opening), end + len(opening)
@@ -99,6 +97,14 @@ def spans(turns: Iterator[Turn], template: Template, history: int = HISTORY) ->
         before = now
 
 
+def _absent(text: str) -> str:
+    """A private-use string that isn't in the text. No two of its occurrences overlap, so none arises where it is
+    put between other characters either."""
+    if "\ue001\ue002" not in text:
+        return "\ue001\ue002"
+    return "\ue001" + "\ue000" * (1 + max(map(len, re.findall("\ue001(\ue000*)\ue002", text)))) + "\ue002"
+
+
 def _common(a: str, b: str) -> int:
     """Length of the longest common prefix."""
     low, high = 0, min(len(a), len(b))
