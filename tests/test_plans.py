@@ -150,3 +150,28 @@ def test_clustered_write_splits_a_hot_cluster_value(spark, tmp):
     parts = clustered(df, ["country"], 8).groupBy(F.spark_partition_id().alias("p")).agg(
         F.count_if(F.col("country") == "Peru").alias("peru")).where("peru > 0").count()
     assert parts >= 2                                  # the hot value is written by several tasks
+
+
+def test_seed_is_written_by_several_tasks(spark, monkeypatch):
+    from tidemark.plans import queries as Q
+    rows = spark.range(40).selectExpr("concat('c', id) AS country", "id AS max_balance_limit", "'x' AS regulatory_body").repartition(4)
+    monkeypatch.setattr(Q, "limits_standin", lambda *_: rows)
+    got = Q.seed_limits(spark, "")
+    assert got.count() == 40 and len(got.inputFiles()) == 4
+
+
+def test_bucket_count_follows_the_sources(spark, monkeypatch):
+    from tidemark.plans import runner
+    from tidemark.sources.writers import buckets_for_bytes
+    assert buckets_for_bytes(1) == 16 and buckets_for_bytes(100 << 30) == 100
+    seen = []
+    monkeypatch.setattr(runner, "planned_bytes", lambda df: 40 << 30)
+    monkeypatch.setattr(runner, "materialize", lambda df, *a, buckets, **k: seen.append(buckets) or df)
+
+    class Sources:
+        def get(self, name):
+            return spark.range(1)
+    runner.run_models(spark, Sources(), [runner.Model("t", "table", lambda f: f["raw.customers_raw"], "id")], "/tmp/x")
+    assert seen == [40]
+    monkeypatch.undo()
+    assert runner.planned_bytes(spark.range(1000)) == 8000

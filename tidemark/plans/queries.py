@@ -593,7 +593,7 @@ LIMITS_SCHEMA = "country string, max_balance_limit long, regulatory_body string"
 def seed_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The country-limit seed written as CSV with a header and loaded back typed."""
     path = f"{work_path(spark, 'seed')}/country_compliance_limits"
-    limits_standin(spark, sf_dir).coalesce(1).write.option("header", True).csv(path)
+    limits_standin(spark, sf_dir).write.option("header", True).csv(path)
     return SD.load_seed(spark, path, LIMITS_SCHEMA)
 
 

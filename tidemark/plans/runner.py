@@ -19,7 +19,7 @@ from tidemark.operators import history as H
 from tidemark.operators import model_tests as T
 from tidemark.plans import models as M
 from tidemark.sources.tables import SourceRegistry
-from tidemark.sources.writers import BUCKETS, materialize
+from tidemark.sources.writers import buckets_for_bytes, materialize
 
 
 @dataclass(frozen=True)
@@ -46,15 +46,20 @@ def customer_models() -> list[Model]:
     return out
 
 
+def planned_bytes(df: DataFrame) -> int:
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def run_models(spark: SparkSession, registry: SourceRegistry, models: list[Model], base_path: str,
-               sources: list[str] = ("raw.customers_raw",), buckets: int = BUCKETS) -> dict[str, DataFrame]:
+               sources: list[str] = ("raw.customers_raw",), buckets: int | None = None) -> dict[str, DataFrame]:
     """Build every model in order; tables land in ``<base_path>/<name>``.
 
     Tables with a ``bucket_by`` key are written bucketed on it (same bucket
-    count for all), so the fact and the customer dimension meet in the marts
+    count for all, by the sources' size as planned unless given), so the fact and the customer dimension meet in the marts
     and tests without a shuffle. Catalog names are made unique per run.
     """
     frames = {s: registry.get(s) for s in sources}
+    buckets = buckets or buckets_for_bytes(sum(planned_bytes(f) for f in frames.values()))
     run = base_path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_").replace(".", "_")
     for m in models:
         df = m.build(frames)

@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import export_stamp
 
 
-# buckets of a materialised table unless the caller sizes them
+# least buckets of a materialised table, and the bytes that one bucket stands for
 BUCKETS = 16
+BUCKET_BYTES = 1 << 30
+
+
+def buckets_for_bytes(size: int) -> int:
+    return max(BUCKETS, -(-size // BUCKET_BYTES))
 
 
 def export_snapshot(df: DataFrame, base_dir: str, instant: _dt.datetime, prefix: str = "customers_cleaned",
