@@ -158,3 +158,64 @@ def segmentation(word, vocabulary):
             if best[end - 1] + k * vocabulary.unknown > best[end]:
                 best[end], count[end] = best[end - 1] + k * vocabulary.unknown, count[end - 1] + k
     return count[-1], best[-1]
+
+
+def best_fit_decreasing(lengths, size):
+    """Windows as lists of lengths, by searching all open windows for each piece."""
+    windows = []
+    for n in sorted(lengths, reverse=True):
+        fit = [w for w in windows if sum(w) + n <= size]
+        if fit:
+            max(fit, key=sum).append(n)
+        else:
+            windows.append([n])
+    return windows
+
+
+def ngrams(text, max_n):
+    w = ITEM_WORD.findall(lower(text))
+    return [" ".join(w[i:i + n]) for n in range(1, max_n + 1) for i in range(len(w) - n + 1)]
+
+
+def resampled(docs, target, percent=25, min_words=20, buckets=10_000, max_n=2):
+    """(doc_id, text), [text] -> [(doc_id, n_features, weight, score, rank)]"""
+    crc = lambda f: zlib.crc32(f.encode()) % buckets
+    s, t = collections.Counter(), collections.Counter()
+    for _, text in docs:
+        s.update(map(crc, ngrams(text, max_n)))
+    for text in target:
+        t.update(map(crc, ngrams(text, max_n)))
+    big_s, big_t = sum(s.values()), sum(t.values())
+    gain = lambda b: math.floor(1000 * math.log((t[b] + 1) * (big_s + buckets) / ((s[b] + 1) * (big_t + buckets))))
+    rows = []
+    for d, text in docs:
+        f = ngrams(text, max_n)
+        weight = sum(gain(crc(x)) for x in f) // len(f) if f else 0
+        h = int(hashlib.sha256(f"7:{'' if d is None else d}".encode()).hexdigest()[:8], 16)
+        rows.append([d, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None])
+    able = [r for r, (_, text) in zip(rows, docs, strict=True) if len(ITEM_WORD.findall(lower(text))) >= min_words]
+    able.sort(key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for i, r in enumerate(able[:percent * len(able) // 100]):
+        r[4] = i + 1
+    return [tuple(r) for r in rows]
+
+
+def divergence(docs, top=200):
+    """(lang, source, text) -> {(lang, source, part, item, value, rank)}"""
+    term = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    docs = [(a or "", b or "", term.findall(lower(t))) for a, b, t in docs]
+    out = set()
+    for lang in {d[0] for d in docs}:
+        own = [d for d in docs if d[0] == lang]
+        df = collections.Counter(t for d in own for t in set(d[2]))
+        kept = sorted(t for t in df if df[t] >= 3)
+        groups = {s: collections.Counter(t for d in own if d[1] == s for t in d[2] if df[t] >= 3) for s in {d[1] for d in own}}
+        whole = sum(groups.values(), collections.Counter())
+        p = {s: {t: 1 + 10 ** 9 * (c[t] + 1) // (sum(c.values()) + len(kept)) for t in kept} for s, c in [*groups.items(), (None, whole)]}
+        for s, c in groups.items():
+            pairs = [(o, sum((p[s][t] - p[o][t]) ** 2 // p[o][t] for t in kept)) for o in groups if o != s]
+            terms = [(t, (p[s][t] - p[None][t]) ** 2 // p[None][t]) for t in kept if c[t] and p[s][t] > p[None][t]]
+            for part, rows, most in (("pair", pairs, None), ("term", terms, top)):
+                for i, (item, value) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0].encode()))[:most]):
+                    out.add((lang, s, part, item, value, i + 1))
+    return out

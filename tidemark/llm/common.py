@@ -94,6 +94,25 @@ def rank_within(df: DataFrame, keys: list[str], row_id: str, rank: str, buckets:
             .drop("__bucket", "__in", "__before"))
 
 
+def ordered_rank(df: DataFrame, order: list[Column], rank: str) -> DataFrame:
+    """Number all rows from 0 without gaps in a given order, with no task that sees them all.
+
+    Rows are sorted by range and stored with their partition and place; the partitions' sizes, one row a
+    partition, give each partition its first number. Rows that tie on the whole order are numbered in any order.
+    """
+    from pyspark.sql import Window
+
+    place = F.monotonically_increasing_id()            # partition in the upper bits, place in it below
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = stored(ranged.select("*", F.shiftright(place, 33).alias("__part"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("__place")),
+                    "ordered-rank")
+    w = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    first = (ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+             .withColumn("__first", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n"))
+    # one row a shuffle partition: its bound is the session's partition count, not the data
+    return ranged.join(F.broadcast(first), "__part").withColumn(rank, F.col("__first") + F.col("__place")).drop("__part", "__place", "__first")
+
+
 def buckets_for(rows: int, per_bucket: int = 1_000_000, least: int = 64) -> int:
     """Hash buckets so that one key's bucket holds about ``per_bucket`` rows at most."""
     return max(least, -(-rows // per_bucket))

@@ -98,9 +98,70 @@ SELECT p.page_id, p.n AS payload_bytes, sha1(p.html) AS payload_digest,
 FROM p LEFT JOIN best ON p.html = best.html
 """
 
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# CRC-32 (reflected polynomial 0xEDB88320) of a text's UTF-8 bytes, byte by byte through its table of 256
+_CRC_TABLE = "SELECT list(c ORDER BY n) AS tab FROM (SELECT n, list_reduce(range(8), lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, n) AS c FROM range(256) r(n))"
+_CRC = ("xor(list_reduce(list_transform(range(0, strlen(f)), lambda i: ('0x' || substr(hex(encode(f)), 2 * i + 1, 2))::BIGINT), "
+        "lambda a, x: xor(a >> 8, tab[(xor(a, x) & 255) + 1]), 4294967295), 4294967295)")
+
+OP12 = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+df AS (SELECT rid, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM d),
+bf AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM b),
+crc AS (SELECT f, {_CRC} % 10000 AS bucket FROM (SELECT f FROM df UNION SELECT f FROM bf), ({_CRC_TABLE})),
+s AS (SELECT bucket, count(*) AS n FROM df JOIN crc USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bf JOIN crc USING (f) GROUP BY bucket),
+n AS (SELECT coalesce((SELECT sum(n) FROM s), 0)::DOUBLE AS s, coalesce((SELECT sum(n) FROM t), 0)::DOUBLE AS t),
+gain AS (
+    SELECT s.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (n.s + 10000) / ((s.n + 1)::DOUBLE * (n.t + 10000))))::BIGINT AS gain
+    FROM s LEFT JOIN t USING (bucket), n),
+w AS (SELECT rid, count(*) AS n, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM df JOIN crc USING (f) JOIN gain USING (bucket) GROUP BY rid),
+scored AS (
+    SELECT rid, doc_id, len(d.w) AS n_words, coalesce(w.n, 0) AS n_features, coalesce(w.weight, 0) AS weight,
+           coalesce(w.weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM d LEFT JOIN w USING (rid)),
+able AS (
+    SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank, count(*) OVER () AS n
+    FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score, rank::BIGINT AS rank
+FROM scored LEFT JOIN (SELECT rid, rank FROM able WHERE rank <= 25 * n // 100) USING (rid)
+"""
+
+OP13 = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT AS n FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN c USING (lang, source) GROUP BY g.lang, g.source),
+p AS (
+    SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.n + v.v) AS p,
+           1 + 1000000000::HUGEINT * (kept.n + 1) // (v.n + v.v) AS q
+    FROM g JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+every AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank
+FROM (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM every)
+WHERE part = 'pair' OR rank <= 200
+"""
+
 SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op4_decontamination": OP4,
     "op5_chat": OP5,
     "op9_warc": OP9,
+    "op12_importance_resampling": OP12,
+    "op13_source_divergence": OP13,
 }

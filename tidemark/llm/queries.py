@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bestfit, bloom_lm, chat, decontam, host_rules, kd_shards, pu_quality, simhash_ring, trie_counts, warc_chain
+from tidemark.llm import bestfit, bloom_lm, chat, decontam, host_rules, importance, kd_shards, pu_quality, simhash_ring, source_audit, trie_counts, warc_chain, window_packing
 from tidemark.llm.common import bounded_batches, table
 
 
@@ -57,6 +57,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_counts.counted(table(spark, sf_dir, "documents"))
 
 
+def op11_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return window_packing.packed(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
@@ -68,4 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_warc": op9_warc,
     "op10_token_counts": op10_token_counts,
+    "op11_window_packing": op11_window_packing,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_source_divergence": op13_source_divergence,
 }
