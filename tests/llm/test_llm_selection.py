@@ -1,6 +1,7 @@
 """Window packing, importance resampling and the source audit against plain versions."""
 
 import collections
+import json
 import random
 import zlib
 
@@ -32,17 +33,39 @@ def random_texts(seed, n):
 
 def test_word_ids_are_those_of_the_whole_text(tokenizer):
     tok = window_packing.WordTokenizer.load(window_packing.tokenizer_path())
+    r = random.Random(8)
     texts = random_texts(0, 6000) + [t or "" for _, t in docs_of()] + [tokenizer.decode([i]) for i in range(0, 49406, 7)]
-    for t in texts:
-        assert np.frombuffer(tok.ids(t.encode()), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+    texts += ["".join(r.choices("etaoinshrdlucmfwypvbgkjqxzéèàßüöñ", k=r.randint(1, 15))) for _ in range(20_000)]
+    whole = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in tok.ids_of([t.encode() for t in texts])] == whole
+    assert [np.frombuffer(tok.ids_of([t.encode()])[0], "<u4").tolist() for t in texts[:200]] == whole[:200]
+
+
+def test_every_token_comes_whole_from_its_bytes():
+    """What the ranks rely on: merging a token's own bytes by the file's merges gives that token."""
+    with open(window_packing.tokenizer_path(), encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    rank = {tuple(m): i for i, m in enumerate(model["merges"])}
+    for a, b in model["merges"]:
+        token = a + b
+        parts = [*token.removesuffix("</w>")]
+        if token.endswith("</w>"):
+            parts[-1] += "</w>"
+        while len(parts) > 1:
+            best, i = min((rank.get(p, len(rank)), i) for i, p in enumerate(zip(parts, parts[1:], strict=False)))
+            if best == len(rank):
+                break
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        assert parts == [token]
 
 
 def test_memory_of_words_is_bounded(monkeypatch):
     monkeypatch.setattr(window_packing, "CACHED_WORDS", 10)
     tok = window_packing.WordTokenizer(window_packing.tokenizer_path())
-    text = " ".join(f"w{i % 37}" for i in range(500)) + " " + "z" * 100
-    assert tok.ids(text.encode()) == tok.encode(text) and len(tok.young) <= 10 and len(tok.old) <= 10
-    assert b"z" * 100 not in tok.young
+    for i in range(50):
+        text = f"w{i} q{'x' * (i % 7)} " + "z" * 100
+        assert tok.ids_of([text.encode(), b""]) == [tok.encode(text), b""]
+        assert len(tok.known) <= 13 and b"z" * 100 not in tok.known
 
 
 @pytest.mark.parametrize("size", [1, 7, 64, 100])

@@ -9,9 +9,11 @@ batches in a further, smaller round, so the padding is that of one large batch w
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,29 +29,55 @@ END_ID = 1
 BATCH_PIECES = 1 << 18
 # a window with more than this share of free room is opened again in the next round
 SPARE = 1 / 64
-# words that each of the two generations of a worker's memory holds, and the longest word kept in it
-CACHED_WORDS = 300_000
+# words that a worker remembers between batches, and the longest word among them
+CACHED_WORDS = 400_000
 CACHED_BYTES = 48
 
 
+def _byte_alphabet() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 characters stand for
+    themselves, the other bytes in order for the characters from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 class WordTokenizer:
-    """Token ids of whole texts as little-endian 32-bit bytes, by the tokenizer file.
+    """Token ids of whole texts as little-endian 32-bit bytes: those of the tokenizer file.
 
     The file drops white space and never joins across it, so a text's ids are those of its words between
-    ASCII white space, one after the other; ids of recent words are remembered. Two more steps leave the ids as
-    they are and make fewer different words: A-Z are lower-cased (the file does that too), and a full stop or
-    comma between an ASCII letter and white space stands alone. Texts with ``<|`` may spell out a special
-    token, whose case counts: they are encoded whole.
+    ASCII white space, one after the other; ids of words are remembered. Two more steps leave the ids as they
+    are and make fewer different words: A-Z are lower-cased (the file does that too), and a full stop or comma
+    between a letter and white space stands alone. Texts with ``<|`` may spell out a special token, whose
+    case counts: they are encoded whole.
+
+    New words of plain lower-case letters go through the file's merges as ranks, many at a time: a word is
+    its bytes and a space for its end, the byte before the end merges with it first, then the file's merges in
+    their order. That gives the file's ids if every token comes out whole from its own bytes, as in this file
+    (tests check it). All other words go through the file itself.
     """
 
     _loaded: dict[str, WordTokenizer] = {}
-    _stop = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
+    _stop = re.compile(rb"([.,])(?:(?<=[a-z][.,])|(?<=\xc3[\x9f-\xb6\xb8-\xbf][.,]))(?=[ \n]|$)")
+    _plain = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
         self.file = Tokenizer.from_file(path)
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        byte, end = _byte_alphabet(), model["end_of_word_suffix"]
+        raw = lambda t: bytes(byte[c] for c in t.removesuffix(end)) + b" " * t.endswith(end)
+        ranks = {bytes([b]): b for b in range(256)} | {bytes([b, 32]): 256 + b for b in range(256)}
+        ranks |= {raw(a + b): 512 + i for i, (a, b) in enumerate(model["merges"])}
+        special = {t.content for t in self.file.get_added_tokens_decoder().values()}
+        self.id_of_rank, self.is_end = np.zeros(len(ranks), "<u4"), np.zeros(len(ranks), bool)
+        for token, i in model["vocab"].items():
+            if token not in special and (rank := ranks[raw(token)]) != 32:
+                self.id_of_rank[rank], self.is_end[rank] = i, token.endswith(end)
+        self.ranks = tiktoken.Encoding("words", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
 
     @classmethod
     def load(cls, path: str) -> WordTokenizer:
@@ -61,21 +89,32 @@ class WordTokenizer:
     def encode(self, text: str) -> bytes:
         return np.array(self.file.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def word(self, w: bytes) -> bytes:
-        ids = self.old.get(w)
-        if ids is None:
-            ids = self.encode(w.decode())
-        if len(w) <= CACHED_BYTES:
-            if len(self.young) >= CACHED_WORDS:
-                self.old, self.young = self.young, {}
-            self.young[w] = ids
-        return ids
-
-    def ids(self, text: bytes) -> bytes:
-        if b"<|" in text:
-            return self.encode(text.decode())
-        words = self._stop.sub(rb" \1", text.lower()).split()
-        return b"".join([self.young.get(w) or self.word(w) for w in words])
+    def plain_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of plain letters, in one call for all."""
+        if not words:
+            return []
+        ranks = self.ranks.encode_to_numpy((b" ".join(words) + b" ").decode())
+        ids, stops = self.id_of_rank[ranks].tobytes(), (4 * (np.flatnonzero(self.is_end[ranks]) + 1)).tolist()
+        return [ids[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+
+    def learn(self, words: set[bytes]) -> None:
+        """Remember all ``words``; what is known is dropped whole when it outgrows its bound."""
+        if len(self.known) > CACHED_WORDS:
+            self.known = {}
+        new = words - self.known.keys()
+        plain = [w for w in new if self._plain.fullmatch(w)]
+        self.known.update(zip(plain, self.plain_ids(plain), strict=True))
+        for w in new.difference(plain):
+            self.known[w] = self.encode(w.decode())
+
+    def ids_of(self, texts: list[bytes]) -> list[bytes]:
+        split = [None if b"<|" in t else self._stop.sub(rb" \1", t.lower()).split() for t in texts]
+        self.learn(set(chain.from_iterable(w for w in split if w)))
+        out = [self.encode(t.decode()) if w is None else b"".join(map(self.known.__getitem__, w))
+               for t, w in zip(texts, split, strict=True)]
+        for w in [w for w in self.known if len(w) > CACHED_BYTES]:
+            del self.known[w]
+        return out
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -100,7 +139,7 @@ def piece_column(text: str, size: int = SEQUENCE, path: str | None = None, with_
             return [{"start": a, "length": len(p) // 4, "ids_crc32": zlib.crc32(p), "doc_tokens": n,
                      "ids": p if with_ids else None} for a, p in parts]
 
-        return lambda batch: pa.array([cut(tok.ids(t) + end) for t in batch.to_pylist()], kind)
+        return lambda batch: pa.array([cut(ids + end) for ids in tok.ids_of(batch.to_pylist())], kind)
     return per_batch(start, "array<struct<start:long,length:long,ids_crc32:long,doc_tokens:long,ids:binary>>")(text_bytes(text))
 
 
