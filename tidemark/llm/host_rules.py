@@ -21,8 +21,6 @@ SYMBOLS = "#*$%&|<>"
 # a host is rejected when even the lower end of its shrunk failure rate lies above this
 HOST_LIMIT = 0.5
 HOST_SIGMAS = 2.0
-# rejected hosts are broadcast up to this many, else joined by shuffle
-BROADCAST_HOSTS = 10_000
 
 
 # bits of a word position in a packed (hash prefix, position) number
@@ -121,6 +119,20 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
     return mean * strength, (1 - mean) * strength
 
 
+def rejected_hosts(hosts: DataFrame, host_limit: float = HOST_LIMIT) -> DataFrame:
+    """``bad_host`` and ``host_rate`` (its shrunk failure rate) of the hosts to reject; ``hosts``: host, n, f, stored."""
+    alpha, beta = beta_prior(hosts)
+    a, b = F.col("f") + F.lit(alpha), F.col("n") - F.col("f") + F.lit(beta)
+    rate = a / (a + b)
+    low = rate - HOST_SIGMAS * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
+    return hosts.filter(low > host_limit).select(F.col("host").alias("bad_host"), rate.alias("host_rate"))
+
+
+def _by_host(base: DataFrame) -> DataFrame:
+    return stored(base.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("f")),
+                  "host-rules-hosts")
+
+
 def judged(docs: DataFrame, carry: list[str], text: str = "text", host: str = "source",
            host_limit: float = HOST_LIMIT) -> DataFrame:
     """Judge every document: its base rules, then its host's verdict joined back.
@@ -131,21 +143,13 @@ def judged(docs: DataFrame, carry: list[str], text: str = "text", host: str = "s
     their own; repeated rows count as often as they occur; empty tables give no rows.
 
     The measurements are stored once; the aggregate by host combines map-side, so a host with a third of
-    all rows costs one row a task. The verdict reaches the documents by broadcast while at most
-    ``BROADCAST_HOSTS`` hosts are rejected, else by a shuffled join whose hot keys AQE splits.
+    all rows costs one row a task. How the verdict reaches the documents is left to Spark, which measures the
+    rejected hosts: by broadcast, or by a shuffled join whose hot keys adaptive execution splits.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")
     base = docs.select(row, F.col(host).cast("string").alias("host"), base_metrics(F.col(text)).alias("m"))
     base = stored(base.withColumn("base_failed", base_failed(F.col("m"))), "host-rules-base")
-    hosts = stored(base.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("f")),
-                   "host-rules-hosts")
-    alpha, beta = beta_prior(hosts)
-    a, b = F.col("f") + F.lit(alpha), F.col("n") - F.col("f") + F.lit(beta)
-    rate = a / (a + b)
-    low = rate - HOST_SIGMAS * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    rejected = hosts.filter(low > host_limit).select(F.col("host").alias("bad_host"), rate.alias("host_rate"))
-    if rejected.count() <= BROADCAST_HOSTS:
-        rejected = F.broadcast(rejected)
+    rejected = rejected_hosts(_by_host(base), host_limit)
     return (base.join(rejected, base["host"].eqNullSafe(rejected["bad_host"]), "left")
             .select("row", "m", "base_failed", "host_rate",
                     (~F.col("base_failed") & F.col("host_rate").isNull()).alias("kept")))
@@ -158,6 +162,11 @@ def quality_report(docs: DataFrame) -> DataFrame:
                     "base_failed", "kept")
 
 
-def passing(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    return judged(docs, docs.columns).filter("kept").select("row.*")
+def passing(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """The documents that pass, with their own columns. The measurements are made twice, for the hosts' rates and
+    for the documents themselves, so that no text is stored or moved beside them."""
+    failed = base_failed(base_metrics(F.col(f"`{text}`")))
+    rejected = rejected_hosts(_by_host(docs.select(F.col(f"`{host}`").cast("string").alias("host"), failed.alias("base_failed"))))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.filter(~failed).select(row, F.col(f"`{host}`").cast("string").alias("host"))
+    return rows.join(rejected, F.col("host").eqNullSafe(F.col("bad_host")), "left_anti").select("row.*")

@@ -243,13 +243,24 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance: int
 
 
 def first_of_each(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
-    """Keep one document of each component, with its own columns: the smallest doc_id (nulls last), of
-    repeated rows the first stored."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    tagged = stored(docs.select(row, F.col("doc_id").alias("doc_id"), fingerprint_column("text", shingle).alias("fp"),
-                                F.monotonically_increasing_id().alias("uid")), "simhash-rows")
+    """Keep one document of each component, with its own columns: the smallest doc_id (nulls last), of rows
+    that repeat an id the one with the smallest row hash, of rows alike in every column one.
+
+    Only (doc_id, row hash, fingerprint) are stored. The kept pairs of id and hash meet the documents in one
+    shuffled join at every size, which builds its table from the pairs: the texts move once and are not sorted.
+    """
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    tagged = stored(docs.select(F.col("doc_id").alias("doc_id"), h.alias("h"), fingerprint_column("text", shingle).alias("fp")), "simhash-rows")
     comp = components_of(tagged.select("doc_id", "fp"), distance)
-    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("uid").alias("u"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("d"), F.col("h").alias("h"))
     per_fp = tagged.groupBy("fp").agg(F.min(order).alias("best"))
-    winners = comp.join(per_fp, "fp").groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.u").alias("uid"))
-    return tagged.join(stored(winners, "simhash-kept"), "uid", "left_semi").select("row.*")
+    winners = comp.join(per_fp, "fp").groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.d").alias("kept_id"), F.col("best.h").alias("kept_h"))
+    copies = tagged.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("copies"))
+    kept = stored(winners.join(copies, F.col("kept_id").eqNullSafe(F.col("doc_id")) & (F.col("kept_h") == F.col("h")))
+                  .select("kept_id", "kept_h", "copies"), "simhash-kept").hint("shuffle_hash")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, docs["doc_id"].alias("row_id"), h.alias("row_h"))
+    found = rows.join(kept, F.col("row_id").eqNullSafe(F.col("kept_id")) & (F.col("row_h") == F.col("kept_h")))
+    # rows alike in every column lie together; the others need no second look
+    alike = found.filter("copies > 1").groupBy("row_id", "row_h").agg(F.first("row").alias("row"))
+    return found.filter("copies = 1").select("row.*").unionByName(alike.select("row.*"))
