@@ -104,7 +104,7 @@ def test_no_cross_join_of_data(spark):
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
 
 
-def test_seed_join_is_broadcast_after_size_check(spark):
+def test_seed_join_is_broadcast_by_the_planner(spark):
     p = plan(Q.QUERIES["limit_breaches"](spark, SF_SMALL))
     assert "BroadcastHashJoin" in p
 
@@ -160,18 +160,32 @@ def test_seed_is_written_by_several_tasks(spark, monkeypatch):
     assert got.count() == 40 and len(got.inputFiles()) == 4
 
 
-def test_bucket_count_follows_the_sources(spark, monkeypatch):
-    from tidemark.plans import runner
-    from tidemark.sources.writers import buckets_for_bytes
+def test_bucket_count_follows_the_bytes_read(spark, tmp):
+    import os
+
+    from tidemark.plans import runner as R
+    from tidemark.plans import standins as S
+    from tidemark.sources.tables import SourceRegistry
+    from tidemark.sources.writers import buckets_for_bytes, scanned_bytes
     assert buckets_for_bytes(1) == 16 and buckets_for_bytes(100 << 30) == 100
-    seen = []
-    monkeypatch.setattr(runner, "planned_bytes", lambda df: 40 << 30)
-    monkeypatch.setattr(runner, "materialize", lambda df, *a, buckets, **k: seen.append(buckets) or df)
-
-    class Sources:
-        def get(self, name):
-            return spark.range(1)
-    runner.run_models(spark, Sources(), [runner.Model("t", "table", lambda f: f["raw.customers_raw"], "id")], "/tmp/x")
-    assert seen == [40]
-    monkeypatch.undo()
-    assert runner.planned_bytes(spark.range(1000)) == 8000
+    joined = S.customer_exports(spark, "/root/testdata/sf0.1")     # a join of three tables
+    real = sum(os.path.getsize(f"/root/testdata/sf0.1/{t}.parquet") for t in ("orders", "customer", "nation"))
+    assert scanned_bytes(joined) == real and buckets_for_bytes(scanned_bytes(joined)) == 16
+    with pytest.raises(ValueError):
+        scanned_bytes(spark.range(5))
+    reg = SourceRegistry()
+    reg.register("raw.customers_raw", lambda: S.customer_exports(spark, SF_SMALL))
+    frames = R.run_models(spark, reg, R.customer_models()[:2], tmp)
+    assert len({f.rsplit("_", 1)[1] for f in frames["dim_customer"].inputFiles()}) <= 16
+
+
+def test_too_many_buckets_is_an_error(spark, tmp):
+    from tidemark.sources.writers import materialize
+    with pytest.raises(ValueError, match="maxBuckets"):
+        materialize(spark.range(5), "table", "too_many", tmp, bucket_by="id", buckets=10 ** 7)
+
+
+def test_money_total_keeps_digits(spark):
+    from tidemark.plans.models import _money_sum
+    df = spark.createDataFrame([(9007199254740.91,), (0.001,), (0.002,), (123456789012345.0,)], "x double")
+    assert str(df.agg(_money_sum("x")).first()[0]) == "132463988267085.9130000000"

@@ -128,6 +128,14 @@ def mask_email(value: str | Column, role: str, privileged=PRIVILEGED_ROLES, stri
     return masked
 
 
+def mask_email_function(name: str, privileged=PRIVILEGED_ROLES) -> str:
+    """DDL of the masking policy as a SQL function of a value and a role, equal to ``mask_email``."""
+    roles = ", ".join(f"'{r.upper()}'" for r in privileged)
+    return (f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value STRING, role STRING) RETURNS STRING RETURN "
+            f"CASE WHEN upper(role) IN ({roles}) THEN value WHEN contains(value, '@') THEN regexp_replace(value, '^.*(?=@)', '***') "
+            "WHEN value IS NOT NULL THEN '***' END")
+
+
 def surrogate_key(*cols: str | Column) -> Column:
     """md5 over the parts cast to string, NULL replaced by a token, joined with ``-``."""
     parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(SURROGATE_NULL_TOKEN))

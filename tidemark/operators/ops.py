@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -26,10 +26,44 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def column_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """``table_name, position, column_name, column_type`` of every column, from the schemas alone."""
-    spark = next(iter(tables.values())).sparkSession
-    rows = [(name, i, f.name, f.dataType.simpleString()) for name, df in tables.items() for i, f in enumerate(df.schema.fields, 1)]
-    return spark.createDataFrame(rows, "table_name string, position int, column_name string, column_type string")
+    """``table_name, position, column_name, column_type, row_count, null_count`` of every column.
+
+    One aggregate a table counts rows and nulls of all its columns in one scan; its one row is then turned into
+    a row a column.
+    """
+    out = None
+    for name, df in tables.items():
+        fields = df.schema.fields
+        counts = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
+        rows = F.array(*[F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("column_type"),
+                                  F.col("n").alias("row_count"), (F.col("n") - F.col(f"c{i}")).alias("null_count")) for i, f in enumerate(fields)])
+        part = counts.select(F.lit(name).alias("table_name"), F.inline(rows))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def unreferenced_files(spark: SparkSession, base: str, retained: list[dict]) -> DataFrame:
+    """Data files below a store's folder with whether a retained version names them: ``path, folder, bytes, live``.
+
+    ``retained`` are the log entries to keep. The folder is listed by Spark's file reader (paths and sizes, no
+    content); what the entries name meets the listing by folder. Files of writers that died before their commit and
+    of versions no longer retained come out not live. Nothing is deleted.
+    """
+    named = set()
+    for entry in retained:
+        for value in entry.values():
+            parts = value.values() if isinstance(value, dict) else value if isinstance(value, list) else [value]
+            named |= {_plain(p) for p in parts if isinstance(p, str) and "/" in p}
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(base)
+             .select("path", F.col("length").alias("bytes")))
+    folder = F.regexp_replace(F.regexp_replace(F.regexp_replace("path", "^file:/+", "/"), "/[^/]*$", ""), "%3D", "=")
+    files = files.withColumn("folder", folder)
+    live = spark.createDataFrame([(p,) for p in sorted(named)], "folder string").withColumn("__live", F.lit(True))
+    return files.join(live, "folder", "left").select("path", "folder", "bytes", F.coalesce("__live", F.lit(False)).alias("live"))
+
+
+def _plain(path: str) -> str:
+    return "/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path.rstrip("/")
 
 
 def expired_versions(log: DataFrame, retention_hours: int = 168, now=None) -> DataFrame:

@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize_checkpoint
+
 RESULT_SCHEMA = ("rule_id int, expectation string, column_name string, success boolean, "
                  "element_count bigint, unexpected_count bigint, observed_value double")
 
@@ -106,7 +108,11 @@ def _row(*parts: Column) -> Column:
 
 
 def validate(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Run a suite; returns one row per rule in ``RESULT_SCHEMA`` (rule ids start at 1)."""
+    """Run a suite; returns one row per rule in ``RESULT_SCHEMA`` (rule ids start at 1).
+
+    A suite with a uniqueness rule reads its input twice (rows, and counts by key): the columns that the rules
+    name are stored once for that, so the input itself is computed once.
+    """
     aggs: list[Column] = [F.count(F.lit(1)).alias("__n")]
     rows: list[Column] = []
     uniques: list[tuple[int, str]] = []
@@ -144,9 +150,12 @@ def validate(df: DataFrame, rules: list[Rule]) -> DataFrame:
             aggs.append(F.count_if(bad).alias(f"__v{i}"))
             v = F.col(f"__v{i}")
             rows.append(_row(rid, kind, col, v == 0, n, v, v.cast("double")))
-    result = df.agg(*aggs)
+    rows_of = df
+    if uniques:
+        rows_of = materialize_checkpoint(df.select(*sorted({r.column for r in rules if r.column in df.columns})))
+    result = rows_of.agg(*aggs)
     for i, c in uniques:
-        dup = (df.where(F.col(c).isNotNull()).groupBy(c).count().where("count > 1")
+        dup = (rows_of.where(F.col(c).isNotNull()).groupBy(c).count().where("count > 1")
                .agg(F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias(f"__u{i}")))
         result = result.crossJoin(dup)          # one row x one row
     out = result.select(F.inline(F.array(*rows)))

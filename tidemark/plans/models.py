@@ -83,8 +83,9 @@ def fact_customer_activity(bronze: DataFrame) -> DataFrame:
 
 
 def _money_sum(c: str) -> F.Column:
-    # exact, order-independent money total
-    return F.sum(F.col(c).cast("decimal(18,2)")).cast("decimal(38,2)")
+    # exact and order-independent to ten digits behind the point; an amount that doesn't fit is an error, not a null.
+    # Rounding to cents is left to whoever shows the total
+    return F.sum(F.col(c).cast("decimal(28,10)")).cast("decimal(38,10)")
 
 
 def mart_balance_by_country(fact: DataFrame, dim_cust: DataFrame, dim_dt: DataFrame) -> DataFrame:

@@ -554,7 +554,18 @@ SELECT n_name AS country, CAST(n_nationkey AS BIGINT) * 250 + 5000 AS max_balanc
 FROM nation
 """
 
-SQL["model_build"] = SQL["mart_balance"]
+# the graph's mart straight from the landing rows, each customer by its last export
+SQL["model_build"] = w(LANDING + """,
+newest AS (
+  SELECT customer_id, arg_max({'country': country, 'kyc': kyc_status, 'balance': account_balance, 'risk': risk_score, 'day': try_cast(registration_date AS DATE)},
+                              {'stamp': exported_at_utc_minus_5, 'id': export_id}) AS r
+  FROM landing GROUP BY customer_id)""", """
+SELECT r.country AS country, CAST(year(r.day) AS INTEGER) AS year, CAST(month(r.day) AS INTEGER) AS month, count(DISTINCT customer_id) AS total_customers,
+       round(avg(r.balance) * 1e6) / 1e6 AS avg_balance, CAST(sum(CAST(r.balance AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_balance,
+       round(avg(r.risk) * 1e6) / 1e6 AS avg_risk_score,
+       count(*) FILTER (WHERE r.kyc = 'pending') AS pending_kyc_count, count(*) FILTER (WHERE r.kyc = 'rejected') AS rejected_kyc_count
+FROM newest WHERE r.day IS NOT NULL GROUP BY ALL
+""")
 SQL["mart_refresh"] = SQL["mart_monthly"]
 SQL["fixture_load"] = w(FAULTS, f"SELECT {_CLEAN_COLS} FROM clean")
 
@@ -655,8 +666,57 @@ FROM ({SQL["test_report"]})
 
 _TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "TIMESTAMP": "timestamp_ntz",
           "DATE": "date", "FLOAT": "float", "BOOLEAN": "boolean"}
-SQL["column_profile"] = ("SELECT table_name, CAST(ordinal_position AS INTEGER) AS position, column_name, "
-                         "CASE WHEN data_type LIKE '%[]' THEN 'array<' ELSE '' END || CASE replace(data_type, '[]', '') "
-                         + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _TYPES.items())
-                         + " ELSE lower(data_type) END || CASE WHEN data_type LIKE '%[]' THEN '>' ELSE '' END AS column_type "
-                         "FROM information_schema.columns WHERE table_name IN (" + ", ".join(f"'{t}'" for t in _TABLES) + ")")
+_TYPE_CASE = ("CASE WHEN data_type LIKE '%[]' THEN 'array<' ELSE '' END || CASE replace(data_type, '[]', '') "
+              + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _TYPES.items())
+              + " ELSE lower(data_type) END || CASE WHEN data_type LIKE '%[]' THEN '>' ELSE '' END")
+SQL["column_profile"] = "\nUNION ALL\n".join(f"""
+SELECT '{t}' AS table_name, CAST(i.ordinal_position AS INTEGER) AS position, i.column_name, {_TYPE_CASE} AS column_type,
+       n.row_count, n.row_count - u.filled AS null_count
+FROM (UNPIVOT (SELECT count(COLUMNS('(.*)')) AS '\\1' FROM {t}) ON COLUMNS(*) INTO NAME column_name VALUE filled) u
+JOIN information_schema.columns i ON i.table_name = '{t}' AND i.column_name = u.column_name, (SELECT count(*) AS row_count FROM {t}) n""" for t in _TABLES)
+
+_CUT = "(SELECT date_trunc('year', max(exported_at_utc_minus_5)) - INTERVAL 3 YEAR FROM landing)"
+SQL["model_build_incremental"] = w(LANDING + f""",
+target AS (SELECT {_FACT_COLS} FROM landing WHERE exported_at_utc_minus_5 <= {_CUT} {_LATEST}),
+new AS (SELECT {_FACT_COLS} FROM landing WHERE exported_at_utc_minus_5 > (SELECT max(exported_at_utc_minus_5) FROM target) {_LATEST}),
+fact2 AS (SELECT * FROM target WHERE customer_id NOT IN (SELECT customer_id FROM new) UNION ALL SELECT * FROM new),
+kyc AS (
+  SELECT customer_id, count(DISTINCT stamp) AS kyc_versions, max(stamp) AS kyc_since
+  FROM (SELECT customer_id, max(exported_at_utc_minus_5) AS stamp FROM landing WHERE exported_at_utc_minus_5 <= {_CUT} GROUP BY customer_id
+        UNION ALL SELECT customer_id, max(exported_at_utc_minus_5) FROM landing GROUP BY customer_id)
+  GROUP BY customer_id)""", "SELECT f.*, kyc_versions, kyc_since FROM fact2 f JOIN kyc USING (customer_id)")
+
+SQL["mart_delta_refresh"] = SQL["mart_monthly"]
+
+SQL["unreferenced_files"] = w(LANDING, f"""
+SELECT true AS live, count(DISTINCT customer_id) AS rows FROM landing
+UNION ALL SELECT false, count(DISTINCT customer_id) FROM landing WHERE exported_at_utc_minus_5 <= {_CUT}
+""")
+
+SQL["as_of_join"] = w(HISTORY + """,
+lines AS (SELECT l_orderkey, l_linenumber, l_shipdate, o_custkey AS customer_id FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""", """
+SELECT l.*, h.kyc_status, h.account_balance, h.dbt_valid_from
+FROM lines l ASOF LEFT JOIN history h ON l.customer_id = h.customer_id AND l.l_shipdate >= h.dbt_valid_from
+""")
+
+SQL["ingest_evolving"] = w(FAULTS, """
+SELECT customer_id, CASE WHEN drift_kind = 'rename_field' THEN NULL ELSE customer_name END AS customer_name,
+       CASE WHEN drift_kind = 'rename_field' THEN customer_name END AS renamed_name,
+       CASE WHEN drift_kind = 'extra_field' THEN true END AS experimental_flag, age, account_balance, language,
+       CASE WHEN balance_is_text THEN '{"account_balance":"' || CAST(account_balance AS VARCHAR) || '"}' END AS _rescued_data
+FROM faulted
+""")
+
+SQL["published_dimension"] = SQL["mask_email"]
+
+SQL["row_loss_after_join"] = """
+SELECT count(DISTINCT doc_id) AS bronze_distinct_customers, count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)) AS fact_rows,
+       count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL)) < count(DISTINCT doc_id) * 0.9 AS failed
+FROM documents
+"""
+
+SQL["expect_fail_stops"] = """
+SELECT rule_name, violations, CASE WHEN violations > 0 THEN 'fail' ELSE 'pass' END AS outcome, sum(violations) OVER () = 0 AS published
+FROM (SELECT 'has_user' AS rule_name, count(*) FILTER (WHERE user_id IS NULL) AS violations FROM events
+      UNION ALL SELECT 'no_errors', count(*) FILTER (WHERE NOT coalesce(event_type <> 'error', false)) FROM events)
+"""

@@ -122,8 +122,72 @@ def cluster_conf(input_bytes: int, executor_cores: int, executors: int,
     }
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of ``path`` on the session's Hadoop file systems."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if it does not exist."""
+    fs, p = _hadoop(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def folder_bytes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of every file directly in a folder, by the file's name."""
+    fs, p = _hadoop(spark, path)
+    return {f.getPath().getName(): f.getLen() for f in fs.listStatus(p) if f.isFile()}
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """Content of a small text file (log entries), without a job."""
+    fs, p = _hadoop(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with this content unless it exists already; False if it does.
+
+    Of several writers that try at the same time one succeeds: the file system decides (``create`` without
+    overwrite is one step on HDFS and on object stores with conditional writes). A local file system checks and
+    creates in two steps, so there the empty file is made first, in the operating system's one step.
+    """
+    from py4j.protocol import Py4JJavaError
+    fs, p = _hadoop(spark, path)
+    fs.mkdirs(p.getParent())
+    local = fs.getScheme() == "file"
+    if local and not spark.sparkContext._jvm.java.io.File(p.toUri().getPath()).createNewFile():
+        return False
+    try:
+        out = fs.create(p, local)
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def put_in_place(spark: SparkSession, staged: str, path: str) -> None:
+    """Make a staged folder visible under its final name, in place of an earlier try."""
+    fs, src = _hadoop(spark, staged)
+    _, dst = _hadoop(spark, path)
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        raise OSError(f"{staged} could not be renamed to {path}")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on the session's Hadoop file system. A file system that cannot be asked
     raises: taking it for an absent path would start tables and streams anew over existing data."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    fs, p = _hadoop(spark, path)
+    return bool(fs.exists(p))

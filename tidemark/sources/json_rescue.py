@@ -11,11 +11,13 @@ Nothing is dropped and no row is lost.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.stores import CommitLog
 from tidemark.session import path_exists
 
 RESCUED = "_rescued_data"
@@ -167,3 +169,90 @@ def resolve_schema(spark: SparkSession, location: str, sample_path: str | None =
     schema = default if default is not None else infer_schema(spark, sample_path, pattern=pattern)
     save_schema(spark, schema, location)
     return schema
+
+
+# ---------------------------------------------------------------- schema that grows with the files
+
+# how the types of JSON values are read: fractions as double, values of no or of several types as text
+_READ_AS = (("OBJECT<", "STRUCT<"), (r"DECIMAL(\(\d+, ?\d+\))?", "DOUBLE"), (r"\b(VOID|VARIANT|FLOAT)\b", "STRING"))
+
+
+def variant_type(described: str) -> T.DataType:
+    """Spark type of what ``schema_of_variant_agg`` describes."""
+    for pattern, by in _READ_AS:
+        described = re.sub(pattern, by, described)
+    return T.DataType.fromDDL(described)
+
+
+def _fits(kept: T.DataType, found: T.DataType) -> bool:
+    """Whether values of ``found`` are read into ``kept`` without loss."""
+    if kept == found:
+        return True
+    if isinstance(kept, T.StringType):
+        return not isinstance(found, (T.StructType, T.ArrayType, T.MapType))
+    return isinstance(kept, T.DoubleType) and isinstance(found, (T.LongType, T.IntegerType))
+
+
+def merge_schemas(kept: T.StructType, found: T.StructType, under: tuple[str, ...] = ()) -> tuple[T.StructType, list[dict]]:
+    """``kept`` with the fields that only ``found`` has, at every level, and what was noticed.
+
+    Known fields keep their type, as files written with it are there: a field found with a type that does not
+    fit is noted as ``kept`` (its values are rescued, not lost), a new field as ``added``.
+    """
+    fields, notes = list(kept.fields), []
+    at = {f.name: i for i, f in enumerate(fields)}
+    for f in found.fields:
+        label = _label((*under, f.name))
+        if f.name not in at:
+            fields.append(T.StructField(f.name, f.dataType, True))
+            notes.append({"field": label, "change": "added", "kept": None, "found": f.dataType.simpleString()})
+            continue
+        have = fields[at[f.name]].dataType
+        if isinstance(have, T.StructType) and isinstance(f.dataType, T.StructType):
+            inner, more = merge_schemas(have, f.dataType, (*under, f.name))
+            fields[at[f.name]] = T.StructField(f.name, inner, True)
+            notes += more
+        elif not _fits(have, f.dataType):
+            notes.append({"field": label, "change": "kept", "kept": have.simpleString(), "found": f.dataType.simpleString()})
+    return T.StructType(fields), notes
+
+
+class SchemaStore:
+    """The schema of a source of JSON lines, kept beside a stream's checkpoint and grown with the files.
+
+    ``update`` looks at the files modified since the last one, each file's schema from one aggregate over its
+    lines, and merges them into the stored schema in the files' order. Every version and what changed in which
+    file is an entry of a commit log.
+    """
+
+    def __init__(self, spark: SparkSession, location: str):
+        self.spark, self.log = spark, CommitLog(spark, location)
+
+    def schema(self) -> T.StructType | None:
+        last = self.log.last()
+        return T.StructType.fromJson(json.loads(last["schema"])) if last else None
+
+    def changes(self) -> DataFrame:
+        """``version, file, field, change, kept, found`` of all versions."""
+        rows = [(v, n["file"], n["field"], n["change"], n["kept"], n["found"]) for v in self.log.versions() for n in self.log.entry(v)["notes"]]
+        return self.spark.createDataFrame(rows, "version int, file string, field string, change string, kept string, found string")
+
+    def update(self, source_dir: str, pattern: str = "*") -> T.StructType:
+        """Merge the new files in; returns the schema to read with."""
+        last = self.log.last()
+        lines = (self.spark.read.option("pathGlobFilter", pattern).text(source_dir)
+                 .select("value", F.col("_metadata.file_path").alias("file"), F.unix_micros("_metadata.file_modification_time").alias("at")))
+        if last:
+            lines = lines.where(F.col("at") > last["newest"])
+        v = F.try_parse_json("value")
+        found = (lines.select("file", "at", v.alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+                 .groupBy("file").agg(F.schema_of_variant_agg("v").alias("described"), F.max("at").alias("at")).collect())
+        schema = self.schema() or T.StructType([])
+        notes, newest = [], last["newest"] if last else -1
+        for r in sorted(found, key=lambda r: (r["at"], r["file"])):
+            schema, more = merge_schemas(schema, variant_type(r["described"]))
+            notes += [{"file": r["file"].rsplit("/", 1)[-1], **n} for n in more]
+            newest = max(newest, r["at"])
+        if last is None or newest > last["newest"]:
+            self.log.publish(last["version"] + 1 if last else 0, schema=schema.json(), notes=notes, newest=newest)
+        return schema

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as _dt
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import export_stamp
+from tidemark.session import folder_bytes
 
 
 # least buckets of a materialised table, and the bytes that one bucket stands for
@@ -19,6 +21,24 @@ def buckets_for_bytes(size: int) -> int:
     return max(BUCKETS, -(-size // BUCKET_BYTES))
 
 
+def scanned_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, by listing their folders. (The planner's size of a join is no
+    table size: it multiplies both sides.) A frame that reads no files, such as a checkpointed one, has no such
+    size: the caller names the bucket count then."""
+    files = df.inputFiles()
+    if not files:
+        raise ValueError("the frame reads no files: give the bucket count")
+    by_folder: dict[str, set[str]] = {}
+    for f in files:
+        folder, _, name = f.rpartition("/")
+        by_folder.setdefault(folder, set()).add(unquote(name))
+    total = 0
+    for folder, names in by_folder.items():
+        sizes = folder_bytes(df.sparkSession, unquote(folder))
+        total += sum(sizes[n] for n in names)
+    return total
+
+
 def export_snapshot(df: DataFrame, base_dir: str, instant: _dt.datetime, prefix: str = "customers_cleaned",
                     stamp_col: str = "exported_at_utc_minus_5", counts: dict | None = None) -> str:
     """Write a full snapshot to ``<base>/<prefix>_<yyyyMMdd_HHmmss>`` with the batch stamp column.
@@ -49,8 +69,8 @@ def materialize(df: DataFrame, kind: str, name: str, path: str | None = None,
     With ``bucket_by`` the table is written bucketed and sorted by that key as
     an external catalog table at ``path``: tables bucketed on the same key with
     the same bucket count join and group on it without a shuffle. ``buckets`` is
-    set by the table's size (about one per GB), not by the shuffle partitions,
-    and never exceeds what the session allows.
+    set by the table's size (about one per GB), not by the shuffle partitions;
+    more than the session allows is an error, not fewer and larger buckets.
     """
     if kind == "view":
         df.createOrReplaceTempView(name)
@@ -59,7 +79,9 @@ def materialize(df: DataFrame, kind: str, name: str, path: str | None = None,
         raise ValueError("table materialisation needs a path")
     spark = df.sparkSession
     if bucket_by:
-        n = min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+        n, most = buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+        if n > most:
+            raise ValueError(f"{n} buckets, but spark.sql.sources.bucketing.maxBuckets is {most}")
         # one task a bucket writes one file a bucket
         (df.repartition(n, bucket_by).write.mode("overwrite").bucketBy(n, bucket_by).sortBy(bucket_by)
            .option("path", path).saveAsTable(name))

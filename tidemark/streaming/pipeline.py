@@ -17,13 +17,14 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions import columns as C
 from tidemark.operators import expectations as X
 from tidemark.operators.dedup import first_per_key
-from tidemark.session import path_exists
+from tidemark.operators.stores import Buckets, CommitLog
+from tidemark.session import materialize_checkpoint, put_in_place
 from tidemark.sources.writers import clustered
-from tidemark.sources.json_rescue import CORRUPT, RESCUED, rescue_parse, resolve_schema
+from tidemark.sources.json_rescue import CORRUPT, RESCUED, SchemaStore, rescue_parse
 
 
-# files of one micro-batch: a backlog of any size is worked off in batches of bounded size
-MAX_FILES = 1000
+# bytes of one micro-batch: a backlog of any size is worked off in batches of bounded size
+MAX_BYTES = 16 << 30
 
 
 def _run(q: StreamingQuery) -> StreamingQuery:
@@ -36,23 +37,25 @@ def _run(q: StreamingQuery) -> StreamingQuery:
 def _stream_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Incremental read of a table written by an upstream stage (schema from its files)."""
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", MAX_FILES).parquet(path)
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", MAX_BYTES).parquet(path)
 
 
 # ---------------------------------------------------------------- bronze
 
 def ingest_json(spark: SparkSession, source_dir: str, bronze_dir: str, checkpoint: str,
-                schema: T.StructType | None = None, pattern: str = "*.json", max_files: int = MAX_FILES,
+                schema: T.StructType | None = None, pattern: str = "*.json", max_files: int | None = None,
                 schema_location: str | None = None) -> StreamingQuery:
     """New JSON-lines files -> bronze table, rescue mode, nothing lost (malformed lines kept in
     ``_corrupt_record``), source file recorded per row.
 
-    Without a ``schema`` the one stored at ``schema_location`` (default: beside the checkpoint) is used; the
-    first run infers it from the files that lie there and stores it, so later runs resume with the same one.
+    Without a ``schema`` the one kept at ``schema_location`` (default: beside the checkpoint) is used, after the files
+    that are new since the last run have been merged into it: new fields become columns, known fields keep their
+    type (``SchemaStore``). A micro-batch is bounded by bytes, or by ``max_files`` if given.
     """
     if schema is None:
-        schema = resolve_schema(spark, schema_location or f"{checkpoint.rstrip('/')}_schema", source_dir, pattern=pattern)
-    reader = spark.readStream.format("text").option("pathGlobFilter", pattern).option("maxFilesPerTrigger", max_files)
+        schema = SchemaStore(spark, schema_location or f"{checkpoint.rstrip('/')}_schema").update(source_dir, pattern)
+    bound = ("maxBytesPerTrigger", MAX_BYTES) if max_files is None else ("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.format("text").option("pathGlobFilter", pattern).option(*bound)
     raw = reader.load(source_dir).select("value", F.col("_metadata.file_path").alias("_source_file"))
     bronze = rescue_parse(raw, schema)
     return _run(bronze.writeStream.format("parquet").option("path", bronze_dir)
@@ -99,44 +102,77 @@ class CleanConfig:
     order_by: str | list | None = None  # deterministic pick inside a micro-batch
     cluster_by: tuple = ()
     state: str = "native"               # "native": Spark's stateful dropDuplicates (RocksDB state at scale);
-    #                                      "ordered": first by order_by, seen keys read from the sink
+    #                                      "ordered": first by order_by, seen keys kept in a KeyIndex
 
 
 def _apply_rules_batch(batch: DataFrame, batch_id: int, out_dir: str, metrics_dir: str, cfg: CleanConfig):
-    """Fail rules are checked before anything is written (a failed batch is retried whole); the
-    kept rows are written with the rule metrics observed in the same pass; writes are idempotent
-    per batch id (overwrite of ``batch_id=<n>``)."""
-    rules = list(cfg.rules)
-    fails = [r for r in rules if r.action == "fail"]
-    if fails:
-        batch = batch.persist()
-    try:
-        failures = X.check_fail_rules(batch, rules)
-        if failures:
-            raise X.ExpectationFailed(failures)
-
-        def write(kept):
-            if cfg.cluster_by:
-                kept = clustered(kept, list(cfg.cluster_by))
-            kept.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
-        metrics = X.observed_write(batch, rules, write).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        metrics.coalesce(1).write.mode("overwrite").parquet(f"{metrics_dir}/batch_id={batch_id}")
-    finally:
-        if fails:
-            batch.unpersist()
-
-
-def _ordered_dedup_batch(batch: DataFrame, batch_id: int, out_dir: str, cfg: CleanConfig, spark: SparkSession):
-    """First-ever row per key with a defined order: the batch's first row per key, minus keys
-    already in earlier batches of the sink (anti join on distinct keys)."""
-    first = first_per_key(batch, cfg.key, cfg.order_by) if cfg.order_by else batch.dropDuplicates([cfg.key])
-    if not path_exists(spark, out_dir):          # first batch: no sink yet
-        return first
-    seen = spark.read.parquet(out_dir).where(F.col("batch_id") != batch_id).select(cfg.key)
-    # narrow the key history to this batch's keys first: the batch side is small (bounded by
-    # the trigger) and can be broadcast, so the history is scanned but never shuffled
-    seen_here = seen.join(first.select(cfg.key), cfg.key, "left_semi")
-    return first.join(seen_here, cfg.key, "left_anti")
+    """One pass over the batch: the kept rows are written to a folder that readers don't see while the metrics of
+    all rules are observed; it is put in place when no fail rule fired (a failed batch is retried whole). A
+    retry replaces ``batch_id=<n>``."""
+    rules, spark = list(cfg.rules), batch.sparkSession
+    staged = f"{out_dir}/.staged-{batch_id}"
+
+    def write(kept):
+        if cfg.cluster_by:
+            kept = clustered(kept, list(cfg.cluster_by))
+        kept.write.mode("overwrite").parquet(staged)
+    metrics = X.observed_write(batch, rules, write).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    failures = {r["rule_name"]: r["violations"] for r in metrics.collect() if r["action"] == "fail" and r["violations"]}
+    if failures:
+        raise X.ExpectationFailed(failures)
+    put_in_place(spark, staged, f"{out_dir}/batch_id={batch_id}")
+    metrics.coalesce(1).write.mode("overwrite").parquet(f"{metrics_dir}/batch_id={batch_id}")
+
+
+# hash buckets of a key index, and the files of one bucket from which on they are written together
+KEY_BUCKETS = 64
+KEY_FILES = 16
+
+
+class KeyIndex:
+    """The keys that earlier micro-batches have seen, in hash-bucketed files beside the stream's checkpoint.
+
+    A batch reads the buckets of its own keys only, never the sink. Versions of the index are batch ids: a
+    batch, also when it is retried, sees the version before its own, and adds its new keys as one file a
+    bucket; a bucket of ``KEY_FILES`` files is written together in the same commit.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = KEY_BUCKETS):
+        self.spark, self.key = spark, key
+        self.buckets, self.log = Buckets(spark, path, key, buckets), CommitLog(spark, path)
+
+    def _before(self, batch_id: int) -> dict[str, list[str]]:
+        earlier = [v for v in self.log.versions() if v < batch_id]
+        return self.log.entry(earlier[-1])["parts"] if earlier else {}
+
+    def unseen(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Rows of ``batch`` whose key no earlier batch had (null is a key)."""
+        parts = self._before(batch_id)
+        mine, _ = self.buckets.of(batch)
+        paths = [p for b in mine for p in parts.get(str(b), [])]
+        if not paths:
+            return batch
+        seen = self.spark.read.parquet(*paths).select(F.col(self.key).alias("__seen"))
+        own = batch.select(F.col(self.key).alias("__own"))
+        # the batch is bounded by the trigger: narrowed to its keys first, the index is read but not shuffled
+        here = seen.join(own, F.col("__seen").eqNullSafe(F.col("__own")), "left_semi")
+        return batch.join(here, F.col(self.key).eqNullSafe(F.col("__seen")), "left_anti")
+
+    def add(self, keys: DataFrame, batch_id: int) -> None:
+        if batch_id in self.log.versions():            # a retry of a batch that got this far
+            return
+        parts = self._before(batch_id)
+        for b, path in self.buckets.write(keys.select(self.key)).items():
+            parts[b] = [*parts.get(b, []), path]
+        full = {b: p for b, p in parts.items() if len(p) >= KEY_FILES}
+        if full:
+            together = self.buckets.write(self.spark.read.parquet(*[p for ps in full.values() for p in ps]).select(self.key))
+            parts |= {b: [path] for b, path in together.items()}
+        self.log.publish(batch_id, parts=parts)
+
+
+def _first_of_batch(batch: DataFrame, cfg: CleanConfig) -> DataFrame:
+    return first_per_key(batch, cfg.key, cfg.order_by) if cfg.order_by else batch.dropDuplicates([cfg.key])
 
 
 def clean_stream(spark: SparkSession, unified_dir: str, clean_dir: str, metrics_dir: str, checkpoint: str,
@@ -149,9 +185,13 @@ def clean_stream(spark: SparkSession, unified_dir: str, clean_dir: str, metrics_
         def sink(batch, batch_id):
             _apply_rules_batch(batch, batch_id, clean_dir, metrics_dir, cfg)
     else:
+        index = KeyIndex(spark, f"{checkpoint.rstrip('/')}_keys", cfg.key)
+
         def sink(batch, batch_id):
-            _apply_rules_batch(_ordered_dedup_batch(batch, batch_id, clean_dir, cfg, spark),
-                               batch_id, clean_dir, metrics_dir, cfg)
+            # rows that a rule drops have been seen all the same, so the keys are taken before the rules
+            new = materialize_checkpoint(index.unseen(_first_of_batch(batch, cfg), batch_id))
+            _apply_rules_batch(new, batch_id, clean_dir, metrics_dir, cfg)
+            index.add(new, batch_id)
     return _run(src.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
                 .trigger(availableNow=True).start())
 
@@ -194,7 +234,7 @@ def dedup_stream(spark: SparkSession, stream: DataFrame, out_dir: str, checkpoin
     within ``delay`` of the event-time watermark on ``event_time``
     (``dropDuplicatesWithinWatermark``), older keys are forgotten;
     ``ordered`` picks the earliest row by ``order_by`` inside a batch and
-    excludes keys already written by earlier batches.
+    excludes keys that earlier batches had, by a ``KeyIndex`` beside the checkpoint.
     """
     cfg = CleanConfig(key=key, order_by=order_by, state=state)
     if state in ("native", "watermark"):
@@ -215,9 +255,12 @@ def dedup_stream(spark: SparkSession, stream: DataFrame, out_dir: str, checkpoin
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         return _run(q)
 
+    index = KeyIndex(spark, f"{checkpoint.rstrip('/')}_keys", key)
+
     def sink(batch, batch_id):
-        _ordered_dedup_batch(batch, batch_id, out_dir, cfg, spark) \
-            .write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        path = f"{out_dir}/batch_id={batch_id}"
+        index.unseen(_first_of_batch(batch, cfg), batch_id).write.mode("overwrite").parquet(path)
+        index.add(spark.read.schema(batch.schema).parquet(path), batch_id)
     return _run(stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
                 .trigger(availableNow=True).start())
 
