@@ -794,7 +794,7 @@ def ingest_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
     plain = F.col("drift_kind").isNull() & (F.col("copy_id") == 0)
     for part in (recs.where(plain), recs.where(~plain)):
         G.to_json_lines(part).write.mode("append").text(f"{base}/raw")
-        P.ingest_json(spark, f"{base}/raw", f"{base}/bronze", f"{base}/_checkpoints/bronze", pattern="*.txt")
+        P.ingest_json(spark, f"{base}/raw", f"{base}/bronze", f"{base}/_checkpoints/bronze", pattern="*.txt", evolve=True)
     schema = SchemaStore(spark, f"{base}/_checkpoints/bronze_schema").schema()
     read = spark.read.schema(TY.StructType([*schema.fields, TY.StructField("_rescued_data", TY.StringType())])).parquet(f"{base}/bronze")
     return read.select("customer_id", "customer_name", F.col("customerName").alias("renamed_name"), "experimental_flag", "age", "account_balance",

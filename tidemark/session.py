@@ -182,6 +182,7 @@ def put_in_place(spark: SparkSession, staged: str, path: str) -> None:
     _, dst = _hadoop(spark, path)
     if fs.exists(dst):
         fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
     if not fs.rename(src, dst):
         raise OSError(f"{staged} could not be renamed to {path}")
 

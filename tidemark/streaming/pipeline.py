@@ -20,7 +20,7 @@ from tidemark.operators.dedup import first_per_key
 from tidemark.operators.stores import Buckets, CommitLog
 from tidemark.session import materialize_checkpoint, put_in_place
 from tidemark.sources.writers import clustered
-from tidemark.sources.json_rescue import CORRUPT, RESCUED, SchemaStore, rescue_parse
+from tidemark.sources.json_rescue import CORRUPT, RESCUED, SchemaStore, rescue_parse, resolve_schema
 
 
 # bytes of one micro-batch: a backlog of any size is worked off in batches of bounded size
@@ -44,16 +44,19 @@ def _stream_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def ingest_json(spark: SparkSession, source_dir: str, bronze_dir: str, checkpoint: str,
                 schema: T.StructType | None = None, pattern: str = "*.json", max_files: int | None = None,
-                schema_location: str | None = None) -> StreamingQuery:
+                schema_location: str | None = None, evolve: bool = False) -> StreamingQuery:
     """New JSON-lines files -> bronze table, rescue mode, nothing lost (malformed lines kept in
     ``_corrupt_record``), source file recorded per row.
 
-    Without a ``schema`` the one kept at ``schema_location`` (default: beside the checkpoint) is used, after the files
-    that are new since the last run have been merged into it: new fields become columns, known fields keep their
-    type (``SchemaStore``). A micro-batch is bounded by bytes, or by ``max_files`` if given.
+    Without a ``schema`` the one stored at ``schema_location`` (default: beside the checkpoint) is used; the
+    first run infers it from the files that lie there and stores it, so later runs resume with the same one. With
+    ``evolve`` every run first merges the files that are new since the last one into the stored schema: new fields
+    become columns, known fields keep their type (``SchemaStore``). A micro-batch is bounded by bytes, or by
+    ``max_files`` if given.
     """
     if schema is None:
-        schema = SchemaStore(spark, schema_location or f"{checkpoint.rstrip('/')}_schema").update(source_dir, pattern)
+        location = schema_location or f"{checkpoint.rstrip('/')}_schema"
+        schema = SchemaStore(spark, location).update(source_dir, pattern) if evolve else resolve_schema(spark, location, source_dir, pattern=pattern)
     bound = ("maxBytesPerTrigger", MAX_BYTES) if max_files is None else ("maxFilesPerTrigger", max_files)
     reader = spark.readStream.format("text").option("pathGlobFilter", pattern).option(*bound)
     raw = reader.load(source_dir).select("value", F.col("_metadata.file_path").alias("_source_file"))
@@ -106,11 +109,11 @@ class CleanConfig:
 
 
 def _apply_rules_batch(batch: DataFrame, batch_id: int, out_dir: str, metrics_dir: str, cfg: CleanConfig):
-    """One pass over the batch: the kept rows are written to a folder that readers don't see while the metrics of
-    all rules are observed; it is put in place when no fail rule fired (a failed batch is retried whole). A
+    """One pass over the batch: the kept rows are written to a folder beside the table while the metrics of all
+    rules are observed; it is put in place when no fail rule fired (a failed batch is retried whole). A
     retry replaces ``batch_id=<n>``."""
     rules, spark = list(cfg.rules), batch.sparkSession
-    staged = f"{out_dir}/.staged-{batch_id}"
+    staged = f"{out_dir.rstrip('/')}_staged/batch_id={batch_id}"
 
     def write(kept):
         if cfg.cluster_by:
