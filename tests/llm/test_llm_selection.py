@@ -222,3 +222,22 @@ def test_shares_of_large_counts_are_exact():
         c = r.randint(0, n)
         assert int(source_audit.share(c, n, v)) == 1 + 10 ** 9 * (c + 1) // (n + v)
     assert int(source_audit.share(9, 9, 1)) == 1 + 10 ** 9
+
+
+# ---------------------------------------------------------------- k-d sharding by the values' places
+
+def test_values_with_a_common_beginning_stay_apart(spark):
+    from tidemark.llm import kd_shards
+    names = [f"https://www.example.org/{i}" for i in range(40)]
+    docs = spark.createDataFrame([(i, "x" * 100, "en", names[i % 40]) for i in range(4000)] + [(9000, None, None, None)],
+                                 "doc_id long, text string, lang string, source string")
+    places = {r["value"]: r["place"] for r in kd_shards.value_places(docs, "source").collect()}
+    assert len(set(places.values())) == 41 and places[""] == 0 and all(0 <= p < 1 for p in places.values())
+    assert sorted(places, key=places.get) == sorted(places)
+    docs = docs.filter("source IS NOT NULL")
+    got = kd_shards.sharded(docs, shards=4).join(docs.select("doc_id", "source"), "doc_id").collect()
+    by_shard = collections.defaultdict(set)
+    for r in got:
+        by_shard[r["shard"]].add(r["source"])
+    # texts are alike, so only the source can be cut: a source lies in one shard, or in two where a cut goes through it
+    assert len(got) == 4000 and sum(map(len, by_shard.values())) <= 40 + 3

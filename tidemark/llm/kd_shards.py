@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import buckets_for, rank_within, stored
+from tidemark.llm.common import buckets_for, ordered_rank, rank_within, stored
 
 SHARDS = 24
 CELLS = 512
@@ -27,11 +27,16 @@ ROUNDS = 12
 HASH_SPAN = float(1 << 52)
 
 
-def text_fraction(c: Column) -> Column:
-    """A string as a number in [0, 1) that follows its order on the first six bytes (null: 0)."""
-    b = F.coalesce(c.cast("string"), F.lit(""))
-    padded = F.rpad(F.substring(F.hex(b), 1, 12), 12, "0")
-    return F.conv(padded, 16, 10).cast("double") / F.lit(float(1 << 48))
+def value_places(docs: DataFrame, column: str) -> DataFrame:
+    """``value, place`` of a string column's distinct values: the place in their order, over their number, so in
+    [0, 1) and different for different values of any length (null counts as the empty text)."""
+    values = docs.select(_named(docs, column).alias("value")).distinct()
+    ranked = stored(ordered_rank(values, [F.col("value").asc()], "place"), "shard-values")
+    return ranked.withColumn("place", F.col("place") / F.lit(float(max(1, ranked.count()))))
+
+
+def _named(docs: DataFrame, column: str) -> Column:
+    return F.coalesce(docs[column].cast("string"), F.lit(""))
 
 
 @dataclass
@@ -131,7 +136,7 @@ def split_rows(rows: DataFrame, nodes: dict[int, int], target: float) -> tuple[D
 def sharded(docs: DataFrame, shards: int | None = SHARDS, target_bytes: int | None = None) -> DataFrame:
     """One row a document: doc_id, size, text_crc32, law (``bytes``), shard, slot, grown_shard (null).
 
-    The dimensions are language, source and length. ``size`` is the text's UTF-8 bytes plus 8 (null: 8).
+    The dimensions are language and source, by the place of the value among the column's distinct values, and length. ``size`` is the text's UTF-8 bytes plus 8 (null: 8).
     Leaves are split until they are to hold ``target_bytes``, which defaults to the whole size over
     ``shards``. Null values sort first; ties, repeated rows and copies are cut by the hash of the stored row
     id, so any value may hold any share of the rows. An empty table gives no rows. Slots count from 0 in
@@ -139,10 +144,14 @@ def sharded(docs: DataFrame, shards: int | None = SHARDS, target_bytes: int | No
     """
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long")
     uid = F.monotonically_increasing_id()
-    dims = F.array(text_fraction(F.col("lang")), text_fraction(F.col("source")),
-                   F.log1p(F.coalesce(F.char_length("text"), F.lit(0)).cast("double")) / 40)
-    rows = docs.select(uid.alias("uid"), "doc_id", size.alias("size"),
-                       F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("crc"), dims.alias("v"))
+    rows = docs.select(uid.alias("uid"), "doc_id", size.alias("size"), F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("crc"),
+                       _named(docs, "lang").alias("d0"), _named(docs, "source").alias("d1"),
+                       (F.log1p(F.coalesce(F.char_length("text"), F.lit(0)).cast("double")) / 40).alias("d2"))
+    # the places join by value: broadcast while the values are few, else shuffled, a hot value split by Spark
+    for d, column in enumerate(("lang", "source")):
+        places = value_places(docs, column).withColumnRenamed("place", f"p{d}")
+        rows = rows.join(places, F.col(f"d{d}") == F.col("value")).drop("value")
+    rows = rows.select("uid", "doc_id", "size", "crc", F.array("p0", "p1", "d2").alias("v"))
     tie = F.shiftrightunsigned(F.xxhash64("uid"), 12).cast("double")
     rows = stored(rows, "shard-rows").withColumn("tie", tie)
     whole = rows.agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("n"),
