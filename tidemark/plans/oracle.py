@@ -546,6 +546,7 @@ SQL["export_snapshot"] = w(FAULTS, f"""
 SELECT {_CLEAN_COLS}, TIMESTAMP '2024-01-01 00:00:00' AS exported_at_utc_minus_5 FROM clean
 """)
 
+SQL["interleaved_rewrite"] = "SELECT * FROM lineitem"
 SQL["clustered_rewrite"] = w(FAULTS, f"SELECT {_CLEAN_COLS} FROM clean")
 
 SQL["seed_limits"] = """

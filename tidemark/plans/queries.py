@@ -27,6 +27,7 @@ from tidemark.plans import models as M
 from tidemark.plans import runner as R
 from tidemark.plans import standins as S
 from tidemark.session import materialize_checkpoint, work_path
+from tidemark.sources import clustering as CL
 from tidemark.sources import landing as L
 from tidemark.sources import seeds as SD
 from tidemark.sources import writers as W
@@ -591,6 +592,32 @@ def clustered_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+LINE_CLUSTER = ["l_shipdate", "l_partkey"]
+
+
+@query
+def interleaved_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines rewritten by interleaved ranks of (ship date, part), read back."""
+    lines = read_table(spark, sf_dir, "lineitem")
+    return spark.read.parquet(CL.interleaved_write(lines, work_path(spark, "interleaved"), LINE_CLUSTER, W.files_for(lines)))
+
+
+@query
+def clustering_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that an equality filter on each cluster column opens, by layout of the same lines."""
+    lines = read_table(spark, sf_dir, "lineitem")
+    base, n = work_path(spark, "layouts"), W.files_for(lines)
+    lines.repartition(n, "l_orderkey", "l_linenumber").write.parquet(f"{base}/spread")
+    paths = {"by row hash": f"{base}/spread",
+             "one column after the other": W.clustered_write(lines, f"{base}/linear", LINE_CLUSTER, n),
+             "interleaved ranks": CL.interleaved_write(lines, f"{base}/interleaved", LINE_CLUSTER, n)}
+    out = None
+    for layout, path in paths.items():
+        part = CL.files_touched(spark.read.parquet(path), LINE_CLUSTER).withColumn("layout", F.lit(layout))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ------------------------------------------------------------------ seeds, runner, refresh, fixtures
 
 

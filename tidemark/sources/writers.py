@@ -15,6 +15,9 @@ from tidemark.session import folder_bytes
 # least buckets of a materialised table, and the bytes that one bucket stands for
 BUCKETS = 16
 BUCKET_BYTES = 1 << 30
+# the same for the files of a clustered table
+FILES = 32
+FILE_BYTES = 256 << 20
 
 
 def buckets_for_bytes(size: int) -> int:
@@ -39,6 +42,11 @@ def scanned_bytes(df: DataFrame) -> int:
     return total
 
 
+def files_for(df: DataFrame) -> int:
+    """Files of a rewritten table: about one for each 256 MB that ``df`` reads."""
+    return max(FILES, -(-scanned_bytes(df) // FILE_BYTES))
+
+
 def export_snapshot(df: DataFrame, base_dir: str, instant: _dt.datetime, prefix: str = "customers_cleaned",
                     stamp_col: str = "exported_at_utc_minus_5", counts: dict | None = None) -> str:
     """Write a full snapshot to ``<base>/<prefix>_<yyyyMMdd_HHmmss>`` with the batch stamp column.
