@@ -219,3 +219,44 @@ def divergence(docs, top=200):
                 for i, (item, value) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0].encode()))[:most]):
                     out.add((lang, s, part, item, value, i + 1))
     return out
+
+
+def pu_scores(rows, positives, steps=1000):
+    """Plain non-negative PU learning over feature rows ``(row_hash, x)``, positives ``x``: (prior, score function).
+
+    Every training row is an unlabelled one; nothing is drawn and repeated rows stand for themselves.
+    """
+    import numpy as np
+    every = np.array([x for _, x in rows], float)
+    mean, scale = every.mean(axis=0), every.std(axis=0) + 1e-3
+    z = lambda x: np.clip((np.array(x, float) - mean) / scale, -8, 8)
+    sigmoid = lambda s: 1 / (1 + np.exp(-np.clip(s, -30, 30)))
+
+    def learn(p, u, prior, n, decay):
+        w = np.zeros(p.shape[1] + 1)
+        p, u = np.column_stack([p, np.ones(len(p))]), np.column_stack([u, np.ones(len(u))])
+        m, v = np.zeros_like(w), np.zeros_like(w)
+        for t in range(1, n + 1):
+            a, b = sigmoid(p @ w), sigmoid(u @ w)
+            positive = -(p * (1 - a)[:, None]).mean(axis=0)            # slope of E_p[l(z)]
+            negative = (u * b[:, None]).mean(axis=0) - prior * (p * a[:, None]).mean(axis=0)
+            risk = -np.log(1 - np.minimum(b, 1 - 1e-12)).mean() + prior * np.log(1 - np.minimum(a, 1 - 1e-12)).mean()
+            g = prior * positive + negative if risk >= 0 else -negative
+            g = g + decay * np.append(w[:-1], 0)
+            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+            w = w - 0.05 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        return w
+
+    p = z(sorted(positives, key=tuple))
+    even, odd = z([x for h, x in rows if h % 2 == 0]), z([x for h, x in rows if h % 2])
+    w = learn(p[::2], even, 0.5, 150, 1e-3)
+    held, other = p[1::2] @ w[:-1] + w[-1], odd @ w[:-1] + w[-1]
+    margin = math.sqrt(math.log(40) / 2 / len(held)) + math.sqrt(math.log(40) / 2 / len(other))
+    ratios = []
+    for q in np.linspace(0, 0.8, 161):
+        cut = np.quantile(held, q) - 1e-9
+        fp, fu = (held >= cut).mean(), (other >= cut).mean()
+        ratios.append(((fu + margin) / max(fp, 1e-9), fu / fp))
+    prior = min(max(min(ratios, key=lambda r: r[0])[1], 0.05), 0.99)
+    w = learn(p, z([x for _, x in rows]), prior, steps, 1e-4)
+    return prior, lambda x: sigmoid(z(x) @ w[:-1] + w[-1])
