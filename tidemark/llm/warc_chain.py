@@ -18,7 +18,6 @@ MAGIC = "WARC/1.1\r\n"
 DATE = "2020-01-01T00:00:00Z"
 MIN_REVISIT_BYTES = 1000
 RECORDS_A_FILE = 20_000
-BROADCAST_ORIGINALS = 100_000
 CRLF = "\r\n"
 # characters that would break a header line, and the escape's own mark
 _ESCAPED = [("%", "%25"), ("\r", "%0D"), ("\n", "%0A")]
@@ -59,9 +58,8 @@ def write(pages: DataFrame, path: str) -> None:
     """
     hashed = _hashed(pages)
     best = stored(originals(hashed), "warc-originals")
-    # the verdicts are broadcast while they are few (100,000 of about 60 bytes), else joined by shuffle
-    few = best.limit(BROADCAST_ORIGINALS + 1).count() <= BROADCAST_ORIGINALS
-    j = hashed.join(F.broadcast(best) if few else best, (F.col("digest") == F.col("d")) & (F.col("size") == F.col("z")), "left")
+    # the stored verdicts have a size: Spark chooses between broadcasting and shuffling them
+    j = hashed.join(best, (F.col("digest") == F.col("d")) & (F.col("size") == F.col("z")), "left")
     (j.select(record_text().alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", RECORDS_A_FILE)
      .option("compression", "gzip").text(path))
 
