@@ -146,6 +146,19 @@ def base_scores(docs):
              math.fsum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w)) for (d, _), w in zip(docs, tokens, strict=True)]
 
 
+def bigram_scores(docs, mix):
+    """(doc_id, text) -> log10 probability of each text from exact counts of its tokens and pairs of tokens."""
+    one, two = collections.Counter(), collections.Counter()
+    tokens = {d: [*words(lower(t)), " "] for d, t in docs}
+    for d, w in tokens.items():
+        if crc_mod(d, 7) != 2:
+            one.update(["", *w])                            # the start stands before the first token
+            two.update(zip(["", *w], w, strict=False))
+    total = sum(one.values()) - one[""] + len(one) - ("" in one) + 1
+    return {d: math.fsum(math.log10((1 - mix) * (one[b] + 1) / total + mix * (two[a, b] / one[a] if one[a] else 0))
+                         for a, b in zip(["", *w], w, strict=False)) for d, w in tokens.items()}
+
+
 def segmentation(word, vocabulary):
     best, count = [0.0] + [-math.inf] * len(word), [0] * (len(word) + 1)
     for end in range(1, len(word) + 1):

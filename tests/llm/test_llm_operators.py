@@ -3,6 +3,8 @@
 import collections
 import hashlib
 import itertools
+import math
+import os
 import random
 import zlib
 
@@ -158,13 +160,39 @@ def test_lm_base(spark, awkward):
     assert all(r["score"] < 0 for r in got)
 
 
-def test_lm_rare_tokens_are_joined(spark, monkeypatch, awkward):
-    monkeypatch.setattr(bloom_lm, "COMMON_SHARE", 0.01)
+def test_lm_counts_in_small_parts(spark, monkeypatch, awkward):
+    """Counts flushed often and dealt to many segments, most of them without an n-gram of a chunk."""
     monkeypatch.setattr(bloom_lm, "FLUSH_TOKENS", 1000)
+    monkeypatch.setattr(bloom_lm, "segments_for", lambda size: 5000)
     got = QUERIES["op3_lm_scoring"](spark, awkward).collect()
     assert same([(r[0], r[3], round(r[5], 3)) for r in got], [(w[0], w[3], round(w[5], 3)) for w in brute.base_scores(docs_of())])
 
 
+def test_lm_segments_grow_with_the_text():
+    assert [bloom_lm.segments_for(b) for b in (0, 1 << 20, 512 << 20)] == [64, 64, 256]
+    for power in range(28, 50):                              # to 0.5 PB: at most 16 MB of text each
+        n = bloom_lm.segments_for(1 << power)
+        assert n < 1 << 31 and (1 << power) / n <= 16 << 20
+    for runs in ([], [3], [0, 0, 1, 5, 5, 5, 9]):
+        got = [(int(s), b - a) for part, cuts in bloom_lm.runs_of(np.array(runs, np.int64), 2) for s, (a, b) in zip(part, cuts, strict=True)]
+        assert got == sorted(collections.Counter(runs).items())
+
+
+def test_lm_score_against_exact_counts(spark):
+    """The model's score within the width of the levels of the score from exact counts."""
+    r = random.Random(11)
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join(r.choices(words, [1 / (k + 1) for k in range(60)], k=r.randint(0, 80)))) for i in range(200)]
+    d = spark.createDataFrame([(i, t, None, None, None) for i, t in docs], brute.DOCUMENTS)
+    got = {x["doc_id"]: (x["n_tokens"], x["score"]) for x in bloom_lm.scored(d).collect()}
+    want = brute.bigram_scores(docs, bloom_lm.MIX)
+    assert got.keys() == want.keys()
+    # a level is 1.5 wide and its middle stands for it: the quotient of two counts is off by 1.5 at most
+    close = [abs(got[i][1] - want[i]) <= math.log10(1.5) * got[i][0] for i in want]
+    assert all(close)
+    assert np.corrcoef([got[i][1] / got[i][0] for i in want], [want[i] / got[i][0] for i in want])[0, 1] > 0.9
+
+
 def test_bloom_levels(spark):
     texts = [("a b " * 50 + "c d",), ("a b c",), ("x y " * 7,)]
     model, counts = bloom_lm.fit(spark.createDataFrame(texts, "text string"))
@@ -175,11 +203,11 @@ def test_bloom_levels(spark):
     one = lambda w: np.uint64(bloom_lm.xxhash.xxh64_intdigest(w.encode()))
     for (a, b), n in exact.items():
         level = model.levels(bloom_lm.mixed(np.array([one(a)]), np.array([one(b)])), 2)
-        assert level >= bloom_lm.levels_of(np.array([n]), model.unit)             # never too low: no false negatives
+        assert level >= bloom_lm.levels_of(np.array([n]))             # never too low: no false negatives
     missing = model.levels(bloom_lm.mixed(np.arange(1, 3000, dtype=np.uint64), np.uint64(9)), 2)
     assert (missing > 0).mean() < 0.1
     assert counts.agg(F.sum("c")).first()[0] == model.tokens == sum(len(t.split()) + 1 for t, in texts)
-    assert bloom_lm.levels_of(np.array([1, 2, 3]), 2.0).tolist() == [0, 1, 2]
+    assert bloom_lm.levels_of(np.array([0, 1, 2, 3])).tolist() == [0, 1, 2, 3]
 
 
 def test_lm_rare_pairs_count_in_a_large_corpus(spark):
@@ -188,7 +216,7 @@ def test_lm_rare_pairs_count_in_a_large_corpus(spark):
     texts = many.select(F.concat_ws(" ", "text", "z").alias("text")).unionByName(spark.createDataFrame([("rare pair",)], "text string"))
     model, _ = bloom_lm.fit(texts)
     one = lambda w: np.array([bloom_lm.xxhash.xxh64_intdigest(w)], np.uint64)
-    assert model.unit == 1 and model.levels(one(b"rare"), 1) >= 1
+    assert model.levels(one(b"rare"), 1) >= 1
     assert model.levels(bloom_lm.mixed(one(b"rare"), one(b"pair")), 2) >= 1
 
 
@@ -231,16 +259,57 @@ def test_chat_finds_rewritten_history():
         assert piece[a:b] == t.upper() and not rewrote
 
 
-def test_chat_templates_that_see_all_turns():
-    turns = [(("user", "assistant")[i % 2], f"t{i}") for i in range(300)]
-    numbered = lambda turns: "".join(f"{i}:{t};" for i, (_, t) in enumerate(turns))
-    got = list(chat.spans(iter(turns), numbered))
-    assert "".join(x[1] for x in got) == numbered(turns) and not any(x[4] for x in got)
-    assert all(p[a:b] == t for (_, t), p, a, b, _ in got)
+def plain_spans(turns, template):
+    """Every prefix rendered whole: what each adds, and whether it rewrote."""
+    out = [template(turns[:k]) for k in range(len(turns) + 1)]
+    got = []
+    for k, (a, b) in enumerate(itertools.pairwise(out)):
+        same = len(os.path.commonprefix([a, b]))
+        got.append((b if k == 0 and same == len(a) else b[same:], same < len(a)))
+    return got
+
+
+def numbered(turns):
+    return "".join(f"{i}:{t};" for i, (_, t) in enumerate(turns))
+
+
+def forgets(turns):                                         # drops the first turn's text at the 200th turn
+    return "".join("..." if i == 0 and len(turns) >= 200 else f"[{t}]" for i, (_, t) in enumerate(turns))
+
+
+def merges(turns):                                          # an opening system turn goes into every later user turn
+    system = turns[0][1] if turns else ""
+    return "".join(f"<{r}>{system if i > 150 and r == 'user' else ''}{t}" for i, (r, t) in enumerate(turns))
+
+
+def trims(turns):                                           # shows the last 140 turns only
+    return "<s>" + "".join(f"({t})" for _, t in turns[-140:])
+
+
+@pytest.mark.parametrize("history", [1, 3, 64])
+@pytest.mark.parametrize("n", [1, 5, 128, 129, 300, 520])
+@pytest.mark.parametrize("template", [numbered, forgets, merges, trims, chat.turn_template])
+def test_chat_equals_whole_prefixes(template, n, history):
+    turns = [(("user", "assistant")[i % 2], f"t{i}") for i in range(n)]
+    got = list(chat.spans(iter(turns), template, history))
+    assert [x[0] for x in got] == turns
+    assert [(x[1], x[4]) for x in got] == plain_spans(turns, template)
+    if template is not trims:
+        assert all(p[a:b] == t for (_, t), p, a, b, rewrote in got if not rewrote)
+
+
+def test_chat_cost_of_long_conversations():
+    """A template that needs no history is rendered over a number of turns in proportion to the conversation's."""
+    seen = [0]
 
-    def forgets(turns):                                     # drops the first turn's text at the 200th turn
-        return "".join("..." if i == 0 and len(turns) >= 200 else f"[{t}]" for i, (_, t) in enumerate(turns))
-    assert [k for k, x in enumerate(chat.spans(iter(turns), forgets)) if x[4]] == [199]
+    def counted(turns):
+        seen[0] += len(turns)
+        return chat.turn_template(turns)
+    for n in (2000, 8000):
+        seen[0] = 0
+        turns = [("user", f"t{i}") for i in range(n)]
+        assert "".join(x[1] for x in chat.spans(iter(turns), counted)) == chat.turn_template(turns)
+        assert seen[0] < 2 * 128 * n + 4 * n
 
 
 def test_chat_finds_text_among_private_use_characters():

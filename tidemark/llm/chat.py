@@ -23,18 +23,10 @@ Template = Callable[[list[Turn]], str]
 # strings that a model may read as control; none occurs in a formatted text but where the template puts it
 CONTROLS = ["<|turn|>", "<|text|>", "<|end|>", "<s>", "</s>", "[INST]", "[/INST]"]
 BREAK = "\\-"                      # put inside a control string; a backslash itself becomes two
-# turns of history that a rendering by a turnwise template sees at most: 64 to 127, so that a conversation of any
-# length costs time and memory in proportion to its turns
+# a turn beyond twice as many is first rendered behind the last 64 to 127 turns only, and checked against the whole
 HISTORY = 64
 
 
-def turnwise(template: Template) -> Template:
-    """Says of a template that its output is an opening and then a piece for each turn that hangs on that turn
-    alone, so that rendering behind a part of the history gives the same pieces. Other templates see all of it."""
-    template.turnwise = True
-    return template
-
-
 def escape(text: str, controls: list[str] = CONTROLS) -> str:
     """The text without any control string, reversibly."""
     text = text.replace("\\", "\\\\")
@@ -48,7 +40,6 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(\\|-)", lambda m: "\\" if m[1] == "\\" else "", text)
 
 
-@turnwise
 def turn_template(turns: list[Turn]) -> str:
     """The production template: each turn's role and text between control strings, both escaped."""
     return "<s>" + "".join(f"<|turn|>{escape(r)}<|text|>{escape(t)}<|end|>" for r, t in turns)
@@ -62,39 +53,82 @@ def read_turns(formatted: str) -> list[Turn]:
     return [(unescape(m[1]), unescape(m[2])) for m in _TURN.finditer(formatted)]
 
 
-def spans(turns: Iterator[Turn], template: Template, history: int = HISTORY) -> Iterator[tuple[Turn, str, int, int, bool]]:
+Span = tuple[Turn, str, int, int, bool]
+
+
+def spans(turns: Iterator[Turn], template: Template, history: int = HISTORY) -> Iterator[Span]:
     """For each turn: the turn, what it adds to the output, begin and end of its text in that, and whether the
     template rewrote history at it (then the output from the first changed character on is returned).
 
-    The text comes out empty if the template doesn't show it. Every prefix is rendered whole, which costs time in
-    proportion to the square of a conversation's turns; only for a ``turnwise`` template prefixes grow up to twice
-    ``history`` turns, then the older half is left out and the prefix is rendered anew.
+    The text comes out empty if the template doesn't show it. The first ``2 * history`` prefixes are rendered
+    whole. Rendering all of them whole takes time in proportion to the square of a conversation's turns, so later
+    turns are compared behind a part of the history, ``history`` turns or up to twice as many, and their rows are
+    held back. When the turns have doubled, and at the end, the whole conversation is rendered: if it is what was
+    checked before followed by the pieces held, they are returned; if not, the template looks further back, and
+    from the last check on every prefix is rendered whole. Between two checks a change that the template takes
+    back again is not seen.
     """
     past: list[Turn] = []
-    before = opening = template([])
-    first = True
-    for turn in turns:
-        if getattr(template, "turnwise", False) and len(past) >= 2 * history:
-            past = past[-history:]
-            before = template(past)
-        now = template([*past, turn])
-        common = len(before) if now.startswith(before) else _common(before, now)
-        piece = now[common:]
-        marker = _absent(now)
-        begin = end = 0
-        probe = template([*past, (turn[0], marker)])
-        at = probe.find(marker)
-        if at >= common:
-            begin, end = at - common, len(piece) - (len(probe) - at - len(marker))
-            if end < begin or now[:at] != probe[:at]:
-                begin = end = 0
-        rewrote = common < len(before)
-        if first and not rewrote:                        # the opening belongs to the first turn's span
-            piece, begin, end = opening + piece, begin + len(opening), end + len(opening)
-        yield turn, piece, begin, end, rewrote
-        first = False
+    held: list[Span] = []                                # of past[checked:], found behind a part of the history
+    opening = before = whole = template([])
+    start = checked = 0                                  # ``before`` renders past[start:], ``whole`` past[:checked]
+    local = True
+    rest = iter(turns)
+    while True:
+        turn = next(rest, None)
+        if held and (turn is None or len(past) >= 2 * checked):
+            now = template(past)
+            if _continues(now, whole, held):
+                yield from held
+            else:
+                local, start, before = False, 0, whole
+                for k in range(checked, len(past)):
+                    row, before = _span(past[:k], before, past[k], template)
+                    yield row
+            held, whole, checked = [], now, len(past)
+        if turn is None:
+            return
+        if local and len(past) - start >= 2 * history:
+            if not start:
+                whole, checked = before, len(past)
+            start = len(past) - history
+            before = template(past[start:])
+        row, before = _span(past[start:], before, turn, template)
+        if not past and not row[4]:                      # the opening belongs to the first turn's span
+            row = (turn, opening + row[1], row[2] + len(opening), row[3] + len(opening), False)
         past.append(turn)
-        before = now
+        if start:
+            held.append(row)
+        else:
+            yield row
+
+
+def _span(past: list[Turn], before: str, turn: Turn, template: Template) -> tuple[Span, str]:
+    """The row of a turn behind ``past``, which renders to ``before``, and what both render to."""
+    now = template([*past, turn])
+    common = len(before) if now.startswith(before) else _common(before, now)
+    piece = now[common:]
+    marker = _absent(now)
+    begin = end = 0
+    probe = template([*past, (turn[0], marker)])
+    at = probe.find(marker)
+    if at >= common:
+        begin, end = at - common, len(piece) - (len(probe) - at - len(marker))
+        if end < begin or now[:at] != probe[:at]:
+            begin = end = 0
+    return (turn, piece, begin, end, common < len(before)), now
+
+
+def _continues(now: str, before: str, rows: list[Span]) -> bool:
+    """Whether ``now`` is ``before`` and then the rows' pieces."""
+    at = len(before)
+    if not now.startswith(before):
+        return False
+    for _, piece, *_ in rows:
+        if not now.startswith(piece, at):
+            return False
+        at += len(piece)
+    return at == len(now)
 
 
 def _absent(text: str) -> str:
@@ -156,7 +190,7 @@ def formatted(conversations: DataFrame, template: Template = turn_template, hist
 
     Turns are ordered by (turn, role, text), nulls first, so ties and repeated rows have a place; null roles
     and texts are empty; rows without a conv_id form one conversation. Rows are sorted, not collected: a task
-    holds the conversation it is at, and of it at most ``2 * history`` turns if the template is ``turnwise``.
+    holds the one conversation it is at, whose whole text the template is asked for.
     """
     return (conversations.select("conv_id", "turn", "role", "text").repartition("conv_id")
             .sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
