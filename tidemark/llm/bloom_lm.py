@@ -31,8 +31,8 @@ BASE = 1.5
 BITS_AN_ENTRY = 8
 PROBES = 4
 MIX = 0.3
-COMMON_SHARE = 2.0 ** -22           # not read any more: tokens of every frequency are asked for alike (a test sets it)
-SEGMENT_BYTES = 2 << 20            # training bytes of one segment of the n-gram space
+# training bytes of one segment of the n-gram space: the lower bound up to 0.1 TB, the upper one from 1 TB on
+SEGMENT_BYTES = (2 << 20, 16 << 20)
 FLUSH_TOKENS = 1_500_000
 CACHE_WORDS = 200_000
 # tokens of the documents whose n-grams are asked for together
@@ -119,15 +119,11 @@ def _counted(segments: int):
             for order in (0, 1):
                 h, c = _count(held[order])
                 held[order].clear()
-                seg = ((h >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
-                cuts = np.searchsorted(seg, np.arange(segments + 1, dtype=np.uint64))
-                some = np.flatnonzero(np.diff(cuts))
-                for at in range(0, len(some), 512):
-                    part = some[at:at + 512]
+                for part, cuts in runs_of(segment_of(h, segments)):
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(part.astype(np.int32)), pa.array(np.full(len(part), order + 1, np.int8)),
-                        pa.array([h[cuts[s]:cuts[s + 1]].tobytes() for s in part], pa.binary()),
-                        pa.array([c[cuts[s]:cuts[s + 1]].astype(np.uint32).tobytes() for s in part], pa.binary())],
+                        pa.array(part), pa.array(np.full(len(part), order + 1, np.int8)),
+                        pa.array([h[a:b].tobytes() for a, b in cuts], pa.binary()),
+                        pa.array([c[a:b].astype(np.uint32).tobytes() for a, b in cuts], pa.binary())],
                         ["segment", "n", "hashes", "counts"])
 
         for batch in batches:
@@ -145,11 +141,11 @@ def _counted(segments: int):
     return run
 
 
-def levels_of(counts: np.ndarray, unit: float = 1.0, base: float = BASE) -> np.ndarray:
-    """Quantised log frequency; 0 below the unit."""
+def levels_of(counts: np.ndarray, base: float = BASE) -> np.ndarray:
+    """Quantised log frequency; 0 for what was not seen."""
     out = np.zeros(len(counts), np.int64)
-    some = counts >= unit
-    out[some] = 1 + np.floor(np.log(counts[some] / unit) / np.log(base) + 1e-9).astype(np.int64)
+    some = counts >= 1
+    out[some] = 1 + np.floor(np.log(counts[some]) / np.log(base) + 1e-9).astype(np.int64)
     return out
 
 
@@ -235,7 +231,6 @@ class BloomModel:
     tokens: int
     distinct: int
     texts: int
-    unit: float = 1.0
 
     def levels(self, h: np.ndarray, order: int) -> np.ndarray:
         """Levels of a few n-grams; reads their parts of the filter one by one."""
@@ -251,6 +246,14 @@ def segment_of(h: np.ndarray, segments: int) -> np.ndarray:
     return (((h >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)).astype(np.int64)
 
 
+def runs_of(segment: np.ndarray, rows: int = 512) -> Iterator[tuple[np.ndarray, list[tuple[int, int]]]]:
+    """Ascending segments -> the segments that occur, and begin and end of each, so many at a time."""
+    cuts = np.flatnonzero(np.diff(segment, prepend=-1, append=-1)) if len(segment) else np.zeros(1, np.int64)
+    for at in range(0, len(cuts) - 1, rows):
+        part = cuts[at:at + rows + 1]
+        yield segment[part[:-1][:rows]].astype(np.int32), list(zip(part[:-1].tolist(), part[1:].tolist(), strict=True))
+
+
 def counts_of(levels: np.ndarray) -> np.ndarray:
     """The middle of the counts that a level stands for; 0 for level 0."""
     return np.where(levels > 0, BASE ** np.maximum(levels - 1.0, 0) * (1 + BASE) / 2, 0.0)
@@ -283,14 +286,11 @@ def _asked(segments: int, chunk_tokens: int):
             for order in (0, 1):
                 h = np.unique(np.concatenate(held[order]))
                 held[order].clear()
-                cuts = np.searchsorted(segment_of(h, segments), np.arange(segments + 1))
-                some = np.flatnonzero(np.diff(cuts))
-                for at in range(0, len(some), 512):
-                    part = some[at:at + 512]
+                for part, cuts in runs_of(segment_of(h, segments)):
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.full(len(part), first, np.int64)), pa.array(part.astype(np.int32)),
+                        pa.array(np.full(len(part), first, np.int64)), pa.array(part),
                         pa.array(np.full(len(part), order + 1, np.int8)),
-                        pa.array([_planes(h[cuts[s]:cuts[s + 1]]) for s in part], pa.binary())], ["uid", "segment", "n", "body"])
+                        pa.array([_planes(h[a:b]) for a, b in cuts], pa.binary())], ["uid", "segment", "n", "body"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -408,7 +408,15 @@ def remainder(doc_id: Column) -> Column:
 
 
 def tasks_for(texts: DataFrame, segments: int) -> int:
-    return max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), segments // 8)
+    """Eight segments a task; from 8,192 tasks on up to 64, about 1 GB of text. A task takes its segments in turn."""
+    most = max(1 << 13, segments // 64)
+    return max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(segments // 8, most))
+
+
+def segments_for(size: int) -> int:
+    """Segments for so many bytes of training text: at least 64, and as many as the upper bound of one asks for."""
+    low, high = SEGMENT_BYTES
+    return int(max(64, size // min(max(low, size >> 16), high)))
 
 
 def fit(texts: DataFrame) -> tuple[BloomModel, DataFrame]:
@@ -420,7 +428,7 @@ def fit(texts: DataFrame) -> tuple[BloomModel, DataFrame]:
     parts stay in the shared folder.
     """
     sums = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
-    segments = int(min(max(64, sums["b"] // SEGMENT_BYTES), 1 << 16))
+    segments = segments_for(sums["b"])
     packed = texts.select(text_bytes("text").alias("b")).mapInArrow(
         _counted(segments), "segment int, n byte, hashes binary, counts binary")
     parts = stored(packed.repartition(tasks_for(texts, segments), "segment").sortWithinPartitions("segment", "n").mapInArrow(
