@@ -37,17 +37,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round links every node's larger neighbours, then its smaller ones, to its smallest neighbour; the
     number of rounds grows with the logarithm of the longest path. Only minima are aggregated (combined
-    map-side), no neighbour list is built, so a star of any size is no hot group. Every round is stored in
-    the shared folder.
+    map-side), no neighbour list is built. Minima are stored before their edges are joined with them: both sides
+    of a join are then plain tables, so Spark can broadcast the minima where they are few and otherwise split
+    the edges of a star's hub over several tasks. Every round is stored in the shared folder.
     """
     now = stored(edges.filter(F.col("a") != F.col("b"))
                  .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "components-edges")
     seen = _state(now)
     while seen[0]:
         both = now.union(now.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "components-low")
+        large = stored(both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")), "components-large")
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "components-least")
         small = large.join(least, "u")
         small = small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", "m"))
         now = stored(small.distinct(), "components-edges")

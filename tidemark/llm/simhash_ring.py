@@ -221,12 +221,13 @@ def links(fps: DataFrame, distance: int = MAX_DISTANCE, chain: int | None = None
 def components_of(docs: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     """``fp -> (root, component_id)`` for the distinct fingerprints of ``docs`` (a stored table with
     ``doc_id`` and ``fp``): ``root`` names the component, ``component_id`` is the smallest doc_id in it.
-    Exact copies meet in one fingerprint before any join."""
+    Exact copies meet in one fingerprint before any join. The components' smallest ids are stored before the
+    fingerprints are joined with them, so that Spark can split those of a large component over tasks."""
     fps = stored(docs.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-fps")
     roots = connected_components(links(fps.select("fp"), distance))
-    rooted = (fps.join(roots, fps["fp"] == roots["node"], "left")
-              .select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    rooted = stored(fps.join(roots, fps["fp"] == roots["node"], "left")
+                    .select("fp", "first", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
+    least = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")
     return stored(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-components")
 
 
