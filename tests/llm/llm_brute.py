@@ -159,6 +159,22 @@ def bigram_scores(docs, mix):
                          for a, b in zip(["", *w], w, strict=False)) for d, w in tokens.items()}
 
 
+def kd_leaves(rows, shards):
+    """(id, size, coordinates) -> sets of ids: split at the weighted median of the widest dimension. The values of a
+    dimension must differ."""
+    if shards < 2:
+        return [frozenset(r[0] for r in rows)]
+    span = [[min(x), max(x)] for x in zip(*(r[2] for r in rows), strict=True)]
+    dim = max(range(len(span)), key=lambda d: (span[d][1] - span[d][0], -d))
+    rows = sorted(rows, key=lambda r: r[2][dim])
+    want = sum(r[1] for r in rows) * (shards // 2) / shards
+    sums = [0]
+    for r in rows:
+        sums.append(sums[-1] + r[1])
+    cut = min(range(len(sums)), key=lambda i: (abs(sums[i] - want), i))
+    return kd_leaves(rows[:cut], shards // 2) + kd_leaves(rows[cut:], shards - shards // 2)
+
+
 def segmentation(word, vocabulary):
     best, count = [0.0] + [-math.inf] * len(word), [0] * (len(word) + 1)
     for end in range(1, len(word) + 1):

@@ -341,6 +341,22 @@ def test_sharding(spark, awkward):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+@pytest.mark.parametrize("shards", [2, 7, 24])
+def test_shards_equal_a_plain_tree(spark, shards):
+    """Languages, sources and lengths that all differ, so every cut has one right place."""
+    r = random.Random(shards)
+    n = 600
+    langs, sources, lengths = r.sample(range(n), n), r.sample(range(n), n), r.sample(range(1, 2 * n), n)
+    docs = [(i, "x" * lengths[i], f"language {langs[i]:05}", f"source {sources[i]:05}", 0) for i in range(n)]
+    got = collections.defaultdict(set)
+    for x in kd_shards.sharded(spark.createDataFrame(docs, brute.DOCUMENTS).repartition(5), shards).collect():
+        got[x["shard"]].add(x["doc_id"])
+    logs = [math.log1p(k) for k in lengths]
+    low, wide = min(logs), max(logs) - min(logs)
+    rows = [(i, lengths[i] + 8, (langs[i] / (n - 1), sources[i] / (n - 1), (logs[i] - low) / wide)) for i in range(n)]
+    assert set(map(frozenset, got.values())) == set(brute.kd_leaves(rows, shards))
+
+
 def test_shards_are_even_with_hot_values(spark):
     r = random.Random(1)
     docs = [(i, "same text" if i % 3 == 0 else "x" * r.randint(1, 300), "en" if i % 2 else None, "hot" if i % 4 else f"s{i % 50}", 0) for i in range(6000)]
