@@ -25,6 +25,21 @@ def table_profile(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def table_storage(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """``table_name, file_count, total_bytes, largest_file_bytes`` of Parquet tables by path (a folder or one file).
+
+    Spark's file reader lists paths and sizes in parallel; no content is read. A table without a file has zeros.
+    """
+    out = None
+    for name, path in paths.items():
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+                 .agg(F.count(F.lit(1)).alias("file_count"), F.coalesce(F.sum("length"), F.lit(0)).alias("total_bytes"),
+                      F.coalesce(F.max("length"), F.lit(0)).alias("largest_file_bytes")))
+        part = files.select(F.lit(name).alias("table_name"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def column_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """``table_name, position, column_name, column_type, row_count, null_count`` of every column.
 

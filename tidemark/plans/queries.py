@@ -769,6 +769,15 @@ def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.column_profile({t: read_table(spark, sf_dir, t) for t in O.DRIVER_TABLES})
 
 
+@query
+def table_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, columns, files and bytes of every driver table, with the bytes a row takes. SQL sees no files."""
+    profile = O.table_profile({t: read_table(spark, sf_dir, t) for t in O.DRIVER_TABLES})
+    storage = O.table_storage(spark, {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in O.DRIVER_TABLES})
+    return (profile.join(storage, "table_name")
+            .withColumn("bytes_a_row", F.when(F.col("row_count") > 0, F.col("total_bytes") / F.col("row_count"))))
+
+
 # ------------------------------------------------------------------ state between runs
 
 @query
