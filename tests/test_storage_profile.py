@@ -5,6 +5,7 @@ import os
 
 import pyarrow.parquet as pq
 
+import __spark_entry__ as E
 from conftest import SF_SMALL
 from tidemark.operators import ops as O
 from tidemark.plans import queries as Q
@@ -38,3 +39,9 @@ def test_storage_of_folders(spark, tmp):
 def test_storage_reads_no_content(spark):
     plan = O.table_storage(spark, {"lineitem": f"{SF_SMALL}/lineitem.parquet"})._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan
+
+
+def test_file_queries_are_registered_without_sql():
+    assert set(Q.FILE_QUERIES) == {"clustering_files", "table_storage"}
+    assert not set(Q.FILE_QUERIES) & set(Q.QUERIES) and not set(Q.FILE_QUERIES) & set(E.oracle_sql())
+    assert all(E.queries()[n] is f for n, f in Q.FILE_QUERIES.items())
